@@ -27,8 +27,8 @@ def memory_heavy(log: DataFrame, limit_mb: float = 100.0) -> DataFrame:
 
 
 def sample_report(samples: DataFrame) -> DataFrame:
-    """A10: run_id, peak, mean (1 place), net (last minus first by ts, 1 place)."""
-    return samples.groupBy("run_id").agg(F.max("value").alias("peak"), F.round(F.avg("value"), 1).alias("mean"), F.round(F.max_by("value", "ts") - F.min_by("value", "ts"), 1).alias("net"))
+    """A10: run_id, peak, mean (1 place), net (last minus first by ts, 4 places)."""
+    return samples.groupBy("run_id").agg(F.max("value").alias("peak"), F.round(F.avg("value"), 1).alias("mean"), F.round(F.max_by("value", "ts") - F.min_by("value", "ts"), 4).alias("net"))
 
 
 def stage_deltas(samples: DataFrame) -> DataFrame:

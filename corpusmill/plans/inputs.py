@@ -88,11 +88,11 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answer_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers to a third of the conversations: key, model, response."""
     known = table(spark, sf_dir, "conversations").where("role = 'user' and conv_id % 3 = 0")
-    return known.select(F.sha2("text", 256).alias("key"), F.lit("m0").alias("model"), F.upper("text").alias("response"))
+    return known.select(F.sha2("text", 256).alias("key"), F.lit("m0").alias("model"), F.reverse("text").alias("response"))
 
 
 PROMPTS = """pr AS (SELECT conv_id * 1000 + turn AS prompt_id, text AS prompt, 'm' || (conv_id % 2) AS model FROM conversations WHERE role = 'user'),
-ca AS (SELECT sha256(text) AS key, 'm0' AS model, upper(text) AS response FROM conversations WHERE role = 'user' AND conv_id % 3 = 0)"""
+ca AS (SELECT sha256(text) AS key, 'm0' AS model, reverse(text) AS response FROM conversations WHERE role = 'user' AND conv_id % 3 = 0)"""
 
 
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

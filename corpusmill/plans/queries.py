@@ -447,7 +447,7 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), "ts", "value")
 
 
-@query("SELECT user_id AS run_id, max(value) AS peak, round(avg(value), 1) AS mean, round(arg_max(value, ts) - arg_min(value, ts), 1) AS net FROM events GROUP BY 1")
+@query("SELECT user_id AS run_id, max(value) AS peak, round(avg(value), 1) AS mean, round(arg_max(value, ts) - arg_min(value, ts), 4) AS net FROM events GROUP BY 1")
 def a10_sample_report(spark, sf_dir):
     return reports.sample_report(_samples(spark, sf_dir))
 
@@ -477,11 +477,11 @@ def w5_first_success(spark, sf_dir):
 def x2_running_session_stats(spark, sf_dir):
     events = i.table(spark, sf_dir, "events")
     source, out, place = shared_folder(spark), shared_folder(spark), shared_folder(spark)
-    events.select("ts", F.col("user_id").alias("session_id"), F.col("event_type").alias("question_type"), F.col("value").alias("elapsed_sec"), (F.col("event_id") % 3 == 0).alias("cache_hit")).write.parquet(source)
+    events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("session_id"), F.col("event_type").alias("question_type"), F.col("value").alias("elapsed_sec"), (F.col("event_id") % 3 == 0).alias("cache_hit")).write.parquet(source)
     stream = jobs.running_session_stats(spark.readStream.schema(spark.read.parquet(source).schema).parquet(source))
     run = stream.writeStream.outputMode("complete").option("checkpointLocation", place).trigger(availableNow=True).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start()
     run.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(f"""WITH {i.PAGES} SELECT path, count(*) AS n FROM pg GROUP BY 1""")
