@@ -30,7 +30,8 @@ LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ012345678
 MAX_ATOMS, MAX_WINDOW = 20, 160
 #: Documents and windows that the model is fitted on at most (expected number of documents, by a hash of the text).
 FIT_DOCS, FIT_WINDOWS = 20_000, 500
-EPOCHS, RATE, DECAY = 6, 0.3, 1e-4
+#: Updates of the weights, in rounds over all windows, with a falling rate.
+UPDATES, RATE, DECAY = 3000, 0.3, 1e-4
 #: Score by which an added segment must beat the same atoms left outside.
 MARGIN = 4.0
 #: Where a window begins and how it goes on.
@@ -297,7 +298,7 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOW
     rows = [r[0] for entity in (True, False) for r in each.where(F.col("entity") == entity).orderBy(F.xxhash64("window"), "window").limit(fit_windows // 2).collect()]
     examples = [x for w in sorted(rows) if (x := labelled(w))]
     model, random = SemiCrf(), np.random.default_rng(0)
-    for epoch in range(EPOCHS):
+    for epoch in range(-(-UPDATES // len(examples)) if examples else 0):
         for k in random.permutation(len(examples)):
             grad, step = model.gradient(*examples[k])
             rate = RATE / (1 + epoch)
