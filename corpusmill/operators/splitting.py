@@ -18,40 +18,44 @@ from corpusmill.operators.routing import CODE_PATTERN, STEPS, TABLE_PATTERN
 #: A newline before a line that reads as a header once stripped.
 HEADER_SPLIT = r"(?Ud)\n(?=[^\S\n]*(?:#{1,6}[^\S\n]+\S|\d+\.[^\S\n]+\S|[A-Z][A-Z[^\S\n]]{2,}:[^\S\n]*(?:\n|\z)|\d+\.\d+(?:\.|[^\S\n]+\S)))"
 MIN_SECTION = 100
-CHUNK_COLUMNS = ["path", "page_no", "place", "text", "split_strategy", "content_type", "part_index", "section_index", "section_header", "section_type"]
 
 
-def as_chunks(pages: DataFrame) -> DataFrame:
-    """Pages (path, page_no, text) as chunks that no splitter has seen; a null text is empty."""
+def as_chunks(pages: DataFrame, *more: str) -> DataFrame:
+    """Pages (path, page_no, text) as chunks that no splitter has seen, with more columns if named; a null text is empty."""
     missing = {"split_strategy": "string", "content_type": "string", "part_index": "int", "section_index": "int", "section_header": "string", "section_type": "string"}
     return pages.select(
-        "path", F.col("page_no").cast("int").alias("page_no"), F.array(F.col("page_no").cast("int")).alias("place"), F.coalesce("text", F.lit("")).alias("text"), *(F.lit(None).cast(t).alias(c) for c, t in missing.items())
+        "path", F.col("page_no").cast("int").alias("page_no"), F.array(F.col("page_no").cast("int")).alias("place"), F.coalesce("text", F.lit("")).alias("text"), *(F.lit(None).cast(t).alias(c) for c, t in missing.items()), *more
     )
 
 
 def _with(chunks: DataFrame, **new: Column) -> DataFrame:
-    """The chunk columns, some of them replaced."""
-    return chunks.select(*(new[c].alias(c) if c in new else F.col(c) for c in CHUNK_COLUMNS))
+    """The chunk columns and those that a caller added, some of them replaced; helper columns begin with _ and go."""
+    return chunks.select(*(new[c].alias(c) if c in new else F.col(c) for c in chunks.columns if not c.startswith("_")))
 
 
 def _first_strategy(name: str) -> Column:
     return F.coalesce("split_strategy", F.lit(name))
 
 
-def semantic_split(chunks: DataFrame, size: int | None = None, overlap: int | None = None) -> DataFrame:
-    """Recursive splitting, with the separators of the first chunk of each file. None means 1000 and 200."""
+def semantic_split(chunks: DataFrame, size: int | None = None, overlap: int | None = None, only: Column | None = None) -> DataFrame:
+    """Recursive splitting, with the separators of the first chunk of each file. None means 1000 and 200.
+
+    only: a condition on rows; the others pass whole.
+    """
     size, overlap = 1000 if size is None else size, 200 if overlap is None else overlap
     check_sizes(size, overlap)
     first = chunks.groupBy(F.col("path").alias("_path")).agg(F.min_by(is_korean(F.col("text")), F.col("place")).alias("_korean"))
     marked = chunks.join(first, chunks["path"].eqNullSafe(first["_path"]))
     seps = F.when(F.col("_korean"), F.array(*map(F.lit, KOREAN_SEPARATORS))).otherwise(F.array(*map(F.lit, SEPARATORS)))
-    parts = marked.select(*CHUNK_COLUMNS, F.posexplode(split_column(F.col("text"), seps, size, overlap)).alias("_i", "_chunk"))
-    return _with(parts, text=F.col("_chunk"), place=F.concat("place", F.array("_i")), split_strategy=_first_strategy("semantic"))
+    wanted = F.lit(True) if only is None else only
+    split = split_column(F.when(wanted, F.col("text")), seps, size, overlap)
+    parts = marked.select(*chunks.columns, wanted.alias("_wanted"), F.posexplode(F.when(wanted, split).otherwise(F.array("text"))).alias("_i", "_chunk"))
+    return _with(parts, text=F.col("_chunk"), place=F.concat("place", F.array("_i")), split_strategy=F.when(F.col("_wanted"), _first_strategy("semantic")).otherwise(F.col("split_strategy")))
 
 
 def section_split(chunks: DataFrame, min_length: int = MIN_SECTION) -> DataFrame:
     """One chunk a section. Sections below min_length go but keep their number; the first has no header."""
-    parts = chunks.select(*CHUNK_COLUMNS, F.posexplode(F.split("text", HEADER_SPLIT, -1)).alias("_i", "_part"))
+    parts = chunks.select(*chunks.columns, F.posexplode(F.split("text", HEADER_SPLIT, -1)).alias("_i", "_part"))
     body = stripped(F.col("_part"))
     header = F.when(F.col("_i") == 0, F.lit("")).otherwise(stripped(F.substring_index("_part", "\n", 1)))
     return _with(
@@ -67,8 +71,9 @@ def _interleaved(chunks: DataFrame, pattern: str, kind: str) -> DataFrame:
         F.struct(F.lit("text").alias("type"), stripped(gap).alias("part")), F.struct(F.lit(kind).alias("type"), stripped(F.coalesce(F.get("_found", i), F.lit(""))).alias("part")),
     )))
     parts = F.filter(both, lambda p: p["part"] != "")
-    listed = chunks.select(*CHUNK_COLUMNS, gaps.alias("_gaps"), found.alias("_found")).select(*CHUNK_COLUMNS, parts.alias("_parts"))
-    return listed.select(*CHUNK_COLUMNS, F.posexplode_outer("_parts").alias("_i", "_p")).select(*CHUNK_COLUMNS, "_i", F.col("_p.type").alias("_type"), F.col("_p.part").alias("_part"))
+    own = chunks.columns
+    listed = chunks.select(*own, gaps.alias("_gaps"), found.alias("_found")).select(*own, parts.alias("_parts"))
+    return listed.select(*own, F.posexplode_outer("_parts").alias("_i", "_p")).select(*own, "_i", F.col("_p.type").alias("_type"), F.col("_p.part").alias("_part"))
 
 
 def _typed(parts: DataFrame, name: str, place: Column, text: Column) -> DataFrame:
@@ -88,7 +93,7 @@ def code_split(chunks: DataFrame) -> DataFrame:
     """T4: fenced blocks whole, the text between them split recursively with default sizes and its own separators."""
     parts = _interleaved(chunks, CODE_PATTERN, "code")
     split = F.when(F.col("_type") == "text", split_column(F.col("_part"), separators(F.col("_part")))).otherwise(F.array("_part"))
-    pieces = parts.select(*CHUNK_COLUMNS, "_i", "_type", F.posexplode(split).alias("_j", "_piece"))
+    pieces = parts.select(*chunks.columns, "_i", "_type", F.posexplode(split).alias("_j", "_piece"))
     return _typed(pieces, "code_aware", F.concat("place", F.array("_i", "_j")), F.col("_piece"))
 
 
@@ -104,10 +109,22 @@ def split_in_steps(chunks: DataFrame, steps: list[str], size: int | None = None)
 
 
 def split_by_strategy(pages: DataFrame, strategies: DataFrame, size: int | None = None) -> DataFrame:
-    """Each file through the steps of its strategy (path, strategy), numbered as chunks; files without one are left out."""
-    tagged = pages.join(strategies.select(F.col("path").alias("_path"), "strategy"), pages["path"].eqNullSafe(F.col("_path"))).drop("_path")
-    branches = [split_in_steps(as_chunks(tagged.where(F.col("strategy") == name)), steps, size) for name, steps in STEPS.items()]
-    return number_chunks(reduce(DataFrame.unionByName, branches))
+    """Each file through the steps of its strategy (path, strategy), numbered as chunks; files without one are left out.
+
+    A file takes the branch of its first step; what is to be split further goes through one recursive pass for all.
+    """
+    tagged = pages.join(strategies.select(F.col("path").alias("_path"), "strategy"), pages["path"].eqNullSafe(F.col("_path")))
+    starts = {"table_aware": table_split, "code_aware": code_split, "section_aware": section_split, "semantic": lambda d: d}
+
+    def names(wanted) -> list[str]:
+        return [name for name, steps in STEPS.items() if wanted(steps)]
+
+    branches = []
+    for first, splitter in starts.items():
+        mine = tagged.where(F.col("strategy").isin(*names(lambda steps, first=first: steps[0] == first)))
+        branches.append(splitter(as_chunks(mine, "strategy")))
+    last = F.col("strategy").isin(*names(lambda steps: steps[-1] == "semantic"))
+    return number_chunks(semantic_split(reduce(DataFrame.unionByName, branches), size, only=last).drop("strategy"))
 
 
 def number_chunks(chunks: DataFrame) -> DataFrame:

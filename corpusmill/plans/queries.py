@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.functions.models import EMBEDDERS
-from corpusmill.functions.scratch import shared_folder
+from corpusmill.functions.scratch import shared_folder, written
 from corpusmill.operators import answering, chunks, mmr, profile, reports, routing, search, splitting, store as stores
 from corpusmill.plans import inputs as i, workloads
 from corpusmill.sources import files
@@ -161,7 +161,7 @@ def t5_step_chain(spark, sf_dir):
 def t6_split_by_strategy(spark, sf_dir):
     pages = i.decorated_pages(spark, sf_dir)
     profiles = profile.profile_files(profile.sample_pages(pages))
-    return splitting.split_by_strategy(pages, routing.routed(profiles, pages)).drop("place")
+    return splitting.split_by_strategy(pages, written(routing.routed(profiles, pages))).drop("place")
 
 
 @query(f"""WITH {TABLE_PARTS} SELECT path, page_no, part_index, row_number() OVER (PARTITION BY path ORDER BY page_no, part_index) - 1 AS chunk_index, count(*) OVER (PARTITION BY path) AS chunk_total FROM tp""")
