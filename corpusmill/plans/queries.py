@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.functions.models import EMBEDDERS
+from corpusmill.functions.models import EMBEDDERS, text_model
 from corpusmill.functions.scratch import shared_folder, written
 from corpusmill.operators import answering, chunks, mmr, profile, reports, routing, search, splitting, store as stores
 from corpusmill.plans import inputs as i, workloads
@@ -331,6 +331,22 @@ def s6_append_store(spark, sf_dir):
     return spark.read.parquet(base).groupBy("domain", "content_type").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {i.STORE} SELECT chunk_id, coalesce(content_type, 'general') AS content_type, text FROM st WHERE domain = 'd1'")
+def s5_load_store(spark, sf_dir):
+    base = shared_folder(spark)
+    files.save_stores(i.store(spark, sf_dir), base)
+    return files.load_store(spark, base, "d1")[0].select("chunk_id", "content_type", "text")
+
+
+@query("SELECT source, count(*) AS pages, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents WHERE text <> '' GROUP BY 1")
+def s2_pages_of_files(spark, sf_dir):
+    folder = shared_folder(spark)
+    docs = i.table(spark, sf_dir, "documents").select("source", "text")
+    docs.write.partitionBy("source").option("lineSep", "\f").option("maxRecordsPerFile", 500).text(folder)
+    pages = files.pages_of_files(spark, folder, "plain", ".txt").where("text <> ''")
+    return pages.groupBy(F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source")).agg(F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars"))
+
+
 # Questions, answers and sessions
 
 
@@ -411,6 +427,21 @@ def a9_cache_stats(spark, sf_dir):
     return answering.cache_stats(i.answer_cache(spark, sf_dir))
 
 
+@query("SELECT count(*) AS entries, CAST(sum(length(text)) AS BIGINT) AS total_chars, round(avg(length(text)), 0) AS avg_chars FROM conversations WHERE role = 'user' AND conv_id % 3 = 0")
+def s8_publish_answers(spark, sf_dir):
+    path, answers = shared_folder(spark), i.answer_cache(spark, sf_dir)
+    files.publish_answers(answers, path)
+    files.clear_answers(spark, path)
+    files.publish_answers(answers, path)
+    return answering.cache_stats(spark.read.parquet(path))
+
+
+@query("SELECT conv_id, turn, lower(text) AS answer FROM conversations")
+def u4_text_model(spark, sf_dir):
+    model = text_model(lambda texts: texts.fillna("").str.lower())
+    return i.table(spark, sf_dir, "conversations").select("conv_id", "turn", model(F.col("text")).alias("answer"))
+
+
 @query("""WITH t AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2), d AS (SELECT user_id, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS types FROM t GROUP BY 1)
 SELECT user_id AS session_id, count(*) AS queries, round(sum(value), 3) AS total_elapsed, round(sum(value) / count(*), 3) AS avg_elapsed, any_value(types) AS types, count(*) FILTER (WHERE event_id % 3 = 0) AS hits, count(*) FILTER (WHERE event_id % 3 <> 0) AS misses,
   CAST(round_even(count(*) FILTER (WHERE event_id % 3 = 0) / count(*) * 100, 0) AS INTEGER) || '%' AS hit_rate, CAST(sum(CASE WHEN event_id % 7 > 0 THEN greatest(event_id % 7 - event_id % 5, 0) ELSE 0 END) AS BIGINT) AS removed FROM events JOIN d USING (user_id) GROUP BY 1""")
