@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import batches, fuzzy_lines, langid_bloom, queue_bpe, simhash_pivots, suffix_automaton
+from corpusmill.llm import batches, fuzzy_lines, langid_bloom, queue_bpe, shingle_copies, suffix_automaton
 
 #: A document whose best language holds a smaller share of its n-grams is of no known language.
 MIN_LANGUAGE_SCORE = 0.2
@@ -22,8 +22,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash_pivots.keep_one_of_each(docs)
+    """One document of each group of near copies: five-word shingles with a Jaccard similarity of 0.8, or like SimHashes."""
+    return shingle_copies.keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

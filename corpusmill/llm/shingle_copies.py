@@ -1,0 +1,112 @@
+"""Near copies of whole documents: every pair whose five-word shingles have a Jaccard similarity of 0.8 or more.
+
+A SimHash of 64 bits can't find these pairs by blocks: at 0.8 about 10 bits differ on average, and a radius that holds nearly
+all of them leaves blocks of 3 or 4 bits. Each document instead gives the smallest fifth of its shingle hashes; two documents
+of the similarity share one of these (the prefix filter), so no pair is lost. Pairs that meet are verified on their texts.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from corpusmill.llm.batches import map_rows, settled
+from corpusmill.llm.graph import connected
+from corpusmill.llm.simhash_pivots import SEED, group_near_copies
+
+SHINGLE = 5
+SIMILARITY = 0.8
+
+
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.empty(0, np.int64)
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
+    digest = xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(g, SEED) for g in grams), "<u8", max(1, len(words) - shingle + 1))
+    return np.unique(hashes.view("<i8"))
+
+
+def least_shared(n: int, similarity: float) -> int:
+    """Shingles that a set of n has in common with any set of the similarity, at least."""
+    return int(np.ceil(n * similarity - 1e-9))
+
+
+def jaccard(a: str | None, b: str | None, shingle: int = SHINGLE) -> float:
+    x, y = shingles(a, shingle), shingles(b, shingle)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def prefixes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """For each text: id, set (digest of its shingles), n (their number), low (the smallest ones, by which near copies meet)."""
+    fields = [T.StructField("set", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("low", T.ArrayType(T.LongType()))]
+
+    def helper(texts):
+        sets, sizes, lows = [], [], []
+        for text in texts:
+            x = shingles(text)
+            sets.append(xxhash.xxh3_128_hexdigest(x.tobytes()))
+            sizes.append(len(x))
+            lows.append(x[: len(x) - least_shared(len(x), similarity) + 1].tolist())
+        return [sets, sizes, lows]
+
+    return map_rows(docs, ["id", "text"], 1, fields, lambda: helper)
+
+
+def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of ids whose texts have the similarity. docs: id, text. Only the texts in question are moved."""
+    asked = settled(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    texts = settled(docs.join(asked, "id"))
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    near = map_rows(both, ["a", "b", "ta", "tb"], 2, [T.StructField("near", T.DoubleType())], lambda: lambda x, y: [[jaccard(s, t) for s, t in zip(x, y, strict=True)]])
+    return near.where(F.col("near") >= similarity - 1e-9).select("a", "b").distinct()
+
+
+def _possible(na: Column, ia: Column, nb: Column, ib: Column, similarity: float) -> Column:
+    """Sets of na and nb hashes, of which those at ia and ib are equal and the smallest shared, can have the similarity."""
+    shared = F.least(na - ia, nb - ib)
+    return shared * (1 + similarity) >= (na + nb) * similarity - 1e-6
+
+
+def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that connect all documents of the similarity, and none below it. docs: id (not null), text.
+
+    Documents that share a low hash are first compared with the smallest id that has it, then with each other, but only
+    where they are in different groups still. No bucket is left out and none is cut.
+    """
+    prints = settled(prefixes(docs, similarity))
+    nodes = prints.groupBy("set").agg(F.min("id").alias("id"))
+    same = prints.join(nodes.select("set", F.col("id").alias("first")), "set").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    low = prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", F.posexplode("low").alias("at", "key"))
+    buckets = low.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first")
+    members = settled(low.join(buckets, "key").select("key", "id", "n", "at", "first"))
+    head = members.where("id = first").select("key", F.col("n").alias("n0"), F.col("at").alias("at0"))
+    led = members.where("id <> first").join(head, "key").where(_possible(F.col("n0"), F.col("at0"), F.col("n"), F.col("at"), similarity))
+    found = settled(same.unionByName(verify(settled(led.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()), docs, similarity)))
+    groups = settled(connected(found, "a", "b"))
+    placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "at", "first", F.coalesce("component", "id").alias("group"))
+    apart = placed.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
+    rest = settled(placed.join(apart, "key"))
+    left, right = (rest.select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "at", "group", "first"))) for s in "ab")
+    # pairs with the first one were compared above
+    new = (F.col("groupa") < F.col("groupb")) & (F.col("ida") != F.col("firsta")) & (F.col("idb") != F.col("firsta"))
+    possible = _possible(F.col("na"), F.col("ata"), F.col("nb"), F.col("atb"), similarity)
+    more = left.join(right, "key").where(new & possible).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    return found.unionByName(verify(settled(more), docs, similarity))
+
+
+def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents whose id is the smallest of its group, unchanged and with all their columns.
+
+    Groups are joined by near copies of the similarity and by fingerprints as in simhash_pivots. Rows without an id stay,
+    and so do all rows that share a kept id; texts without words are one group.
+    """
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    prints = group_near_copies(plain, id_col="id").where("id <> component_id").select(F.col("component_id").alias("a"), F.col("id").alias("b"))
+    groups = connected(prints.unionByName(links(plain.where("id is not null"), similarity)), "a", "b")
+    gone = groups.where("node <> component").select(F.col("node").alias("_gone"))
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -1,0 +1,41 @@
+import random
+from itertools import combinations
+
+from corpus_pipeline import near_dedup
+from corpusmill.llm import shingle_copies
+from tests.llm.test_dedup import groups_of, plain_fingerprint
+
+
+def plain_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or {tuple(words)}
+
+
+def alike(a, b):
+    x, y = plain_shingles(a), plain_shingles(b)
+    return len(x & y) / len(x | y) >= 0.8
+
+
+def test_every_pair_at_the_similarity_is_found(spark):
+    """Changed words up to and beyond the similarity, in documents of all lengths, a crowd of them and a phrase that all share."""
+    random.seed(8)
+    rows = []
+    for n in (1, 4, 5, 12, 40, 150, 600):
+        for _ in range(3):
+            words = [f"w{random.randrange(5000)}" for _ in range(n)]
+            for part in (0, 0.01, 0.02, 0.03, 0.05):
+                rows.append(" ".join(f"x{random.randrange(5000)}" if random.random() < part else w for w in words))
+    crowd = [f"c{k}" for k in range(60)]
+    rows += [" ".join([*crowd[:k], "new", *crowd[k + 1 :]]) for k in range(60)]
+    rows += [f"this phrase is in every one {' '.join(random.choice('abcdefgh') + str(random.randrange(400)) for _ in range(20))}" for _ in range(80)]
+    rows += [" ".join(rows[30].split()).upper(), "", None, " \n"]
+    ids = list(range(len(rows)))
+    docs = spark.createDataFrame([(k, t, "x") for k, t in zip(ids, rows)] + [(None, rows[0], "y"), (3, rows[3], "z")], "doc_id long, text string, component_id string")
+    near = [(a, b) for a, b in combinations(ids, 2) if alike(rows[a], rows[b])]
+    found = groups_of(ids, [(r.a, r.b) for r in shingle_copies.links(docs.where("doc_id is not null").selectExpr("doc_id as id", "text")).collect()])
+    assert found == groups_of(ids, near)
+    prints = [plain_fingerprint(t) for t in rows]
+    same = [(a, b) for a, b in combinations(ids, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert len(set(groups_of(ids, near).values())) < len(set(groups_of(ids, same).values()))
+    kept = near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(groups_of(ids, near + same).values()) | {None}
