@@ -1,7 +1,7 @@
 """URL filter: the ratio of two character language models, calibrated on URLs that rules decide.
 
 Rules label URLs. Each label trains a variable-order Markov model over the characters of host and path: counts of
-every order from 0 to ORDER over all labelled URLs, smoothed by handing each order's mass down to the next shorter
+every order from 0 to ORDER over all labelled URLs, kept exactly, smoothed by handing each order's mass down to the next shorter
 context. URLs without a rule are judged by the difference of the two log-likelihoods per character, against a
 threshold that is calibrated on a fold of the labelled URLs that the models did not see.
 """
@@ -11,11 +11,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpusmill.llm.batches import map_rows
+from corpusmill.llm.batches import map_rows, settled
 
 ORDER = 4
-#: Slots of the count table of an order. Fixed, so that the models' size does not grow with the corpus.
-SLOTS = 1 << 16
 #: Weight of the shorter context when a longer one is consulted.
 WEIGHT = 2.0
 #: Characters of the models: a-z, one digit class, -._~/%?=& and one class for all others, with a mark for the ends.
@@ -62,71 +60,51 @@ _CLASS = _classes()
 SYMBOLS = len(ALPHABET) + 1
 
 
-def slots(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of context+character and of the context alone, for each order and each character to predict."""
+def grams(url: str) -> list[int]:
+    """For each character to predict the number that its context of ORDER characters and itself spell, exactly."""
+    code = codes(url)
     n = len(code) - ORDER
-    grams, contexts = np.empty((ORDER + 1, n), np.int64), np.empty((ORDER + 1, n), np.int64)
-    context = np.zeros(n, np.int64)
+    number = np.zeros(n, np.int64)
     for k in range(ORDER + 1):
-        if k:
-            context = context * SYMBOLS + code[ORDER - k : ORDER - k + n] + 1
-        # a fixed odd multiplier spreads what does not fit the table
-        mixed = (context * SYMBOLS + code[ORDER:]) * 0x9E3779B1
-        grams[k] = (mixed ^ (mixed >> 15)) % SLOTS
-        mixed = (context + 1) * 0x85EBCA6B
-        contexts[k] = (mixed ^ (mixed >> 15)) % SLOTS
-    return grams, contexts
-
-
-class MarkovPair:
-    """Log-likelihood difference per character of an accepted and a rejected model."""
-
-    def __init__(self, tables: np.ndarray):
-        """tables: [model, grams or contexts, order, slot] counts."""
-        self.tables = tables
-
-    def score(self, url: str) -> float:
-        code = codes(url)
-        grams, contexts = slots(code)
-        logs = []
-        for model in self.tables:
-            p = np.full(grams.shape[1], 1.0 / SYMBOLS)
-            for k in range(ORDER + 1):
-                p = (model[0, k, grams[k]] + WEIGHT * p) / (np.maximum(model[1, k, contexts[k]], model[0, k, grams[k]]) + WEIGHT)
-            logs.append(np.log(p).mean())
-        return float(logs[0] - logs[1])
-
-
-def train(labelled: DataFrame) -> MarkovPair | None:
-    """Counts over all labelled URLs (columns full, action, calibrating = false); None unless both labels occur.
-
-    A task adds up its own table and emits the slots in use; the driver gets at most
-    2 models x 2 kinds x (ORDER + 1) x SLOTS sums, whatever the size of the input.
+        number = number * SYMBOLS + code[k : k + n]
+    return number.tolist()
+
+
+def train(labelled: DataFrame) -> DataFrame | None:
+    """Exact counts over all labelled URLs (columns action, grams): gram, allow, block; None unless both labels occur.
+
+    One row for each distinct context of ORDER characters with its character, however many there are; none leaves Spark.
+    """
+    each = labelled.select((F.col("action") == "allow").cast("long").alias("allow"), F.explode("grams").alias("gram"))
+    counts = settled(each.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum(1 - F.col("allow")).alias("block")))
+    allow, block = counts.agg(F.max("allow"), F.max("block")).first()
+    return counts if allow and block else None
+
+
+def log_ratios(asked: DataFrame, counts: DataFrame) -> DataFrame:
+    """Difference of the log-probabilities that the two models give to a character after its context: gram, ratio.
+
+    asked: gram, distinct. Each order's counts are sums of those of the longest; the longer context is smoothed by the shorter.
     """
-    fields = [T.StructField("slot", T.IntegerType()), T.StructField("n", T.LongType())]
-    size = 4 * (ORDER + 1) * SLOTS
-
-    def count(batches):
-        import pyarrow as pa
-
-        table = np.zeros((2, 2, ORDER + 1, SLOTS), np.int64)
-        for batch in batches:
-            for action, full in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams, contexts = slots(codes(full))
-                model = table[0 if action == "allow" else 1]
-                for k in range(ORDER + 1):
-                    np.add.at(model[0, k], grams[k], 1)
-                    np.add.at(model[1, k], contexts[k], 1)
-        flat = table.ravel()
-        used = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(flat[used], pa.int64())], names=["slot", "n"])
-
-    sums = labelled.where(~F.col("calibrating")).select("action", "full").mapInArrow(count, T.StructType(fields)).groupBy("slot").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()
-    table = np.zeros(size, np.int64)
-    table[found["slot"].to_numpy()] = found["n"].to_numpy()
-    table = table.reshape(2, 2, ORDER + 1, SLOTS)
-    return MarkovPair(table) if table[0].any() and table[1].any() else None
+    out = asked.select("gram", *(F.lit(1.0 / SYMBOLS).alias(f"p_{m}") for m in ("allow", "block")))
+    for k in range(ORDER + 1):
+        gram = F.col("gram") % SYMBOLS ** (k + 1)
+        context = F.floor(gram / SYMBOLS).cast("long")
+        seen = counts.groupBy(gram.alias("_g")).agg(F.sum("allow").alias("g_allow"), F.sum("block").alias("g_block"))
+        before = counts.groupBy(context.alias("_c")).agg(F.sum("allow").alias("c_allow"), F.sum("block").alias("c_block"))
+        joined = out.withColumns({"_g": gram, "_c": context}).join(seen, "_g", "left").join(before, "_c", "left").fillna(0)
+        out = joined.select("gram", *(((F.col(f"g_{m}") + WEIGHT * F.col(f"p_{m}")) / (F.col(f"c_{m}") + WEIGHT)).alias(f"p_{m}") for m in ("allow", "block")))
+    return out.select("gram", (F.log("p_allow") - F.log("p_block")).alias("ratio"))
+
+
+def scores(spelled: DataFrame, counts: DataFrame) -> DataFrame:
+    """Difference of the log-likelihoods per character: h1, h2, score. spelled: h1, h2 (of a distinct URL), grams.
+
+    Grams that most URLs have make hot keys of the last join; Spark splits them.
+    """
+    each = spelled.select("h1", "h2", F.explode("grams").alias("gram"))
+    ratios = settled(log_ratios(each.select("gram").distinct(), counts))
+    return each.join(ratios, "gram").groupBy("h1", "h2").agg(F.avg("ratio").alias("score"))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -146,14 +124,6 @@ def threshold(scored: DataFrame) -> float:
     return float(best[len(best) // 2] / BINS * 2 * RANGE - RANGE)
 
 
-def _scorer(shared):
-    def make():
-        pair = shared.value
-        return lambda urls: [[pair.score(u) for u in urls]]
-
-    return make
-
-
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Host, path, rule and verdict of each URL: id, host, path, rule, verdict, score.
 
@@ -167,13 +137,12 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     parts = urls.select("_id", host.alias("host"), path.alias("path"))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parts.select("_id", "host", "path", rule.alias("rule"), action.alias("action"), F.concat("host", "path").alias("full"))
-    labelled = ruled.where(F.col("action").isNotNull()).select("action", "full", (F.pmod(F.crc32("full"), F.lit(4)) == 0).alias("calibrating"))
-    pair = train(labelled)
-    score = [T.StructField("score", T.DoubleType())]
+    named = ruled.select("*", F.xxhash64("full").alias("h1"), F.xxhash64(F.lit("second"), "full").alias("h2"), (F.pmod(F.crc32("full"), F.lit(4)) == 0).alias("calibrating"))
+    spelled = settled(map_rows(named.dropDuplicates(["h1", "h2"]), ["h1", "h2", "full"], 2, [T.StructField("grams", T.ArrayType(T.LongType()))], lambda: lambda texts: [[grams(t) for t in texts]]))
+    pair = train(named.where(F.col("action").isNotNull() & ~F.col("calibrating")).select("action", "h1", "h2").join(spelled, ["h1", "h2"]))
     if pair is None:
         return ruled.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("action", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
-    shared = urls.sparkSession.sparkContext.broadcast(pair)
-    limit = threshold(map_rows(labelled.where("calibrating").select("action", "full"), ["action", "full"], 1, score, _scorer(shared)))
-    scored = map_rows(ruled, ["_id", "host", "path", "rule", "action", "full"], 5, score, _scorer(shared))
+    scored = settled(named.join(scores(spelled, pair), ["h1", "h2"]))
+    limit = threshold(scored.where(F.col("calibrating") & F.col("action").isNotNull()).select("action", "score"))
     verdict = F.coalesce("action", F.when(F.col("score") >= limit, "allow").otherwise("block"))
     return scored.select(F.col("_id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score")
