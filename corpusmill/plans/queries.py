@@ -532,7 +532,7 @@ def workload_a_corpus_to_store(spark, sf_dir):
 @query()
 def workload_b_questions_to_prompts(spark, sf_dir):
     queries = i.search_queries(spark, sf_dir)
-    docs = i.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.substring("text", 1, 80).alias("question"))
+    docs = i.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.col("text").alias("question"))
     questions = queries.join(docs, "query_id").withColumn("question_type", F.lit("factual"))
     scope = queries.select("query_id", F.explode(F.array(F.lit("d0_all"), F.lit("d1_all"))).alias("store_key"), F.lit(None).cast("double").alias("weight"))
     return workloads.questions_to_prompts(stores.with_store_keys(i.store(spark, sf_dir)), questions, scope)
