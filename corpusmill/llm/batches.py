@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -46,10 +47,12 @@ def map_rows(df: DataFrame, inputs: list[str], keep: int, results: list[T.Struct
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names; set one only where none is set, as in tests."""
+    """Use the shared folder that the cluster names. One is set here only on a single machine, as in tests."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or f"/tmp/checkpoints/{sc.applicationId}")
 
 
@@ -63,3 +66,22 @@ def settled(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, *partitions: str) -> tuple[DataFrame, str]:
+    """df written to the shared folder as compressed Parquet and read again, and its path for discard()."""
+    path = shared_folder(df.sparkSession)
+    df.write.partitionBy(*partitions).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files and checkpoints of tables that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

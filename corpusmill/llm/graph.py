@@ -25,7 +25,7 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
         before = now
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy("hi").agg(F.least(F.min("lo"), F.first("hi")).alias("m"))
-        large = both.join(least, "hi").where(F.col("lo") > F.col("hi")).select(F.col("lo").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.join(least, "hi").where(F.col("lo") > F.col("hi")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         edges = settled(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
