@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusmill.llm.batches import settled
+from corpusmill.llm.batches import settled, tidy
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -23,6 +23,7 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
         if not now[0] or now == before:
             break
         before = now
+        tidy(links.sparkSession)
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy("hi").agg(F.least(F.min("lo"), F.first("hi")).alias("m"))
         large = both.join(least, "hi").where(F.col("lo") > F.col("hi")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
