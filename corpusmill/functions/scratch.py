@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the checkpoint folder that the cluster names; under /tmp only where none is named, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
+    """A new folder under the checkpoint folder that the cluster names. Only a single machine, as in tests, may name none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
     return f"{base}/{uuid.uuid4().hex}"
 
 

@@ -93,10 +93,15 @@ def filtered_search(store: DataFrame, queries: DataFrame, wanted: dict, k: int =
 
 
 def first_of_each(hits: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each combination of keys."""
+    """The first row of each combination of keys, of groups that are small by design (a query's hits)."""
     return hits.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")
 
 
+def first_of_equal_texts(docs: DataFrame, order: str, text: str = "text") -> DataFrame:
+    """D2 on a table: the value of `order` of the first row of each text, by partial minima; a text that a third of all rows have is no hot group."""
+    return docs.groupBy(F.md5(text)).agg(F.min(order).alias(order)).select(order)
+
+
 def hybrid_search(store: DataFrame, queries: DataFrame, scope: DataFrame, k: int = 5) -> DataFrame:
     """K2: weighted search over several stores: query_id, rank, chunk_id, score (4 places), source_store.
 

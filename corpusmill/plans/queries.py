@@ -241,11 +241,11 @@ def j5_scope_by_keys(spark, sf_dir):
 
 
 @query(f"""WITH {i.STORE}, k AS (SELECT DISTINCT domain, domain || '_' || coalesce(content_type, 'general') AS store_key FROM st), n AS (SELECT domain, count(*) AS n FROM k GROUP BY 1)
-SELECT vec_id AS query_id, store_key, 1 / n AS weight FROM embeddings JOIN k ON k.domain = 'd' || (vec_id % 5) JOIN n ON n.domain = k.domain WHERE vec_id % 10 = 0""")
+SELECT vec_id AS query_id, store_key, 1 / n AS weight FROM embeddings JOIN k ON k.domain = 'd' || (vec_id % 5) JOIN n ON n.domain = k.domain""")
 def j5_scope_by_domain(spark, sf_dir):
     rows = i.store(spark, sf_dir)
     keys = rows.select(tx.store_key(F.col("domain"), F.col("content_type")).alias("store_key"), "domain")
-    asked = rows.where("chunk_id % 10 = 0").select(F.col("chunk_id").alias("query_id"), F.concat(F.lit("d"), (F.col("chunk_id") % 5).cast("string")).alias("domain"))
+    asked = rows.select(F.col("chunk_id").alias("query_id"), F.concat(F.lit("d"), (F.col("chunk_id") % 5).cast("string")).alias("domain"))
     return stores.scope_by_domain(asked, keys)
 
 
@@ -320,7 +320,7 @@ def w6_batch_numbers(spark, sf_dir):
 
 @query("SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
 def d2_content_dedupe(spark, sf_dir):
-    return search.first_of_each(i.table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("key")), ["key"], ["doc_id"]).select("doc_id")
+    return search.first_of_equal_texts(i.table(spark, sf_dir, "documents"), "doc_id")
 
 
 @query(f"""WITH {i.STORE} SELECT domain, coalesce(content_type, 'general') AS content_type, count(*) + count(*) FILTER (WHERE chunk_id % 2 = 0) AS n FROM st GROUP BY 1, 2""")
@@ -360,10 +360,10 @@ def _template_sql(name: str) -> str:
     return "'" + answering.TEMPLATES[name].replace("'", "''") + "'"
 
 
-@query(f"""SELECT conv_id, turn, replace(replace(CASE turn % 3 WHEN 1 THEN {_template_sql('summary')} WHEN 2 THEN {_template_sql('procedural')} ELSE {_template_sql('factual')} END, '{{context}}', substr(text, 1, 200)), '{{question}}', role) AS prompt FROM conversations""")
+@query(f"""SELECT conv_id, turn, replace(replace(CASE turn % 3 WHEN 1 THEN {_template_sql('summary')} WHEN 2 THEN {_template_sql('procedural')} ELSE {_template_sql('factual')} END, '{{context}}', text), '{{question}}', role) AS prompt FROM conversations""")
 def p10_render_prompt(spark, sf_dir):
     kind = F.when(F.col("turn") % 3 == 1, "summary").when(F.col("turn") % 3 == 2, "procedural").otherwise("factual")
-    return i.table(spark, sf_dir, "conversations").select("conv_id", "turn", answering.render_prompt(kind, F.substring("text", 1, 200), F.col("role")).alias("prompt"))
+    return i.table(spark, sf_dir, "conversations").select("conv_id", "turn", answering.render_prompt(kind, F.col("text"), F.col("role")).alias("prompt"))
 
 
 @query(r"""SELECT conv_id, turn, array_to_string(list_concat([role], list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '')), '<>') AS queries FROM conversations""")
