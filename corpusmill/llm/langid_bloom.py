@@ -24,8 +24,6 @@ SHARE = 5e-5
 POSITIONS, LOOKUPS = 1 << 20, 3
 #: Bound on the documents of a language that the filters are fitted on (expected number, chosen by a hash of the id).
 SAMPLE = 3000
-#: Languages that filters are made for, those with the most documents.
-MAX_LANGUAGES = 1024
 UNKNOWN = "und"
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -111,7 +109,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
     known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")).where(
         F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~F.coalesce(held_out("_id"), F.lit(False))
     )
-    sizes = known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("_lang").count().orderBy("_lang").collect()
     if not sizes:
         return SlicedFilters([], [])
     size_of = F.create_map(*(F.lit(x) for row in sizes for x in (row[0], float(row[1]))))
@@ -130,7 +128,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 
     counted = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = counted.join(F.broadcast(totals), "lang").where(F.col("n") >= F.greatest(F.lit(2.0), F.col("total") * SHARE / len(SIZES))).select("lang", "gram").toArrow()
+    frequent = counted.join(F.broadcast(totals), "lang").where(F.col("n") >= F.col("total") * SHARE / len(SIZES)).select("lang", "gram").toArrow()
     langs = frequent["lang"].to_pandas().to_numpy()
     grams = frequent["gram"].to_numpy().view(np.uint64)
     names = sorted(set(langs))

@@ -198,7 +198,7 @@ def features(samples: bytes, stream: Stream, n_pages: int, damaged: int) -> str:
 def read(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """Read Ogg files back: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
-    Null or alien bytes give an empty payload; a damaged page loses its packets, and the feature tells how many
+    Null or alien bytes give an empty payload, and a file that doesn't tell its length has that of its payload; a damaged page loses its packets, and the feature tells how many
     pages were damaged. Repeated rows give repeated results, an empty table none; other columns are ignored.
     """
     names = [("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
@@ -207,7 +207,8 @@ def read(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
         streams, sound, damaged = demultiplex(data)
         samples, info = streams.get(SAMPLES, Stream()), streams.get(INFO, Stream())
         payload = b"".join(samples.packets[2:])
-        n = struct.unpack("<Q", info.packets[1])[0] if len(info.packets) > 1 else len(payload)
+        told = info.packets[1] if len(info.packets) > 1 else b""
+        n = min(struct.unpack("<Q", told)[0], len(payload)) if len(told) == 8 else len(payload)
         return n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), features(payload, samples, sound, damaged)
 
     def run(column: list[bytes | None]) -> list:

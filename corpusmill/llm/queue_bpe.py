@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import unicodedata
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -20,10 +21,64 @@ WORD_END = "</w>"
 REMEMBERED = 250_000
 
 
+@lru_cache(maxsize=1)
+def unicode_differences() -> dict:
+    """Where the tokenizer library's Unicode tables differ from Python's and from the regex module's, which are of other versions.
+
+    lower: code points that it lower-cases or composes otherwise, and to what; L, N: characters that are letters or numbers for
+    one side only. They are found by asking the library's own normalizers and expressions about every code point.
+    """
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c) not in "\x85\u2028\u2029"]
+    joined = "\n".join(every)
+    theirs = normalizers.Lowercase().normalize_str(normalizers.NFC().normalize_str(joined)).split("\n")
+    ours = [lowered(c) for c in every]
+    out = {"lower": {ord(c): x for c, x, y in zip(every, theirs, ours, strict=True) if x != y}}
+    for kind in "LN":
+        pieces = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}"), "isolated").pre_tokenize_str(joined)
+        out[kind] = {p for p, _ in pieces if len(p) == 1 and p != "\n"} ^ set(regex.findall(rf"\p{{{kind}}}", joined))
+    return out
+
+
+def ranges(characters) -> str:
+    """Characters as ranges of a regular expression's class."""
+    out: list[list[int]] = []
+    for c in sorted(map(ord, characters)):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join([f"\\U{a:08x}-\\U{b:08x}" for a, b in out])
+
+
+def lowered(text: str) -> str:
+    """Composed and lower-case; lower case goes character by character, so a capital sigma never becomes the final form."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def _word_pattern(differences: dict) -> regex.Pattern:
+    """WORD with the characters that the two sides class otherwise on the library's side."""
+    def swapped(kind: str) -> str:
+        odd = ranges(differences[kind])
+        return rf"[\p{{{kind}}}~~[{odd}]]" if odd else rf"\p{{{kind}}}"
+
+    letters, numbers = swapped("L"), swapped("N")
+    return regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letters}+|{numbers}|[^\s{letters}{numbers}]+", regex.V1)
+
+
 class QueueCodec:
-    """Encoder and decoder of a lower-casing BPE vocabulary with word ends."""
+    """Encoder and decoder of a lower-casing BPE vocabulary with word ends.
 
-    def __init__(self, spec: dict):
+    differences: what unicode_differences() found.
+    """
+
+    def __init__(self, spec: dict, differences: dict | None = None):
+        differences = differences or unicode_differences()
+        self.lower = differences["lower"]
+        odd = {*map(chr, self.lower), *differences["L"], *differences["N"]}
+        self.odd = regex.compile(f"[{ranges(odd)}]") if odd else None
+        self.odd_words = _word_pattern(differences)
         vocab = spec["vocab"]
         self.bytes = byte_alphabet()
         self.strings = {i: s for s, i in vocab.items()} | {i: s for s, i in spec["special"].items()}
@@ -79,10 +134,10 @@ class QueueCodec:
             if piece in self.special:
                 out.append((1, str(self.special[piece]), piece))
             elif piece:
-                # lower case goes character by character, so a capital sigma never becomes the final form
-                plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-                known = self.known
-                out += [known.get(w) or self.of_word(w) for w in self.words.findall(plain)]
+                words, known = self.words, self.known
+                if self.odd and not piece.isascii() and self.odd.search(piece):
+                    words, piece = self.odd_words, piece.translate(self.lower)
+                out += [known.get(w) or self.of_word(w) for w in words.findall(lowered(piece))]
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -94,17 +149,22 @@ class QueueCodec:
 
 
 @lru_cache(maxsize=2)
-def codec_of(text: str) -> QueueCodec:
+def codec_of(text: str, differences: str) -> QueueCodec:
     """One codec for each worker process and vocabulary."""
-    return QueueCodec(parse(text))
+    return QueueCodec(parse(text), {k: set(v) if isinstance(v, list) else {int(c): x for c, x in v.items()} for k, v in json.loads(differences).items()})
+
+
+def _told_differences() -> str:
+    """unicode_differences() as text, found once on the driver: some thousand characters, whatever the corpus holds."""
+    return json.dumps({k: sorted(v) if isinstance(v, set) else v for k, v in unicode_differences().items()})
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token ids of each text: id, ids array<int>. A null or empty text has no ids; other columns are ignored."""
-    vocabulary = read_on_driver(docs.sparkSession, path)
+    vocabulary, differences = read_on_driver(docs.sparkSession, path), _told_differences()
 
     def make():
-        codec = codec_of(vocabulary.value)
+        codec = codec_of(vocabulary.value, differences)
         return lambda texts: [[codec.encode(t or "") for t in texts]]
 
     return map_rows(docs, [id_col, text_col], 1, [T.StructField("ids", T.ArrayType(T.IntegerType()))], make)
@@ -112,10 +172,10 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
 def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Texts of arrays of token ids: id, decoded. Null or empty ids give an empty text; an unknown id is an error."""
-    vocabulary = read_on_driver(encoded.sparkSession, path)
+    vocabulary, differences = read_on_driver(encoded.sparkSession, path), _told_differences()
 
     def make():
-        codec = codec_of(vocabulary.value)
+        codec = codec_of(vocabulary.value, differences)
         return lambda rows: [[codec.decode(ids or []) for ids in rows]]
 
     return map_rows(encoded, [id_col, ids_col], 1, [T.StructField("decoded", T.StringType())], make)
@@ -125,12 +185,13 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """Encode each text, decode it again and return digests of both in one pass.
 
     Returns id, n_tokens, ids_sha256, decoded_sha256. A null or empty text has no tokens and the digests of the
-    empty string. Repeated rows give repeated results, an empty table none; ids may be null.
+    empty string. Texts of any length are taken whole. Of pairs with equal rank the leftmost is merged first. Repeated rows give repeated
+    results, an empty table none; ids may be null; other columns are ignored, whatever their names.
     """
-    vocabulary = read_on_driver(docs.sparkSession, path)
+    vocabulary, differences = read_on_driver(docs.sparkSession, path), _told_differences()
 
     def make():
-        codec = codec_of(vocabulary.value)
+        codec = codec_of(vocabulary.value, differences)
 
         def run(texts):
             counts, ids, decoded = [], [], []

@@ -21,6 +21,8 @@ from corpusmill.llm.batches import map_rows
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: The same matches, looked for once in each run of digits only.
+IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: The characters that an e-mail address can hold before its at-sign.
@@ -31,11 +33,12 @@ MAX_ATOMS, MAX_WINDOW = 20, 160
 #: Documents and windows that the model is fitted on at most (expected number of documents, by a hash of the text).
 FIT_DOCS, FIT_WINDOWS = 20_000, 500
 #: Updates of the weights, in rounds over all windows, with a falling rate.
-UPDATES, RATE, DECAY = 3000, 0.3, 1e-4
+UPDATES, RATE, DECAY = 6000, 0.3, 1e-4
 #: Score by which an added segment must beat the same atoms left outside.
-MARGIN = 4.0
+MARGIN = 2.0
 #: Where a window begins and how it goes on.
-TRIGGER = re.compile(r"[0-9@][A-Za-z0-9._%+@()\-]{0,120}(?: (?=[0-9+(])[0-9().+\-]{1,40}){0,6}")
+AT = "(at)"
+TRIGGER = re.compile(r"(?:[0-9@]|\(at\))[A-Za-z0-9._%+@()\-]{0,120}(?: (?=[0-9+(])[0-9().+\-]{1,40}){0,6}")
 BEFORE = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+@()-")
 ATOM = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
 
@@ -51,6 +54,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _is_ip(text: str) -> bool:
+    """Whether all parts are at most 255; parts can have any number of digits."""
+    return all(len(q := p.lstrip("0")) <= 3 and int(q or 0) <= 255 for p in text.split("."))
+
+
 def _digits(text: str) -> str:
     return "".join([c for c in text if "0" <= c <= "9"])
 
@@ -75,7 +83,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(a, 0, b) for a, b in _emails(text)]
     if re.search(r"[0-9]", text):
         if "." in text:
-            out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+            out += [(m.start(), 1, m.end()) for m in IP_RUNS.finditer(text) if _is_ip(m[0])]
         out += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if m.end() - m.start() >= 14 and 14 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
         if "+" in text:
             out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(_digits(m[0])) <= 15]
@@ -99,6 +107,7 @@ FEATURES = (
     "bias", "one_at", "at_inside", "dot_after_at", "starts_plus", "luhn_14_19", "digits_10_15", "digits_14_19", "digits_under_7", "digits_over_19",
     "four_groups", "groups_to_255", "three_dots_only", "has_letter", "letters_only", "digits_only", "has_space", "has_bracket", "has_dash", "edge_mark",
     "cut_digit", "cut_letter", "cut_local", "one_atom", "up_to_5_atoms", "up_to_10_atoms", "over_10_atoms", "hex_mix", "short_top", "starts_zero",
+    "closed_bracket", "ten_or_more_digits", "has_slash", "starts_00",
 )
 _NUMBER = {name: i for i, name in enumerate(FEATURES)}
 
@@ -111,10 +120,11 @@ def span_features(text: str, start: int, end: int, n_atoms: int) -> list[int]:
     before, after = text[start - 1] if start else " ", text[end] if end < len(text) else " "
     parts = s.split(".")
     numeric = all(p.isascii() and p.isdigit() for p in parts)
-    at = s.find("@")
+    at = max(s.find("@"), s.find(AT))
+    ats = s.count("@") + s.count(AT)
     holds = {
         "bias": True,
-        "one_at": s.count("@") == 1,
+        "one_at": ats == 1,
         "at_inside": 0 < at < len(s) - 1,
         "dot_after_at": at > 0 and "." in s[at + 2 : -1],
         "starts_plus": s[0] == "+" and len(s) > 1 and s[1].isdigit(),
@@ -131,6 +141,10 @@ def span_features(text: str, start: int, end: int, n_atoms: int) -> list[int]:
         "digits_only": len(d) == len(s),
         "has_space": " " in s,
         "has_bracket": "(" in s or ")" in s,
+        "closed_bracket": s.count("(") == s.count(")"),
+        "ten_or_more_digits": len(d) >= 10,
+        "has_slash": "/" in s or "_" in s,
+        "starts_00": s[:2] == "00",
         "has_dash": "-" in s,
         "edge_mark": not s[-1].isalnum() or not (s[0].isalnum() or s[0] in "+("),
         "cut_digit": before.isdigit() and s[0].isdigit() or after.isdigit() and s[-1].isdigit(),
@@ -171,7 +185,8 @@ def segments(text: str) -> Segments:
             begin.append(i)
             end.append(j)
             rows.append(row)
-            bare.append(not any(c == "@" or c.isdigit() for c in text[atoms[i][0] : atoms[j - 1][1]]))
+            piece = text[atoms[i][0] : atoms[j - 1][1]]
+            bare.append(AT not in piece and not any(c == "@" or c.isdigit() for c in piece))
     return Segments(atoms, np.array(begin), np.array(end), np.array(rows), np.array(bare))
 
 
@@ -278,8 +293,59 @@ def labelled(text: str) -> tuple[Segments, list[tuple[int, int, int]]] | None:
     return s, truth
 
 
+def disguised(text: str, span: tuple[int, int, int]) -> tuple[Segments, list[tuple[int, int, int]]] | None:
+    """As labelled(), with the disguised entity as the only one."""
+    s = segments(text)
+    begin, end = [i for i, x in enumerate(s.atoms) if x[0] == span[0]], [i + 1 for i, x in enumerate(s.atoms) if x[1] == span[2]]
+    return (s, [(begin[0], end[0], span[1])]) if begin and end and end[0] - begin[0] <= MAX_ATOMS else None
+
+
+def disguises(kind: int, entity: str) -> list[str]:
+    """Forms of an entity that the base patterns don't take."""
+    digits = _digits(entity)
+    if kind == 0:
+        return [entity.replace("@", AT)]
+    if kind == 2:
+        groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return [".".join(groups), "/".join(groups)]
+    if kind == 3:
+        plain = entity.lstrip("+")
+        forms = ["00" + plain, re.sub(r"[ ().-]+", "/", plain), re.sub(r"[ ().-]+", ".", plain)]
+        local = re.match(r"\+[0-9]+[ .-]+(\(?[0-9].*)", entity)
+        return forms + ([local[1]] if local and len(_digits(local[1])) >= 9 else [])
+    return []
+
+
+DATE = re.compile(r"(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}(?![0-9])")
+#: Numbers that are no personal data, by the side of those in the texts: dates, times, versions, amounts, counters.
+DECOYS = ("on 2024-05-06 12:30 and", "from 12/31/1999 to", "version 10.15.7 of", "item 1234567890 in", "cost 1,250,000.00 net", "code 4929 1234 5678 9012 3 or", "range 1990-2024 of", "see 10.1000/182 and", "call f(at) once", "at 192.168.001.300 or", "user bob@localhost said")
+
+
+def variants(window: str) -> list[tuple[str, tuple[int, int, int]]]:
+    """The window with its only base entity disguised, and where it then stands: (start, kind, end)."""
+    base = base_spans(window)
+    if len(base) != 1:
+        return []
+    a, kind, b = base[0]
+    return [(window[:a] + form + window[b:], (a, kind, a + len(form))) for form in disguises(kind, window[a:b])]
+
+
+def valid(kind: int, text: str) -> bool:
+    """What an added span must hold besides the model's score."""
+    digits = _digits(text)
+    if kind == 0:
+        return bool(EMAIL.fullmatch(text.replace(AT, "@")))
+    if kind == 1:
+        return bool(IP.fullmatch(text)) and _is_ip(text)
+    if kind == 2:
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 and not IP.fullmatch(text) and not DATE.match(text)
+
+
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS, text_col: str = "text") -> SemiCrf:
-    """A model of the windows of a bounded sample of texts, with the base patterns as labels.
+    """A model of the windows of a bounded sample of texts.
+
+    Labels are the base patterns, and entities in forms that those don't take (disguises), made from the sample's own.
 
     Both bounds are by hashes of texts, so a sample doesn't depend on partitions or on the order of rows; half of the
     windows hold an entity, half hold none. Without windows the model is empty and adds nothing.
@@ -296,7 +362,8 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOW
     listed = map_rows(chosen, ["_text"], 0, [T.StructField("found", kind)], lambda: lambda column: [[pieces(t) for t in column]])
     each = listed.selectExpr("inline(found)").distinct()
     rows = [r[0] for entity in (True, False) for r in each.where(F.col("entity") == entity).orderBy(F.xxhash64("window"), "window").limit(fit_windows // 2).collect()]
-    examples = [x for w in sorted(rows) if (x := labelled(w))]
+    rows = sorted(rows)
+    examples = [x for w in [*rows, *DECOYS * (8 * bool(rows))] if (x := labelled(w))] + [x for w in rows for v in variants(w) if (x := disguised(*v))]
     model, random = SemiCrf(), np.random.default_rng(0)
     for epoch in range(-(-UPDATES // len(examples)) if examples else 0):
         for k in random.permutation(len(examples)):
@@ -315,12 +382,12 @@ def spans_of(text: str, model: SemiCrf) -> tuple[list[tuple[int, int, int]], lis
         while k < len(base) and base[k][2] <= a:
             k += 1
         piece = text[a:b]
-        if k < len(base) and base[k][0] <= a and base[k][2] >= b or not ("@" in piece or len(_digits(piece)) >= 7 or piece.count(".") >= 3):
+        if k < len(base) and base[k][0] <= a and base[k][2] >= b or not ("@" in piece or AT in piece or len(_digits(piece)) >= 7 or piece.count(".") >= 3):
             continue
         s = segments(piece)
         for i, j, kind in model.best(s):
             start, end = a + s.atoms[i][0], a + s.atoms[j - 1][1]
-            if all(y <= start or x >= end for x, _, y in base):
+            if valid(kind, text[start:end]) and all(y <= start or x >= end for x, _, y in base):
                 added.append((start, kind, end))
     return base, sorted(base + added)
 
@@ -333,7 +400,8 @@ def find_pii(docs: DataFrame, model: SemiCrf, id_col: str = "doc_id", text_col:
     """Personal data of each text.
 
     Returns id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (base and added ones as
-    kind:start:end). A null or empty text has none. Repeated rows give repeated results; other columns are ignored.
+    kind:start:end). A null or empty text has none, a text of any length is taken whole, in time that grows with its length.
+    Of equal scores the segmentation found first stands. An empty table gives an empty one. Repeated rows give repeated results; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField(f"n_{k}", T.LongType()) for k in KINDS] + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
