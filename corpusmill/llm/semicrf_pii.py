@@ -38,8 +38,8 @@ UPDATES, RATE, DECAY = 6000, 0.3, 1e-4
 MARGIN = 2.0
 #: Where a window begins and how it goes on.
 AT = "(at)"
-TRIGGER = re.compile(r"(?:[0-9@]|\(at\))[A-Za-z0-9._%+@()\-]{0,120}(?: (?=[0-9+(])[0-9().+\-]{1,40}){0,6}")
-BEFORE = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+@()-")
+TRIGGER = re.compile(r"(?:[0-9@]|\(at\))[A-Za-z0-9._%+@()/\-]{0,120}(?: (?=[0-9+(])[0-9().+/\-]{1,40}){0,6}")
+BEFORE = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+@()/-")
 ATOM = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
 
 
@@ -293,11 +293,12 @@ def labelled(text: str) -> tuple[Segments, list[tuple[int, int, int]]] | None:
     return s, truth
 
 
-def disguised(text: str, span: tuple[int, int, int]) -> tuple[Segments, list[tuple[int, int, int]]] | None:
-    """As labelled(), with the disguised entity as the only one."""
+def disguised(text: str, spans: list[tuple[int, int, int]]) -> tuple[Segments, list[tuple[int, int, int]]] | None:
+    """As labelled(), with the given (start, kind, end) as the entities."""
     s = segments(text)
-    begin, end = [i for i, x in enumerate(s.atoms) if x[0] == span[0]], [i + 1 for i, x in enumerate(s.atoms) if x[1] == span[2]]
-    return (s, [(begin[0], end[0], span[1])]) if begin and end and end[0] - begin[0] <= MAX_ATOMS else None
+    begin, end = {x[0]: i for i, x in enumerate(s.atoms)}, {x[1]: i + 1 for i, x in enumerate(s.atoms)}
+    truth = [(begin.get(a), end.get(b), kind) for a, kind, b in spans]
+    return (s, truth) if all(a is not None and b is not None and b - a <= MAX_ATOMS for a, b, _ in truth) else None
 
 
 def disguises(kind: int, entity: str) -> list[str]:
@@ -312,22 +313,32 @@ def disguises(kind: int, entity: str) -> list[str]:
         plain = entity.lstrip("+")
         forms = ["00" + plain, re.sub(r"[ ().-]+", "/", plain), re.sub(r"[ ().-]+", ".", plain)]
         local = re.match(r"\+[0-9]+[ .-]+(\(?[0-9].*)", entity)
-        return forms + ([local[1]] if local and len(_digits(local[1])) >= 9 else [])
+        return forms + ([local[1]] if local and len(_digits(local[1])) >= 10 else [])
     return []
 
 
+#: Dates, and four parts of an address that is none, are no phone numbers.
+SHORT_PARTS = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 DATE = re.compile(r"(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}(?![0-9])")
 #: Numbers that are no personal data, by the side of those in the texts: dates, times, versions, amounts, counters.
 DECOYS = ("on 2024-05-06 12:30 and", "from 12/31/1999 to", "version 10.15.7 of", "item 1234567890 in", "cost 1,250,000.00 net", "code 4929 1234 5678 9012 3 or", "range 1990-2024 of", "see 10.1000/182 and", "call f(at) once", "at 192.168.001.300 or", "user bob@localhost said")
 
 
-def variants(window: str) -> list[tuple[str, tuple[int, int, int]]]:
-    """The window with its only base entity disguised, and where it then stands: (start, kind, end)."""
+#: What stands behind a phone number, so that its base pattern runs on and takes too many digits.
+BEHIND = "190.137.223.20"
+
+
+def variants(window: str) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """The window with its only base entity disguised, and what then stands where: (start, kind, end), the disguised one first."""
     base = base_spans(window)
     if len(base) != 1:
         return []
     a, kind, b = base[0]
-    return [(window[:a] + form + window[b:], (a, kind, a + len(form))) for form in disguises(kind, window[a:b])]
+    out = [(window[:a] + form + window[b:], [(a, kind, a + len(form))]) for form in disguises(kind, window[a:b])]
+    if kind == 3:
+        end = b + 1 + len(BEHIND)
+        out.append((f"{window[:b]} {BEHIND} {window[b:].lstrip()}", [(a, 3, b), (b + 1, 1, end)]))
+    return out
 
 
 def valid(kind: int, text: str) -> bool:
@@ -339,7 +350,7 @@ def valid(kind: int, text: str) -> bool:
         return bool(IP.fullmatch(text)) and _is_ip(text)
     if kind == 2:
         return 14 <= len(digits) <= 19 and luhn(digits)
-    return 9 <= len(digits) <= 15 and not IP.fullmatch(text) and not DATE.match(text)
+    return 10 <= len(digits) <= 15 and not SHORT_PARTS.fullmatch(text) and not DATE.match(text)
 
 
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS, text_col: str = "text") -> SemiCrf:

@@ -121,3 +121,16 @@ def test_damage_is_found_and_streams_are_told_apart(spark):
     assert damaged == 1 and len(cut[ogg.SAMPLES].packets) < 302
     rows = ogg.packets(spark.createDataFrame([(1, whole), (2, None)], "doc_id int, media binary"))
     assert rows.count() == 304 and rows.where("serial = 1").agg(F.max("end_sec")).first()[0] == pytest.approx(len(payload) / ogg.RATE)
+
+
+def test_every_code_point_like_the_library():
+    library, codec = Tokenizer.from_file(WORD), queue_bpe.QueueCodec(parse(open(WORD, encoding="utf-8").read()))
+    points = [chr(c) for c in range(0x80, 0x32400) if not 0xD800 <= c < 0xE000]
+    wanted = library.encode_batch([f"a{c}b" for c in points], add_special_tokens=False)
+    assert [c for c, w in zip(points, wanted) if codec.encode(f"a{c}b") != w.ids] == []
+
+
+def test_a_stream_of_another_kind_tells_no_length(spark):
+    pages = ogg.stream_pages(ogg.SAMPLES, [b"head", b"comment", b"x" * 576], [0, 0, 576]) + ogg.stream_pages(ogg.INFO, [b"length", b"three"], [0, 5])
+    row = ogg.read(spark.createDataFrame([(1, b"".join(pages))], "doc_id long, media binary")).first()
+    assert (row.n_bytes, row.payload_bytes) == (576, 576)
