@@ -21,6 +21,10 @@ WORD_END = "</w>"
 REMEMBERED = 250_000
 
 
+#: Code points that the library is asked about at once.
+BLOCK = 4096
+
+
 @lru_cache(maxsize=1)
 def unicode_differences() -> dict:
     """Where the tokenizer library's Unicode tables differ from Python's and from the regex module's, which are of other versions.
@@ -30,14 +34,17 @@ def unicode_differences() -> dict:
     """
     from tokenizers import Regex, normalizers, pre_tokenizers
 
-    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c) not in "\x85\u2028\u2029"]
-    joined = "\n".join(every)
-    theirs = normalizers.Lowercase().normalize_str(normalizers.NFC().normalize_str(joined)).split("\n")
-    ours = [lowered(c) for c in every]
-    out = {"lower": {ord(c): x for c, x, y in zip(every, theirs, ours, strict=True) if x != y}}
-    for kind in "LN":
-        pieces = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}"), "isolated").pre_tokenize_str(joined)
-        out[kind] = {p for p, _ in pieces if len(p) == 1 and p != "\n"} ^ set(regex.findall(rf"\p{{{kind}}}", joined))
+    lower, compose = normalizers.Lowercase(), normalizers.NFC()
+    split = {kind: pre_tokenizers.Split(Regex(rf"\p{{{kind}}}"), "isolated") for kind in "LN"}
+    out: dict = {"lower": {}, "L": set(), "N": set()}
+    for first in range(0, 0x110000, BLOCK):  # in blocks, as the library lists every piece
+        every = [chr(c) for c in range(max(first, 0x80), first + BLOCK) if not 0xD800 <= c < 0xE000 and chr(c) not in "\x85\u2028\u2029"]
+        joined = "\n".join(every)
+        theirs = lower.normalize_str(compose.normalize_str(joined)).split("\n") if every else []
+        out["lower"].update({ord(c): x for c, x in zip(every, theirs, strict=True) if x != lowered(c)})
+        for kind in "LN":
+            pieces = {p for p, _ in split[kind].pre_tokenize_str(joined) if len(p) == 1 and p != "\n"}
+            out[kind] |= pieces ^ set(regex.findall(rf"\p{{{kind}}}", joined))
     return out
 
 
