@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -84,7 +85,7 @@ class QueueCodec:
         differences = differences or unicode_differences()
         self.lower = differences["lower"]
         odd = {*map(chr, self.lower), *differences["L"], *differences["N"]}
-        self.odd = regex.compile(f"[{ranges(odd)}]") if odd else None
+        self.odd = re.compile(f"[{min(odd)}-\U0010ffff]") if odd else None  # what may be odd: a range is found fastest
         self.odd_words = _word_pattern(differences)
         vocab = spec["vocab"]
         self.bytes = byte_alphabet()
