@@ -11,7 +11,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpusmill.llm.batches import map_rows, settled
+from corpusmill.llm.batches import discard, map_rows, settled, stored, tidy
 from corpusmill.llm.graph import connected
 from corpusmill.llm.simhash_pivots import SEED, group_near_copies
 
@@ -60,10 +60,14 @@ def prefixes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of ids whose texts have the similarity. docs: id, text. Only the texts in question are moved."""
     asked = settled(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = settled(docs.join(asked, "id"))
+    texts, path = stored(docs.join(asked, "id"))
+    tidy(docs.sparkSession)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     near = map_rows(both, ["a", "b", "ta", "tb"], 2, [T.StructField("near", T.DoubleType())], lambda: lambda x, y: [[jaccard(s, t) for s, t in zip(x, y, strict=True)]])
-    return near.where(F.col("near") >= similarity - 1e-9).select("a", "b").distinct()
+    links = settled(near.where(F.col("near") >= similarity - 1e-9).select("a", "b").distinct())
+    discard(docs.sparkSession, path)
+    tidy(docs.sparkSession)
+    return links
 
 
 def _possible(na: Column, ia: Column, nb: Column, ib: Column, similarity: float) -> Column:
@@ -78,12 +82,18 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Documents that share a low hash are first compared with the smallest id that has it, then with each other, but only
     where they are in different groups still. No bucket is left out and none is cut.
     """
-    prints = settled(prefixes(docs, similarity))
+    spark = docs.sparkSession
+    prints, path = stored(prefixes(docs, similarity))
     nodes = prints.groupBy("set").agg(F.min("id").alias("id"))
-    same = prints.join(nodes.select("set", F.col("id").alias("first")), "set").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    low = prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", F.posexplode("low").alias("at", "key"))
-    buckets = low.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first")
+    same = settled(prints.join(nodes.select("set", F.col("id").alias("first")), "set").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    low, low_path = stored(prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", F.posexplode("low").alias("at", "key")))
+    discard(spark, path)
+    tidy(spark)
+    buckets = settled(low.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first"))
+    tidy(spark)
     members = settled(low.join(buckets, "key").select("key", "id", "n", "at", "first"))
+    discard(spark, low_path)
+    tidy(spark)
     head = members.where("id = first").select("key", F.col("n").alias("n0"), F.col("at").alias("at0"))
     led = members.where("id <> first").join(head, "key").where(_possible(F.col("n0"), F.col("at0"), F.col("n"), F.col("at"), similarity))
     found = settled(same.unionByName(verify(settled(led.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()), docs, similarity)))
@@ -91,6 +101,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "at", "first", F.coalesce("component", "id").alias("group"))
     apart = placed.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
     rest = settled(placed.join(apart, "key"))
+    tidy(spark)
     left, right = (rest.select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "at", "group", "first"))) for s in "ab")
     # pairs with the first one were compared above
     new = (F.col("groupa") < F.col("groupb")) & (F.col("ida") != F.col("firsta")) & (F.col("idb") != F.col("firsta"))
@@ -103,10 +114,13 @@ def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, id_col: st
     """The documents whose id is the smallest of its group, unchanged and with all their columns.
 
     Groups are joined by near copies of the similarity and by fingerprints as in simhash_pivots. Rows without an id stay,
-    and so do all rows that share a kept id; texts without words are one group.
+    and so do all rows that share a kept id; texts without words are one group. Texts of any length are taken whole, an empty
+    table gives an empty one, and other columns stay as they are, whatever their names.
     """
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     prints = group_near_copies(plain, id_col="id").where("id <> component_id").select(F.col("component_id").alias("a"), F.col("id").alias("b"))
+    prints = settled(prints)
+    tidy(docs.sparkSession)
     groups = connected(prints.unionByName(links(plain.where("id is not null"), similarity)), "a", "b")
     gone = groups.where("node <> component").select(F.col("node").alias("_gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
