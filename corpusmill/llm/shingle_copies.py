@@ -76,6 +76,19 @@ def _possible(na: Column, ia: Column, nb: Column, ib: Column, similarity: float)
     return shared * (1 + similarity) >= (na + nb) * similarity - 1e-6
 
 
+def plausible(pairs: DataFrame, prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) that can have the similarity by their low hashes alone; no pair that has it is lost.
+
+    Up to the smaller of the two greatest low hashes both sets are known in full. What only one of them has there is a part of
+    all that only one has, which is at most (1 - similarity) / (1 + similarity) of both sizes.
+    """
+    one, two = (prints.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("low").alias(f"l{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b").withColumn("top", F.least(F.element_at("la", -1), F.element_at("lb", -1)))
+    known = F.size(F.filter("la", lambda h: h <= F.col("top"))) + F.size(F.filter("lb", lambda h: h <= F.col("top")))
+    apart = known - 2 * F.size(F.array_intersect("la", "lb"))
+    return both.where(apart <= (F.col("na") + F.col("nb")) * (1 - similarity) / (1 + similarity) + 1e-6).select("a", "b").distinct()
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that connect all documents of the similarity, and none below it. docs: id (not null), text.
 
@@ -86,17 +99,18 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     prints, path = stored(prefixes(docs, similarity))
     nodes = prints.groupBy("set").agg(F.min("id").alias("id"))
     same = settled(prints.join(nodes.select("set", F.col("id").alias("first")), "set").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
-    low, low_path = stored(prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", F.posexplode("low").alias("at", "key")))
+    unique, unique_path = stored(prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", "low"))
     discard(spark, path)
     tidy(spark)
+    low = unique.select("id", "n", F.posexplode("low").alias("at", "key"))
     buckets = settled(low.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first"))
     tidy(spark)
     members = settled(low.join(buckets, "key").select("key", "id", "n", "at", "first"))
-    discard(spark, low_path)
     tidy(spark)
     head = members.where("id = first").select("key", F.col("n").alias("n0"), F.col("at").alias("at0"))
     led = members.where("id <> first").join(head, "key").where(_possible(F.col("n0"), F.col("at0"), F.col("n"), F.col("at"), similarity))
-    found = settled(same.unionByName(verify(settled(led.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()), docs, similarity)))
+    asked = settled(plausible(led.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), unique, similarity))
+    found = settled(same.unionByName(verify(asked, docs, similarity)))
     groups = settled(connected(found, "a", "b"))
     placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "at", "first", F.coalesce("component", "id").alias("group"))
     apart = placed.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
@@ -106,8 +120,12 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # pairs with the first one were compared above
     new = (F.col("groupa") < F.col("groupb")) & (F.col("ida") != F.col("firsta")) & (F.col("idb") != F.col("firsta"))
     possible = _possible(F.col("na"), F.col("ata"), F.col("nb"), F.col("atb"), similarity)
-    more = left.join(right, "key").where(new & possible).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
-    return found.unionByName(verify(settled(more), docs, similarity))
+    more = settled(left.join(right, "key").where(new & possible).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct())
+    tidy(spark)
+    asked = settled(plausible(more, unique, similarity))
+    discard(spark, unique_path)
+    tidy(spark)
+    return found.unionByName(verify(asked, docs, similarity))
 
 
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
