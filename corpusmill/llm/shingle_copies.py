@@ -7,6 +7,8 @@ of the similarity share one of these (the prefix filter), so no pair is lost. Pa
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -17,6 +19,8 @@ from corpusmill.llm.simhash_pivots import SEED, group_near_copies
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Parts in which pairs get their lists of low hashes, one after the other, so that little scratch disk is used at a time.
+PARTS = 8
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -73,7 +77,8 @@ def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
 def _possible(na: Column, ia: Column, nb: Column, ib: Column, similarity: float) -> Column:
     """Sets of na and nb hashes, of which those at ia and ib are equal and the smallest shared, can have the similarity."""
     shared = F.least(na - ia, nb - ib)
-    return shared * (1 + similarity) >= (na + nb) * similarity - 1e-6
+    apart = ia + ib  # what comes before the first shared one
+    return (shared * (1 + similarity) >= (na + nb) * similarity - 1e-6) & (apart * (1 + similarity) <= (na + nb) * (1 - similarity) + 1e-6)
 
 
 def plausible(pairs: DataFrame, prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -89,31 +94,13 @@ def plausible(pairs: DataFrame, prints: DataFrame, similarity: float = SIMILARIT
     return both.where(apart <= (F.col("na") + F.col("nb")) * (1 - similarity) / (1 + similarity) + 1e-6).select("a", "b").distinct()
 
 
-def _low(n: Column, similarity: float) -> Column:
-    """Low hashes of a set of n."""
-    return n - F.ceil(n * similarity - 1e-9) + 1
-
-
-def meetings(members: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of documents of different groups that can have the similarity by what they share, and were not asked before.
-
-    members: key, id, version, n, at, top, first, group. A row for each low hash that a pair shares goes through one aggregation, so pairs
-    carry numbers and never lists of hashes. Of the set whose greatest low hash is the smaller one all low hashes count, of
-    the other those up to the last shared one; what isn't shared of these is apart.
-    """
-    left, right = (members.select("key", *(F.col(c).alias(c + s) for c in ("id", "version", "n", "at", "top", "group", "first"))) for s in "ab")
-    alike = F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-6
-    rows = left.join(right, "key").where((F.col("groupa") < F.col("groupb")) & alike)
-    led = (F.col("ida") == F.col("firsta")) | (F.col("idb") == F.col("firsta"))
-    asked = led & _possible(F.col("na"), F.col("ata"), F.col("nb"), F.col("atb"), similarity)
-    ends = [f("at" + s).alias(f"{name}_at{s}") for s in "ab" for name, f in (("min", F.min), ("max", F.max))]
-    kept = [F.first(c + s).alias(c + s) for c in ("n", "top") for s in "ab"]
-    met = rows.groupBy("ida", "versiona", "idb", "versionb").agg(*ends, *kept, F.count("*").alias("shared"), F.max(asked).alias("asked")).where("not asked")
-    known = [F.when(F.col(f"top{s}") <= F.col(f"top{o}"), _low(F.col(f"n{s}"), similarity)).otherwise(F.col(f"max_at{s}") + 1) for s, o in ("ab", "ba")]
-    apart = known[0] + known[1] - 2 * F.col("shared")
-    near = apart <= (F.col("na") + F.col("nb")) * (1 - similarity) / (1 + similarity) + 1e-6
-    possible = _possible(F.col("na"), F.col("min_ata"), F.col("nb"), F.col("min_atb"), similarity)
-    return met.where(near & possible).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+def plausible_in_parts(pairs: DataFrame, prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """All of plausible(), a part of the pairs at a time; the shuffles of a part are gone before the next one."""
+    found = []
+    for part in range(PARTS):
+        found.append(settled(plausible(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(PARTS)) == part), prints, similarity)))
+        tidy(pairs.sparkSession)
+    return reduce(DataFrame.unionByName, found)
 
 
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -126,31 +113,33 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     prints, path = stored(prefixes(docs, similarity))
     nodes = prints.groupBy("set").agg(F.min("id").alias("id"))
     same = settled(prints.join(nodes.select("set", F.col("id").alias("first")), "set").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
-    own = prints.join(nodes, ["set", "id"], "left_semi").dropDuplicates(["set", "id"])
-    unique, unique_path = stored(own.select("id", F.xxhash64("set").alias("version"), "n", "low"))
+    unique, unique_path = stored(prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", "low"))
     discard(spark, path)
     tidy(spark)
-    low = unique.select("id", "version", "n", F.get("low", F.size("low") - 1).alias("top"), F.posexplode("low").alias("at", "key"))
+    low = unique.select("id", "n", F.posexplode("low").alias("at", "key"))
     buckets = settled(low.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first"))
     tidy(spark)
-    members, members_path = stored(low.join(buckets, "key"))
+    members = settled(low.join(buckets, "key").select("key", "id", "n", "at", "first"))
     tidy(spark)
     head = members.where("id = first").select("key", F.col("n").alias("n0"), F.col("at").alias("at0"))
     led = members.where("id <> first").join(head, "key").where(_possible(F.col("n0"), F.col("at0"), F.col("n"), F.col("at"), similarity))
     asked = settled(plausible(led.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), unique, similarity))
-    discard(spark, unique_path)
-    tidy(spark)
     found = settled(same.unionByName(verify(asked, docs, similarity)))
     groups = settled(connected(found, "a", "b"))
-    placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("component", "id")).drop("component")
+    placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "at", "first", F.coalesce("component", "id").alias("group"))
     apart = placed.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
-    rest, rest_path = stored(placed.join(apart, "key"))
-    discard(spark, members_path)
+    rest = settled(placed.join(apart, "key"))
     tidy(spark)
-    more = settled(meetings(rest, similarity))
-    discard(spark, rest_path)
+    left, right = (rest.select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "at", "group", "first"))) for s in "ab")
+    # pairs with the first one were compared above
+    new = (F.col("groupa") < F.col("groupb")) & (F.col("ida") != F.col("firsta")) & (F.col("idb") != F.col("firsta"))
+    possible = _possible(F.col("na"), F.col("ata"), F.col("nb"), F.col("atb"), similarity)
+    more = settled(left.join(right, "key").where(new & possible).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct())
+    tidy(spark)
+    asked = settled(plausible_in_parts(more, unique, similarity))
+    discard(spark, unique_path)
     tidy(spark)
-    return found.unionByName(verify(more, docs, similarity))
+    return found.unionByName(verify(asked, docs, similarity))
 
 
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
