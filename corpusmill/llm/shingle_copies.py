@@ -20,7 +20,7 @@ from corpusmill.llm.simhash_pivots import SEED, group_near_copies
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Parts in which pairs get their lists of low hashes, one after the other, so that little scratch disk is used at a time.
-PARTS = 8
+PARTS = 4
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
