@@ -1,8 +1,10 @@
 """Near copies of whole documents: every pair whose five-word shingles have a Jaccard similarity of 0.8 or more.
 
 A SimHash of 64 bits can't find these pairs by blocks: at 0.8 about 10 bits differ on average, and a radius that holds nearly
-all of them leaves blocks of 3 or 4 bits. Each document instead gives the smallest fifth of its shingle hashes; two documents
-of the similarity share one of these (the prefix filter), so no pair is lost. Pairs that meet are verified on their texts.
+all of them leaves blocks of 3 or 4 bits. Each document instead gives the first fifth of its shingle hashes in one order for all;
+two documents of the similarity share one of these (the prefix filter), so no pair is lost, whatever the order. The hashes
+that are in most documents come last in it, so documents that only share a common passage hardly ever meet. Pairs that meet
+are verified on their texts.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Parts in which pairs get their lists of low hashes, one after the other, so that little scratch disk is used at a time.
 PARTS = 4
+#: Documents that a frequent hash is in at least, and how many hashes are taken as frequent at most (8 bytes each go to every
+#: task). More of them only make fewer documents meet that needn't; the pairs found are the same.
+FREQUENT, MOST_FREQUENT = 16, 1 << 19
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -45,14 +50,43 @@ def jaccard(a: str | None, b: str | None, shingle: int = SHINGLE) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def prefixes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """For each text: id, set (digest of its shingles), n (their number), low (the smallest ones, by which near copies meet)."""
+def frequent_hashes(docs: DataFrame, least: int = FREQUENT, most: int = MOST_FREQUENT) -> np.ndarray:
+    """Sorted hashes of the shingles in the most documents. docs: id, text, all of them counted.
+
+    Counts are taken by powers of two: all hashes of the highest powers, as many as fit into `most`, are the frequent ones.
+    """
+    found = map_rows(docs, ["id", "text"], 0, [T.StructField("all", T.ArrayType(T.LongType()))], lambda: lambda _, texts: [[shingles(t).tolist() for t in texts]])
+    counts = found.select(F.explode("all").alias("key")).groupBy("key").count().where(F.col("count") >= least)
+    levels = settled(counts.select("key", F.floor(F.log2("count")).alias("level")))
+    tidy(docs.sparkSession)
+    taken, floor = 0, None
+    for level, n in sorted(levels.groupBy("level").count().collect(), reverse=True):
+        if (taken := taken + n) > most:
+            break
+        floor = level
+    if floor is None:
+        return np.empty(0, np.int64)
+    return np.sort(levels.where(F.col("level") >= floor).select("key").toArrow().column(0).to_numpy())
+
+
+def in_order(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Sorted keys for hashes: those of frequent ones are greater than all others. Both are sorted."""
+    keys = (hashes.view("<u8") >> np.uint64(1)).view("<i8")
+    if not len(frequent):
+        return keys
+    often = frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
+    return np.sort(np.where(often, keys, keys + np.iinfo(np.int64).min))
+
+
+def prefixes(docs: DataFrame, similarity: float = SIMILARITY, frequent: np.ndarray | None = None) -> DataFrame:
+    """For each text: id, set (digest of its shingles), n (their number), low (the first keys in order, by which near copies meet)."""
+    common = docs.sparkSession.sparkContext.broadcast(np.empty(0, np.int64) if frequent is None else frequent)
     fields = [T.StructField("set", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("low", T.ArrayType(T.LongType()))]
 
     def helper(texts):
         sets, sizes, lows = [], [], []
         for text in texts:
-            x = shingles(text)
+            x = in_order(shingles(text), common.value)
             sets.append(xxhash.xxh3_128_hexdigest(x.tobytes()))
             sizes.append(len(x))
             lows.append(x[: len(x) - least_shared(len(x), similarity) + 1].tolist())
@@ -110,7 +144,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     where they are in different groups still. No bucket is left out and none is cut.
     """
     spark = docs.sparkSession
-    prints, path = stored(prefixes(docs, similarity))
+    prints, path = stored(prefixes(docs, similarity, frequent_hashes(docs)))
     nodes = prints.groupBy("set").agg(F.min("id").alias("id"))
     same = settled(prints.join(nodes.select("set", F.col("id").alias("first")), "set").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
     unique, unique_path = stored(prints.join(nodes, ["set", "id"], "left_semi").select("id", "n", "low"))

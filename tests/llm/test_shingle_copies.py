@@ -16,6 +16,19 @@ def alike(a, b):
     return len(x & y) / len(x | y) >= 0.8
 
 
+def test_hashes_in_most_documents_come_last(spark):
+    """Counts over all documents, by powers of two; no fewer pairs meet for it."""
+    phrase = "these five words are common"
+    docs = spark.createDataFrame([(k, f"{phrase} w{k} x{k} y{k} z{k} {'seldom seen but here too' if k < 20 else ''}") for k in range(70)] + [(70, None)], "id long, text string")
+    common = shingle_copies.frequent_hashes(docs)
+    assert shingle_copies.shingles(phrase)[0] in common and shingle_copies.shingles("seldom seen but here too")[0] in common and len(common) == 2
+    assert shingle_copies.frequent_hashes(docs, most=1).tolist() == shingle_copies.shingles(phrase).tolist()
+    assert not len(shingle_copies.frequent_hashes(docs, most=0)) and not len(shingle_copies.frequent_hashes(docs.where("false")))
+    hashes = shingle_copies.shingles(docs.first().text)
+    keys = shingle_copies.in_order(hashes, common)
+    assert (keys >= 0).sum() == 2 and (keys[:-2] < 0).all() and (keys[:-1] < keys[1:]).all()
+
+
 def test_every_pair_at_the_similarity_is_found(spark):
     """Changed words up to and beyond the similarity, in documents of all lengths, a crowd of them and a phrase that all share."""
     random.seed(8)
