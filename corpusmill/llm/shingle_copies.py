@@ -55,8 +55,14 @@ def frequent_hashes(docs: DataFrame, least: int = FREQUENT, most: int = MOST_FRE
 
     Counts are taken by powers of two: all hashes of the highest powers, as many as fit into `most`, are the frequent ones.
     """
-    found = map_rows(docs, ["id", "text"], 0, [T.StructField("all", T.ArrayType(T.LongType()))], lambda: lambda _, texts: [[shingles(t).tolist() for t in texts]])
-    counts = found.select(F.explode("all").alias("key")).groupBy("key").count().where(F.col("count") >= least)
+    fields = [T.StructField("key", T.LongType()), T.StructField("n", T.LongType())]
+
+    def helper(_, texts):
+        return list(np.unique(np.concatenate([shingles(t) for t in texts]), return_counts=True))
+
+    # counted in each slice of texts, so a partial aggregation by Spark would only hold and spill keys that are mostly distinct
+    slices = map_rows(docs, ["id", "text"], 0, fields, lambda: helper).repartition("key")
+    counts = slices.groupBy("key").agg(F.sum("n").alias("count")).where(F.col("count") >= least)
     levels = settled(counts.select("key", F.floor(F.log2("count")).alias("level")))
     tidy(docs.sparkSession)
     taken, floor = 0, None
