@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import fuzzy_lines, html_ttr, langid_bloom, ogg, queue_bpe, ragged_bpe, semicrf_pii, simhash_pivots, suffix_automaton, url_markov
+from corpusmill.llm import (
+    fuzzy_lines, gram_join, html_ttr, importance_resampling, langid_bloom, ogg, queue_bpe, ragged_bpe, semicrf_pii, simhash_pivots, source_divergence, suffix_automaton, url_markov,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +59,18 @@ def op10_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queue_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_gram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gram_join.join_grams(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,7 +78,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_simhash_pivots, op2_url_markov, op3_langid_bloom, op4_ogg, op5_suffix_automaton, op6_fuzzy_lines, op7_ragged_bpe, op8_semicrf_pii, op9_html_ttr, op10_queue_bpe, pipeline)
+    own = (
+        op1_simhash_pivots, op2_url_markov, op3_langid_bloom, op4_ogg, op5_suffix_automaton, op6_fuzzy_lines, op7_ragged_bpe, op8_semicrf_pii, op9_html_ttr, op10_queue_bpe,
+        op11_source_divergence, op12_importance_resampling, op13_gram_join, pipeline,
+    )
     return {f.__name__: f for f in own}
 
 
@@ -93,5 +110,30 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+#: Every kept term in every group, zeros included; shares in whole numbers of 128 bits.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), o AS (SELECT lang, source, id, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce(max(s.n), 0) AS n FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (g.n + 5 * v.v) AS p
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), q AS (
+  SELECT k.lang, k.term, 1 + CAST(1000000000 AS HUGEINT) * (sum(p.n) + 5) // (any_value(t.n) + 5 * any_value(v.v)) AS q
+  FROM k JOIN p USING (lang, term) JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS n FROM g GROUP BY 1) t USING (lang) GROUP BY 1, 2
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_suffix_automaton": OP5_SQL}
+    return {"op5_suffix_automaton": OP5_SQL, "op11_source_divergence": OP11_SQL}
