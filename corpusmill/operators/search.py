@@ -2,70 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusmill.functions.text import distance_score
+from corpusmill.operators.nearest import nearest
 
-#: Query vectors that a task holds at once; more are taken in blocks of this size.
-QUERY_BLOCK = 2048
 
+def similarity_search(store: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """K1: query_id, rank (from 1), chunk_id, distance, score of the k nearest, ties by chunk_id.
 
-def _blocks(queries: DataFrame, size: int) -> Iterator[list]:
-    block: list = []
-    for row in queries.select("query_id", "embedding").where("embedding is not null").toLocalIterator():
-        block.append(row)
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
+    A few queries go to all tasks of one scan, each of which gives k rows a query; many are exchanged with the store as in J1.
+    """
+    return _scored(nearest(store, queries, k))
 
 
-def local_nearest(store: DataFrame, queries: DataFrame, k: int, groups: str | None = None, block: int = QUERY_BLOCK) -> DataFrame:
-    """The k nearest rows of each Arrow batch of the store: query_id, [group,] chunk_id, distance (squared L2).
+def similarity_join(store: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """As similarity_search for any number of queries, by blocks of both sides that can hold neighbours; one scan of the store."""
+    return _scored(nearest(store, queries, k, scanned=-1))
 
-    store: chunk_id, embedding[, an array of group names]. The queries come to the tasks in blocks of bounded size; a row's
-    distance is computed once, however many groups it is in. Rows without a vector are never found.
-    """
-    fields = [T.StructField("query_id", queries.schema["query_id"].dataType), *([T.StructField("store_key", T.StringType())] if groups else []), T.StructField("chunk_id", store.schema["chunk_id"].dataType), T.StructField("distance", T.DoubleType())]
-    inputs = store.select("chunk_id", "embedding", *([F.col(groups).alias("groups")] if groups else [])).where("embedding is not null")
-    sc = store.sparkSession.sparkContext
-
-    def searched(rows: list) -> DataFrame:
-        shared = sc.broadcast(([r[0] for r in rows], np.array([r[1] for r in rows], np.float64)))
-
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, wanted = shared.value
-            for batch in batches:
-                have = np.array(batch["embedding"].tolist(), np.float64)
-                chunk = batch["chunk_id"].to_numpy()
-                members = {None: np.arange(len(batch))}
-                if groups:
-                    names = batch["groups"].explode()
-                    members = {name: batch.index.get_indexer(at) for name, at in names.groupby(names).groups.items()}
-                for i, q in enumerate(wanted):
-                    distance = ((have - q) ** 2).sum(axis=1)
-                    for name, at in members.items():
-                        best = at[np.lexsort((chunk[at], distance[at]))[:k]]
-                        found = {"query_id": ids[i], "chunk_id": chunk[best], "distance": distance[best]}
-                        yield pd.DataFrame(found if name is None else found | {"store_key": name})[[f.name for f in fields]]
-
-        return inputs.mapInPandas(search, T.StructType(fields))
-
-    parts = [searched(rows) for rows in _blocks(queries, block)]
-    return reduce(DataFrame.unionByName, parts) if parts else store.sparkSession.createDataFrame([], T.StructType(fields))
 
-
-def similarity_search(store: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """K1: query_id, rank (from 1), chunk_id, distance, score of the k nearest, ties by chunk_id."""
-    near = local_nearest(store, queries, k)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "chunk_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "chunk_id", "distance", distance_score(F.col("distance")).alias("score"))
+def _scored(near: DataFrame) -> DataFrame:
+    return near.select("query_id", "rank", "chunk_id", "distance", distance_score(F.col("distance")).alias("score"))
 
 
 def metadata_filter(wanted: dict, lenient: bool = False) -> Column:
@@ -78,18 +37,23 @@ def metadata_filter(wanted: dict, lenient: bool = False) -> Column:
     return reduce(Column.__and__, [one(*x) for x in wanted.items()], F.lit(True))
 
 
-def filtered_search(store: DataFrame, queries: DataFrame, wanted: dict, k: int = 5, fetch_k: int = 20, filter_first: bool = False) -> DataFrame:
+def filtered_search(store: DataFrame, queries: DataFrame, wanted: dict, k: int = 5, fetch_k: int = 20, filter_first: bool = False, widen: bool = False) -> DataFrame:
     """K3: of the fetch_k nearest those that pass the filter, the first k of them; maybe fewer.
 
-    With filter_first the filter comes before the search, and k rows are found where there are so many.
+    With filter_first the filter comes before the search, and k rows are found where there are so many. With widen a query that
+    has fewer than k among its fetch_k nearest goes on to farther rows until it has k or the store ends; `fetched`, the rank
+    among all rows, is null for these. One scan of the store keeps the nearest of all rows and the nearest that pass, so
+    nothing is read again for it.
     """
     if filter_first:
         return similarity_search(store.where(metadata_filter(wanted)), queries, k)
-    near = similarity_search(store, queries, fetch_k).withColumnRenamed("rank", "fetched")
-    meta = store.select("chunk_id", *wanted)
-    passed = near.join(meta, "chunk_id").where(metadata_filter(wanted))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("fetched"))
-    return passed.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "chunk_id", "distance", "score")
+    named = store.select("chunk_id", "embedding", F.when(metadata_filter(wanted), F.array(F.lit("all"), F.lit("pass"))).otherwise(F.array(F.lit("all"))).alias("names"))
+    scope = queries.select("query_id", F.explode(F.array(F.lit("all"), F.lit("pass"))).alias("store_key"))
+    near = nearest(named, queries, k, scope, "names", {"all": fetch_k})
+    # both are rows of one query and chunk: a chunk that passes and is among the fetch_k nearest has two
+    both = near.groupBy("query_id", "chunk_id").agg(F.min("distance").alias("distance"), F.max(F.when(F.col("store_key") == "all", F.col("rank"))).alias("fetched"), F.max(F.when(F.col("store_key") == "pass", F.col("rank"))).alias("rank"))
+    passed = both.where(F.col("rank").isNotNull() & (F.lit(widen) | F.col("fetched").isNotNull()))
+    return passed.select("query_id", "rank", "chunk_id", "distance", distance_score(F.col("distance")).alias("score"), *(["fetched"] if widen else []))
 
 
 def first_of_each(hits: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -106,15 +70,13 @@ def hybrid_search(store: DataFrame, queries: DataFrame, scope: DataFrame, k: int
     """K2: weighted search over several stores: query_id, rank, chunk_id, score (4 places), source_store.
 
     store: chunk_id, text, embedding, store_keys (array). scope: query_id, store_key, weight (null: one over the number of the
-    query's stores). Each store gives its 3k nearest; of equal texts the one with the highest weighted score stays.
+    query's stores). Each store in the query's scope gives its 3k nearest, rows of other stores aren't compared; of equal texts the
+    one with the highest weighted score stays.
     """
-    near = local_nearest(store, queries, 3 * k, "store_keys")
+    top = nearest(store, queries, 3 * k, scope)
     sized = scope.groupBy("query_id").agg(F.count("*").alias("_n"))
     weighted = scope.join(sized, "query_id").select("query_id", "store_key", F.coalesce("weight", 1 / F.col("_n")).alias("weight"))
-    per_store = near.join(weighted, ["query_id", "store_key"])
-    rank = F.row_number().over(W.partitionBy("query_id", "store_key").orderBy("distance", "chunk_id"))
-    top = per_store.withColumn("_r", rank).where(F.col("_r") <= 3 * k)
-    scored = top.select("query_id", "store_key", "chunk_id", (distance_score(F.col("distance")) * F.col("weight")).alias("score"))
+    scored = top.join(weighted, ["query_id", "store_key"]).select("query_id", "store_key", "chunk_id", (distance_score(F.col("distance")) * F.col("weight")).alias("score"))
     keyed = scored.join(store.select("chunk_id", F.md5(F.coalesce("text", F.lit(""))).alias("content")), "chunk_id")
     order = [F.desc("score"), F.col("store_key"), F.col("chunk_id")]
     distinct = first_of_each(keyed, ["query_id", "content"], order)
