@@ -41,6 +41,45 @@ def _hashed(text: str, size: int) -> list[float]:
     return (vector / max(1e-12, np.linalg.norm(vector))).astype(np.float32).tolist()
 
 
+class BatchModel:
+    """A caller's batch function from texts to vectors (or to anything of Spark's type `kind`) as a column function.
+
+    guarded() is the same with errors as data: a struct of value and error. A batch that raises is taken again text by
+    text, so an error stands at the texts that cause it.
+    """
+
+    def __init__(self, call: Callable[[pd.Series], pd.Series], kind: str = "array<float>"):
+        self.call, self.kind = call, kind
+
+    def __call__(self, text: Column) -> Column:
+        @F.pandas_udf(self.kind)
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield self.call(batch)
+
+        return run(text)
+
+    def guarded(self, text: Column) -> Column:
+        call = self.call
+
+        def one(t: str | None) -> tuple:
+            try:
+                return call(pd.Series([t], dtype=object)).iloc[0], None
+            except Exception as error:  # whatever a caller's model raises is this text's error
+                return None, f"{type(error).__name__}: {error}"
+
+        @F.pandas_udf(f"struct<value: {self.kind}, error: string>")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                try:
+                    found = [(v, None) for v in call(batch)]
+                except Exception:
+                    found = [one(t) for t in batch]
+                yield pd.DataFrame(found, columns=["value", "error"])
+
+        return run(text)
+
+
 def text_model(call: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column]:
     """U4: a caller's batch function from texts to texts (classify, derive, compress, answer) as a column function."""
     @F.pandas_udf("string")

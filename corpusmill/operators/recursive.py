@@ -63,12 +63,16 @@ def split_text(text: str, size: int, overlap: int, separators: list[str]) -> lis
     return chunks + _merge(short, size, overlap)
 
 
-def split_column(text: Column, separators: Column, size: int = 1000, overlap: int = 200) -> Column:
-    """T1 on columns: array of chunks; an empty array for null and for empty text."""
-    check_sizes(size, overlap)
+SIZE, OVERLAP = 1000, 200
+
+
+def split_column(text: Column, separators: Column, size: int | Column = SIZE, overlap: int = OVERLAP) -> Column:
+    """T1 on columns: array of chunks; an empty array for null and for empty text. The size can differ from row to row."""
+    if isinstance(size, int):
+        check_sizes(size, overlap)
 
     @F.pandas_udf("array<string>")
-    def chunks(texts: pd.Series, seps: pd.Series) -> pd.Series:
-        return pd.Series([split_text(t, size, overlap, list(s)) if t else [] for t, s in zip(texts, seps, strict=True)])
+    def chunks(texts: pd.Series, seps: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([split_text(t, int(n), overlap, list(s)) if t else [] for t, s, n in zip(texts, seps, sizes, strict=True)])
 
-    return chunks(text, separators)
+    return chunks(text, separators, F.lit(size) if isinstance(size, int) else size)

@@ -11,8 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.functions.numbering import numbered
+from corpusmill.functions.scratch import written
 from corpusmill.functions.text import KOREAN_SEPARATORS, SEPARATORS, is_korean, separators, stripped
-from corpusmill.operators.recursive import check_sizes, split_column
+from corpusmill.operators.recursive import OVERLAP, SIZE, check_sizes, split_column
 from corpusmill.operators.routing import CODE_PATTERN, STEPS, TABLE_PATTERN
 
 #: A newline before a line that reads as a header once stripped.
@@ -37,43 +38,55 @@ def _first_strategy(name: str) -> Column:
     return F.coalesce("split_strategy", F.lit(name))
 
 
-def semantic_split(chunks: DataFrame, size: int | None = None, overlap: int | None = None, only: Column | None = None) -> DataFrame:
+def semantic_split(chunks: DataFrame, size: int | None = None, overlap: int | None = None, korean: Column | None = None) -> DataFrame:
     """Recursive splitting, with the separators of the first chunk of each file. None means 1000 and 200.
 
-    only: a condition on rows; the others pass whole.
+    korean: whether to take the Korean separators, where that is known already.
     """
-    size, overlap = 1000 if size is None else size, 200 if overlap is None else overlap
+    size, overlap = SIZE if size is None else size, OVERLAP if overlap is None else overlap
     check_sizes(size, overlap)
-    first = chunks.groupBy(F.col("path").alias("_path")).agg(F.min_by(is_korean(F.col("text")), F.col("place")).alias("_korean"))
-    marked = chunks.join(first, chunks["path"].eqNullSafe(first["_path"]))
-    seps = F.when(F.col("_korean"), F.array(*map(F.lit, KOREAN_SEPARATORS))).otherwise(F.array(*map(F.lit, SEPARATORS)))
-    wanted = F.lit(True) if only is None else only
-    split = split_column(F.when(wanted, F.col("text")), seps, size, overlap)
-    parts = marked.select(*chunks.columns, wanted.alias("_wanted"), F.posexplode(F.when(wanted, split).otherwise(F.array("text"))).alias("_i", "_chunk"))
-    return _with(parts, text=F.col("_chunk"), place=F.concat("place", F.array("_i")), split_strategy=F.when(F.col("_wanted"), _first_strategy("semantic")).otherwise(F.col("split_strategy")))
+    if korean is None:
+        first = chunks.groupBy(F.col("path").alias("_path")).agg(F.min_by(is_korean(F.col("text")), F.col("place")).alias("_korean"))
+        chunks, own = chunks.join(first, chunks["path"].eqNullSafe(first["_path"])), chunks.columns
+        korean = F.col("_korean")
+    else:
+        own = chunks.columns
+    seps = F.when(korean, F.array(*map(F.lit, KOREAN_SEPARATORS))).otherwise(F.array(*map(F.lit, SEPARATORS)))
+    parts = chunks.select(*own, F.posexplode(split_column(F.col("text"), seps, size, overlap)).alias("_i", "_chunk"))
+    return _with(parts, text=F.col("_chunk"), place=F.concat("place", F.array("_i")), split_strategy=_first_strategy("semantic"))
+
+
+def _sections(text: Column, min_length: int = MIN_SECTION) -> Column:
+    """Array of structs (i, type, part, header): the sections of a text from min_length on, numbered before short ones go."""
+    parts = F.transform(F.split(text, HEADER_SPLIT, -1), lambda part, i: F.struct(
+        i.alias("i"), F.lit(None).cast("string").alias("type"), stripped(part).alias("part"), F.when(i == 0, F.lit("")).otherwise(stripped(F.substring_index(part, "\n", 1))).alias("header"),
+    ))
+    return F.filter(parts, lambda p: F.length(p["part"]) >= min_length)
 
 
 def section_split(chunks: DataFrame, min_length: int = MIN_SECTION) -> DataFrame:
     """One chunk a section. Sections below min_length go but keep their number; the first has no header."""
-    parts = chunks.select(*chunks.columns, F.posexplode(F.split("text", HEADER_SPLIT, -1)).alias("_i", "_part"))
-    body = stripped(F.col("_part"))
-    header = F.when(F.col("_i") == 0, F.lit("")).otherwise(stripped(F.substring_index("_part", "\n", 1)))
+    parts = chunks.select(*chunks.columns, F.explode(_sections(F.col("text"), min_length)).alias("_p"))
     return _with(
-        parts.where(F.length(body) >= min_length), text=body, place=F.concat("place", F.array("_i")), section_index=F.col("_i"), section_header=header,
-        section_type=F.lit("content"), split_strategy=F.lit("section_aware"),
+        parts, text=F.col("_p.part"), place=F.concat("place", F.array("_p.i")), section_index=F.col("_p.i"), section_header=F.col("_p.header"), section_type=F.lit("content"),
+        split_strategy=F.lit("section_aware"),
     )
 
 
+def _gaps_and_matches(text: Column, pattern: str, kind: str) -> Column:
+    """Array of structs (type, part): text gaps and matches of a pattern in order, stripped; empty ones are left out."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.flatten(F.transform(F.split(text, pattern, -1), lambda gap, i: F.array(
+        F.struct(F.lit("text").alias("type"), stripped(gap).alias("part")), F.struct(F.lit(kind).alias("type"), stripped(F.coalesce(F.get(found, i), F.lit(""))).alias("part")),
+    )))
+    return F.filter(both, lambda p: p["part"] != "")
+
+
 def _interleaved(chunks: DataFrame, pattern: str, kind: str) -> DataFrame:
     """Text gaps and matches of a pattern in order: the chunk columns and _i, _type, _part; blank texts have one part without a type."""
-    gaps, found = F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    both = F.flatten(F.transform(F.col("_gaps"), lambda gap, i: F.array(
-        F.struct(F.lit("text").alias("type"), stripped(gap).alias("part")), F.struct(F.lit(kind).alias("type"), stripped(F.coalesce(F.get("_found", i), F.lit(""))).alias("part")),
-    )))
-    parts = F.filter(both, lambda p: p["part"] != "")
     own = chunks.columns
-    listed = chunks.select(*own, gaps.alias("_gaps"), found.alias("_found")).select(*own, parts.alias("_parts"))
-    return listed.select(*own, F.posexplode_outer("_parts").alias("_i", "_p")).select(*own, "_i", F.col("_p.type").alias("_type"), F.col("_p.part").alias("_part"))
+    listed = chunks.select(*own, F.posexplode_outer(_gaps_and_matches(F.col("text"), pattern, kind)).alias("_i", "_p"))
+    return listed.select(*own, "_i", F.col("_p.type").alias("_type"), F.col("_p.part").alias("_part"))
 
 
 def _typed(parts: DataFrame, name: str, place: Column, text: Column) -> DataFrame:
@@ -97,34 +110,68 @@ def code_split(chunks: DataFrame) -> DataFrame:
     return _typed(pieces, "code_aware", F.concat("place", F.array("_i", "_j")), F.col("_piece"))
 
 
-def split_in_steps(chunks: DataFrame, steps: list[str], size: int | None = None) -> DataFrame:
+def split_in_steps(chunks: DataFrame, steps: list[str], size: int | None = None, korean: Column | None = None) -> DataFrame:
     """T5: the named splitters one after the other; an unknown name is an error before anything runs.
 
-    The strategy that a chunk got first stays, but for splitters that set their own.
+    The strategy that a chunk got first stays, but for splitters that set their own. korean: as for semantic_split.
     """
-    known = {"semantic": lambda d: semantic_split(d, size), "section_aware": section_split, "table_aware": table_split, "code_aware": code_split}
+    known = {"semantic": lambda d: semantic_split(d, size, korean=korean), "section_aware": section_split, "table_aware": table_split, "code_aware": code_split}
     if unknown := [s for s in steps if s not in known]:
         raise ValueError(f"unknown splitting steps {unknown}; known are {list(known)}")
     return reduce(lambda d, s: d.transform(known[s]), steps, chunks)
 
 
+def _first_parts(text: Column, steps: Column) -> Column:
+    """Array of structs (i, type, part, header): what the first step of a strategy makes of a text; null where it passes whole."""
+    def typed(pattern: str, kind: str) -> Column:
+        return F.transform(_gaps_and_matches(text, pattern, kind), lambda p, i: F.struct(i.alias("i"), p["type"].alias("type"), p["part"].alias("part"), F.lit(None).cast("string").alias("header")))
+
+    first = F.get(steps, F.lit(0))
+    # an array without parts is a blank text, which tables and code pass on and sections drop
+    return F.when(first == "section_aware", _sections(text)).when(first == "table_aware", _or_null(typed(TABLE_PATTERN, "table"))).when(first == "code_aware", _or_null(typed(CODE_PATTERN, "code")))
+
+
+def _or_null(parts: Column) -> Column:
+    return F.when(F.size(parts) > 0, parts)
+
+
 def split_by_strategy(pages: DataFrame, strategies: DataFrame, size: int | None = None) -> DataFrame:
     """Each file through the steps of its strategy (path, strategy), numbered as chunks; files without one are left out.
 
-    A file takes the branch of its first step; what is to be split further goes through one recursive pass for all.
+    The pages are read once: one expression makes the parts of the first step, whichever it is, and these are written to the
+    shared folder with the language that their separators go by. One recursive pass then cuts the parts that a second step or the text of
+    code files asks for. What it gives is written too, so numbering doesn't cut again.
     """
-    tagged = pages.join(strategies.select(F.col("path").alias("_path"), "strategy"), pages["path"].eqNullSafe(F.col("_path")))
-    starts = {"table_aware": table_split, "code_aware": code_split, "section_aware": section_split, "semantic": lambda d: d}
-
-    def names(wanted) -> list[str]:
-        return [name for name, steps in STEPS.items() if wanted(steps)]
-
-    branches = []
-    for first, splitter in starts.items():
-        mine = tagged.where(F.col("strategy").isin(*names(lambda steps, first=first: steps[0] == first)))
-        branches.append(splitter(as_chunks(mine, "strategy")))
-    last = F.col("strategy").isin(*names(lambda steps: steps[-1] == "semantic"))
-    return number_chunks(semantic_split(reduce(DataFrame.unionByName, branches), size, only=last).drop("strategy"))
+    size = SIZE if size is None else size
+    check_sizes(size, OVERLAP)
+    listed = F.create_map(*(x for name, steps in STEPS.items() for x in (F.lit(name), F.array(*map(F.lit, steps)))))
+    plan = strategies.select(F.col("path").alias("_path"), listed[F.col("strategy")].alias("_steps"))
+    tagged = pages.join(plan, pages["path"].eqNullSafe(F.col("_path")))
+    chunks = as_chunks(tagged, "_steps").withColumn("_parts", _first_parts(F.col("text"), F.col("_steps")))
+    whole = F.col("_parts").isNull()
+    own = [c for c in chunks.columns if not c.startswith("_")]
+    # the outer form keeps Spark from computing the parts once more to filter by their number; pages whose sections are all short go
+    parts = chunks.select(*own, "_steps", F.explode_outer(F.when(whole, F.array(F.struct(F.lit(None).cast("int").alias("i"), F.lit(None).cast("string").alias("type"), F.col("text").alias("part"), F.lit(None).cast("string").alias("header")))).otherwise(F.col("_parts"))).alias("_p")).where("_p is not null")
+    first, last = F.get("_steps", F.lit(0)), F.element_at("_steps", -1)
+    sections, alone = first == "section_aware", F.col("_p.i").isNull()
+    step_place = F.when(first == "semantic", F.col("place")).otherwise(F.concat("place", F.array(F.coalesce("_p.i", F.lit(0)))))
+    once = parts.select(
+        "path", "page_no", step_place.alias("place"), F.col("_p.part").alias("text"), F.when(first != "semantic", first).alias("split_strategy"), F.col("_p.type").alias("content_type"),
+        F.when(~sections & ~alone, F.col("_p.i")).alias("part_index"), F.when(sections, F.col("_p.i")).alias("section_index"), F.when(sections, F.col("_p.header")).alias("section_header"),
+        F.when(sections, F.lit("content")).alias("section_type"), (last == "semantic").alias("_semantic"), ((first == "code_aware") & (F.col("_p.type") == "text")).alias("_code_text"), is_korean(F.col("_p.part")).alias("_korean"),
+    )
+    kept = written(once)
+    of_file = kept.where("_semantic").groupBy(F.col("path").alias("_path")).agg(F.min_by("_korean", "place").alias("_file_korean"))
+    marked = kept.join(of_file, kept["path"].eqNullSafe(F.col("_path")), "left")
+    code = F.coalesce("_code_text", F.lit(False))
+    korean = F.when(code, F.col("_korean")).otherwise(F.col("_file_korean"))
+    seps = F.when(korean, F.array(*map(F.lit, KOREAN_SEPARATORS))).otherwise(F.array(*map(F.lit, SEPARATORS)))
+    cut = F.col("_semantic") | code
+    pieces = F.when(cut, split_column(F.when(cut, F.col("text")), seps, F.when(code, F.lit(SIZE)).otherwise(F.lit(size)))).otherwise(F.array("text"))
+    split = marked.select(*own, "_semantic", cut.alias("_cut"), F.posexplode(pieces).alias("_j", "_piece"))
+    place = F.when(F.col("_cut") | (F.col("split_strategy") == "code_aware"), F.concat("place", F.array("_j"))).otherwise(F.col("place"))
+    strategy = F.when(F.col("_semantic"), F.coalesce("split_strategy", F.lit("semantic"))).otherwise(F.col("split_strategy"))
+    return number_chunks(written(_with(split, text=F.col("_piece"), place=place, split_strategy=strategy)))
 
 
 def number_chunks(chunks: DataFrame) -> DataFrame:

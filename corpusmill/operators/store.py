@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusmill.functions.models import BatchModel
 from corpusmill.functions.numbering import numbered
+from corpusmill.functions.scratch import written
 from corpusmill.functions.text import store_key
 
 
@@ -47,36 +49,72 @@ def scope_by_domain(queries: DataFrame, keys: DataFrame, prefix: bool = False) -
     return queries.join(distinct, "domain").join(sized, "domain").select("query_id", "store_key", (1 / F.col("n")).alias("weight"))
 
 
+#: Bits, and their words, in which texts that occur more than once are marked; all of them go to every task (half a megabyte).
+MARKS, MARK_WORDS = 1 << 22, 1 << 16
+
+
+def _marked(keyed: DataFrame) -> DataFrame:
+    """keyed with `_again`: false where a row's _key surely occurs once. Marks are bits at the hashes of the keys that occur again."""
+    place = F.pmod(F.xxhash64("_key"), F.lit(MARKS))
+    again = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count("*").alias("n")).where("n > 1")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_place") % 64).cast("int"))
+    words = again.withColumn("_place", place).groupBy(F.floor(F.col("_place") / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))  # MARK_WORDS rows at most
+    placed = keyed.withColumn("_place", place).withColumn("_w", F.floor(F.col("_place") / 64))
+    looked = placed.join(F.broadcast(words), placed["_w"] == words["_word"], "left")
+    return looked.withColumn("_again", F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(bit) != 0).drop("_place", "_w", "_word", "_bits")
+
+
 def embed_once(texts: DataFrame, embed: Callable[[Column], Column] = F.md5) -> DataFrame:
     """The rows of texts (with a column text) and a column vector; embed sees every distinct text once.
 
-    The distinct texts meet by their md5, so only hashes and vectors are joined back. Null texts have a null vector.
+    Hashes of the texts are counted first, and no text moves for it. A text that occurs once is embedded where it stands.
+    Those that may occur again (their marks fit into a table of fixed size; chance marks only send a text this way for nothing) meet
+    by their hashes after each task has dropped its own copies, one of each is embedded and the vectors are joined back. Null
+    texts have a null vector.
     """
-    keyed = texts.withColumn("_key", F.md5("text"))
-    once = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first("text").alias("_t")).select("_key", embed(F.col("_t")).alias("vector"))
-    return keyed.join(once, "_key", "left").drop("_key")
+    keyed = _marked(texts.withColumn("_key", F.md5("text")))
+    single = keyed.where(~F.col("_again") & F.col("_key").isNotNull()).select(*texts.columns, embed(F.col("text")).alias("vector"))
+    several = keyed.where(F.col("_again") | F.col("_key").isNull()).select(*texts.columns, "_key")
+    once = several.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first("text").alias("_t")).select("_key", embed(F.col("_t")).alias("vector"))
+    return single.unionByName(several.join(once, "_key", "left").drop("_key"))
 
 
 def embed_with_models(texts: DataFrame, domain: str, models: dict[str, Callable[[Column], Column]]) -> tuple[DataFrame, DataFrame]:
-    """The texts once for each model, under store_key domain_model, and a status row for each model.
+    """The texts once for each model, under store_key domain_model, and a status row for each model: model, ok, error, failed.
 
-    A model whose expression can't be built is skipped and its status tells why; with no model left the rows are empty.
+    A model whose expression can't be built is skipped and its status tells why. A BatchModel that raises in a task is
+    skipped too: errors are kept with the texts that cause them (failed counts these rows, error is the least of them), and the
+    results, which are written once, are taken only where a model has none. Column functions of other kinds can't
+    be caught in a task. With no model left the rows are empty.
     """
-    rows, status = None, []
+    rows, broken = None, []
     for name, embed in models.items():
         try:
-            indexed = embed_once(texts, embed).withColumn("store_key", F.lit(f"{domain}_{name}"))
+            if isinstance(embed, BatchModel):
+                each = embed_once(texts, embed.guarded).withColumns({"_error": F.col("vector.error"), "vector": F.col("vector.value")})
+            else:
+                each = embed_once(texts, embed).withColumn("_error", F.lit(None).cast("string"))
         except Exception as error:  # whatever a caller's model raises is its status
-            status.append((name, False, str(error)))
+            broken.append((name, False, str(error), None))
             continue
-        status.append((name, True, None))
-        rows = indexed if rows is None else rows.unionByName(indexed)
-    spark = texts.sparkSession
-    empty = texts.where("false").withColumns({"vector": F.lit(None).cast("string"), "store_key": F.lit(None).cast("string")})
-    return (empty if rows is None else rows), spark.createDataFrame(status, "model string, ok boolean, error string")
+        each = each.withColumn("_model", F.lit(name))
+        rows = each if rows is None else rows.unionByName(each)
+    spark, kind = texts.sparkSession, "model string, ok boolean, error string, failed long"
+    if rows is None:
+        empty = texts.where("false").withColumns({"vector": F.lit(None).cast("string"), "store_key": F.lit(None).cast("string")})
+        return empty, spark.createDataFrame(broken, kind)
+    done = written(rows)
+    seen = done.groupBy("_model").agg(F.min("_error").alias("error"), F.count("_error").alias("failed"))
+    named = spark.createDataFrame([(m,) for m in models if m not in {b[0] for b in broken}], "model string")
+    status = named.join(seen, named["model"] == seen["_model"], "left").select("model", F.col("error").isNull().alias("ok"), "error", F.coalesce("failed", F.lit(0).cast("long")).alias("failed"))
+    kept = done.join(F.broadcast(status.where("ok").select(F.col("model").alias("_model"))), "_model", "left_semi")  # a row a model
+    return kept.withColumn("store_key", F.concat(F.lit(f"{domain}_"), "_model")).drop("_model", "_error"), status.unionByName(spark.createDataFrame(broken, kind))
 
 
 def batch_numbers(docs: DataFrame, order: str, batch_size: int = 50) -> DataFrame:
-    """batch_no = row number in the global order div batch_size. order: a unique whole-number column."""
+    """batch_no = row number in the global order div batch_size. order: a unique whole-number column.
+
+    Rows are numbered in steps of 10,000, steps in runs of a thousand: no window sees more of the table than one of its rows in ten million.
+    """
     rows = numbered(docs, [], [order], F.floor(F.col(order) / 10_000), "row_no")
     return rows.withColumn("batch_no", F.floor(F.col("row_no") / batch_size))

@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.functions.models import BatchModel
 from corpusmill.operators import answering, mmr, profile, reports, search, store as stores
 from corpusmill.functions.numbering import numbered
 
@@ -49,7 +51,7 @@ def test_search_edges(spark):
     assert [(r.query_id, r.chunk_id, r.distance) for r in found] == [(7, k, float(k * k)) for k in range(4)]
     assert search.similarity_search(rows, asked.where("false"), 3).count() == 0
     assert search.similarity_search(rows.where("false"), asked, 3).count() == 0
-    one = search.local_nearest(rows, asked.unionByName(spark.createDataFrame([(5, [3.0, 0.0])], asked.schema)), 1, block=1).collect()
+    one = search.similarity_join(rows, asked.unionByName(spark.createDataFrame([(5, [3.0, 0.0])], asked.schema)), 1).collect()
     assert {(r.query_id, r.chunk_id) for r in one if r.distance == 0} == {(7, 0), (5, 3)}
     keyed = rows.withColumn("store_keys", F.array(F.lit("a"), F.lit("b")))
     scope = spark.createDataFrame([(7, "a", 1.0), (7, "b", 0.5), (7, "gone", 1.0)], "query_id long, store_key string, weight double")
@@ -67,6 +69,16 @@ def test_numbers_cross_steps(spark):
         assert [n for _, n, _ in mine] == list(range(len(mine))) and {t for _, _, t in mine} == {len(mine)}
 
 
+def test_numbers_by_runs_of_steps(spark):
+    """Steps of 3 rows, runs of 4 steps: no group, one group with nulls, and a few."""
+    rows = spark.createDataFrame([(None if k % 5 == 0 else k % 2, k) for k in range(500)], "g int, k int").repartition(3)
+    whole = numbered(rows, [], ["k"], F.floor(F.col("k") / 3), "n", "total", fan=4).collect()
+    assert {(r.k, r.n, r.total) for r in whole} == {(k, k, 500) for k in range(500)}
+    out = numbered(rows, ["g"], ["k"], F.floor(F.col("k") / 3), "n", fan=4).collect()
+    for g in (None, 0, 1):
+        assert [r.n for r in sorted((r for r in out if r.g == g), key=lambda r: r.k)] == list(range(sum(1 for r in out if r.g == g)))
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 6, 9, 10, 23])
 def test_sample(spark, n):
     pages = spark.createDataFrame([("f", k, "t") for k in range(n)], "path string, page_no int, text string")
@@ -103,6 +115,40 @@ def test_models_that_fail_are_skipped(spark):
     assert {(r.model, r.ok) for r in status.collect()} == {("md5", True), ("broken", False)}
 
 
+def test_models_that_fail_in_a_task_are_skipped(spark):
+    def picky(texts):
+        if (texts == "b").any():
+            raise ValueError("no b")
+        return texts.str.upper()
+
+    texts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None), (5, "c")], "id int, text string")
+    good = BatchModel(lambda t: t.str.len().astype(str), "string")
+    rows, status = stores.embed_with_models(texts, "d", {"picky": BatchModel(picky, "string"), "good": good})
+    assert {(r.id, r.store_key, r.vector) for r in rows.collect()} == {(1, "d_good", "1"), (2, "d_good", "1"), (3, "d_good", "1"), (4, "d_good", None), (5, "d_good", "1")}
+    assert {(r.model, r.ok, r.error, r.failed) for r in status.collect()} == {("picky", False, "ValueError: no b", 2), ("good", True, None, 0)}
+    rows, status = stores.embed_with_models(texts.where("id <> 2 and id <> 3"), "d", {"picky": BatchModel(picky, "string")})
+    assert {(r.id, r.vector) for r in rows.collect()} == {(1, "A"), (4, None), (5, "C")} and [r.ok for r in status.collect()] == [True]
+    rows, status = stores.embed_with_models(texts.where("false"), "d", {"good": good})
+    assert rows.count() == 0 and [r.ok for r in status.collect()] == [True]
+
+
+def test_each_text_is_embedded_once(spark):
+    """Single texts where they stand, repeated ones once, whatever the marks say."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def embed(column):
+        @F.pandas_udf("string")
+        def run(texts: pd.Series) -> pd.Series:
+            seen.add(len(texts))
+            return texts.str[::-1]
+
+        return run(column)
+
+    rows = [(k, f"t{k % 30}" if k < 90 else f"u{k}") for k in range(200)] + [(900, None), (901, "")]
+    out = stores.embed_once(spark.createDataFrame(rows, "id int, text string").repartition(4), embed).collect()
+    assert {(r.id, r.vector) for r in out} == {(k, t and t[::-1] if t is not None else None) for k, t in rows} and seen.value == 30 + 110 + 1
+
+
 def test_compression_keeps_all_if_nothing_is_left(spark):
     rows = spark.createDataFrame([(1, ["a", "b", "c"], ["x", "", None]), (2, ["a"], [""]), (3, ["a", "b"], None)], "i int, c array<string>, e array<string>")
     out = {r.i: r.x for r in rows.select("i", answering.compression(F.col("c"), F.col("e")).alias("x")).collect()}
