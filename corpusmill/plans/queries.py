@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.functions.models import EMBEDDERS, text_model
+from corpusmill.functions.models import EMBEDDERS, BatchModel, embedder, text_model
 from corpusmill.functions.scratch import shared_folder, written
 from corpusmill.operators import answering, chunks, mmr, profile, reports, routing, search, splitting, store as stores
-from corpusmill.plans import inputs as i, workloads
+from corpusmill.plans import inputs as i, splitting_sql as sql, workloads
 from corpusmill.sources import files
 from corpusmill.streaming import jobs
 
@@ -88,6 +90,9 @@ def a2_loader_scores(spark, sf_dir):
     return rows.select("path", "recommended_loader", *(F.col("loader_scores")[x].alias(x) for x in profile.LOADERS))
 
 
+#: The same measures of the decorated pages.
+SAMPLE_DECORATED = SAMPLE.replace(i.PAGES, f"{i.DECORATED}, pg AS (SELECT * FROM dp)")
+
 ROUTES = """ro AS (SELECT path, CASE WHEN has_tables AND ratio > 0.3 THEN 'table_aware → semantic' WHEN has_tables THEN 'table_aware' WHEN round(ratio, 4) > 0.5 THEN 'semantic(scanned)' WHEN ratio > 0.3 THEN 'section_aware → semantic'
   WHEN round(density, 4) > 2.0 THEN 'section_aware → semantic' ELSE 'auto' END AS strategy FROM pr)"""
 
@@ -97,9 +102,12 @@ def p7_strategy_from_profile(spark, sf_dir):
     return routing.strategy_from_profile(profile.profile_files(profile.sample_pages(i.file_pages(spark, sf_dir))))
 
 
-@query(rf"""WITH {i.DECORATED}, s AS (SELECT path, string_agg(text, chr(10) ORDER BY page_no) AS s FROM dp WHERE page_no < 5 GROUP BY path)
-SELECT path, CASE WHEN regexp_matches(s, '\|.+\|\n[\|\-\s:]+\|\n(?:\|.+\|\n)+') THEN 'table_aware' WHEN regexp_matches(s, '```[\s\S]*?```') THEN 'code_aware'
-  WHEN regexp_matches(s, '(?m)^#{{1,6}}\s+.+$') OR regexp_matches(s, '(?m)^\d+\.\s+.+$') OR regexp_matches(s, '(?m)^[A-Z][A-Z\s]{{2,}}:$') OR regexp_matches(s, '(?m)^\s*\d+\.\d+[\s.]') THEN 'section_aware' ELSE 'semantic' END AS strategy FROM s""")
+CONTENT = r"""s AS (SELECT path, string_agg(text, chr(10) ORDER BY page_no) AS s FROM {pages} WHERE page_no < 5 GROUP BY path),
+by_content AS (SELECT path, CASE WHEN regexp_matches(s, '\|.+\|\n[\|\-\s:]+\|\n(?:\|.+\|\n)+') THEN 'table_aware' WHEN regexp_matches(s, '```[\s\S]*?```') THEN 'code_aware'
+  WHEN regexp_matches(s, '(?m)^#{{1,6}}\s+.+$') OR regexp_matches(s, '(?m)^\d+\.\s+.+$') OR regexp_matches(s, '(?m)^[A-Z][A-Z\s]{{2,}}:$') OR regexp_matches(s, '(?m)^\s*\d+\.\d+[\s.]') THEN 'section_aware' ELSE 'semantic' END AS strategy FROM s)"""
+
+
+@query(f"WITH {i.DECORATED}, {CONTENT.format(pages='dp')} SELECT path, strategy FROM by_content")
 def p8_strategy_from_content(spark, sf_dir):
     return routing.strategy_from_content(i.decorated_pages(spark, sf_dir))
 
@@ -142,22 +150,26 @@ def t3_table_split(spark, sf_dir):
     return out.select(F.col("path").cast("long").alias("doc_id"), "part_index", "content_type", "text")
 
 
-@query()
+@query(sql.T1)
 def t1_recursive_split(spark, sf_dir):
     return splitting.semantic_split(splitting.as_chunks(i.file_pages(spark, sf_dir))).drop("place")
 
 
-@query()
+@query(sql.T4)
 def t4_code_split(spark, sf_dir):
     return splitting.code_split(splitting.as_chunks(i.decorated_pages(spark, sf_dir))).drop("place")
 
 
-@query()
+@query(sql.T5)
 def t5_step_chain(spark, sf_dir):
     return splitting.split_in_steps(splitting.as_chunks(i.decorated_pages(spark, sf_dir)), ["table_aware", "section_aware", "semantic"]).drop("place")
 
 
-@query()
+#: P7 and P8 together on `pg`.
+ROUTED = f"{ROUTES}, {CONTENT.format(pages='pg')}, routed AS (SELECT path, CASE WHEN ro.strategy = 'auto' THEN by_content.strategy ELSE ro.strategy END AS strategy FROM ro JOIN by_content USING (path))"
+
+
+@query(f"WITH RECURSIVE {SAMPLE_DECORATED}, {ROUTED}, {sql.by_strategy('pg', 'routed')} SELECT {sql.NUMBERED} FROM nu")
 def t6_split_by_strategy(spark, sf_dir):
     pages = i.decorated_pages(spark, sf_dir)
     profiles = profile.profile_files(profile.sample_pages(pages))
@@ -259,7 +271,17 @@ def k1_similarity_search(spark, sf_dir):
 @query(f"""WITH {i.STORE}, {i.NEAR}, r AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM near)
 SELECT query_id, chunk_id FROM r WHERE rank <= 50""")
 def j1_similarity_join(spark, sf_dir):
-    return search.similarity_search(i.store(spark, sf_dir), i.search_queries(spark, sf_dir), 50).select("query_id", "chunk_id")
+    return search.similarity_join(i.store(spark, sf_dir), i.search_queries(spark, sf_dir), 50).select("query_id", "chunk_id")
+
+
+@query(f"""WITH {i.STORE}, near AS (SELECT q.vec_id AS query_id, chunk_id, pow(list_distance(CAST(q.embedding AS DOUBLE[]), st.e), 2) AS distance FROM embeddings q JOIN st ON q.vec_id <> chunk_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM near) SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id, round(distance, 6) AS distance FROM r WHERE rank <= 3""")
+def j1_nearest_of_every_row(spark, sf_dir):
+    """Every row is a query here; its own vector, which is the nearest to it, is left out after the join."""
+    store = i.store(spark, sf_dir)
+    found = search.similarity_join(store, store.select(F.col("chunk_id").alias("query_id"), "embedding"), 4).where("query_id <> chunk_id")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("rank"))
+    return found.withColumn("rank", rank).where("rank <= 3").select("query_id", "rank", "chunk_id", F.round("distance", 6).alias("distance"))
 
 
 @query(f"""WITH {i.STORE}, {i.NEAR}, ke AS (SELECT near.*, unnest([domain || '_' || coalesce(content_type, 'general'), domain || '_all']) AS store_key FROM near),
@@ -281,11 +303,60 @@ def k3_filtered_search(spark, sf_dir):
     return search.filtered_search(i.store(spark, sf_dir), i.search_queries(spark, sf_dir), {"label": [1, 2, 3], "domain": "d1"}).select("query_id", "rank", "chunk_id")
 
 
-@query()
+@query(f"""WITH {i.STORE}, {i.NEAR}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM near),
+f AS (SELECT query_id, chunk_id, rank FROM r WHERE rank <= 5 AND label IN (1, 2, 3)) SELECT query_id, CAST(count(*) AS INTEGER) AS among_five FROM f GROUP BY 1""")
+def k3_filter_share(spark, sf_dir):
+    found = search.filtered_search(i.store(spark, sf_dir), i.search_queries(spark, sf_dir), {"label": [1, 2, 3]}, k=5, fetch_k=5)
+    return found.groupBy("query_id").agg(F.count("*").cast("int").alias("among_five"))
+
+
+@query(f"""WITH {i.STORE}, {i.NEAR}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS fetched FROM near),
+f AS (SELECT query_id, chunk_id, fetched, row_number() OVER (PARTITION BY query_id ORDER BY fetched) AS rank FROM r WHERE label = 4 AND domain = 'd1') SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id, CAST(CASE WHEN fetched <= 20 THEN fetched END AS INTEGER) AS fetched FROM f WHERE rank <= 5""")
+def k3_widened_search(spark, sf_dir):
+    found = search.filtered_search(i.store(spark, sf_dir), i.search_queries(spark, sf_dir), {"label": 4, "domain": "d1"}, widen=True)
+    return found.select("query_id", "rank", "chunk_id", "fetched")
+
+
+def _mmr_sql(picks: int, where: str = "true") -> str:
+    """One step a pick: v is what it goes by, m the greatest likeness to those picked so far."""
+    steps = f"""{i.STORE}, {i.NEAR}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM near WHERE {where}), f AS (SELECT * FROM r WHERE rank <= 20),
+c AS (SELECT a.query_id, a.rank AS a, b.rank AS b, list_cosine_similarity(a.e, b.e) AS likeness FROM f a JOIN f b USING (query_id)),
+m0 AS (SELECT query_id, f.rank, chunk_id, list_cosine_similarity(f.e, CAST(q.embedding AS DOUBLE[])) AS s, CAST(-1 AS DOUBLE) AS m, list_cosine_similarity(f.e, CAST(q.embedding AS DOUBLE[])) AS v FROM f JOIN embeddings q ON q.vec_id = query_id)"""
+    for n in range(1, picks + 1):
+        steps += f""", p{n} AS (SELECT query_id, rank, chunk_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY v DESC, rank) AS o FROM m{n - 1}) WHERE o = 1),
+m{n} AS (SELECT x.query_id, x.rank, x.chunk_id, s, greatest(m, likeness) AS m, 0.5 * s - 0.5 * greatest(m, likeness) AS v FROM m{n - 1} x JOIN p{n} p ON p.query_id = x.query_id JOIN c ON c.query_id = x.query_id AND c.a = p.rank AND c.b = x.rank WHERE x.rank <> p.rank)"""
+    union = " UNION ALL ".join(f"SELECT query_id, {n} AS rank, chunk_id, CAST(1 AS DOUBLE) AS score FROM p{n}" for n in range(1, picks + 1))
+    return f"WITH {steps} {union}"
+
+
+@query(_mmr_sql(5))
 def k4_mmr_search(spark, sf_dir):
     return mmr.mmr_search(i.store(spark, sf_dir), i.search_queries(spark, sf_dir))
 
 
+@query(_mmr_sql(5, "domain = 'd1'"))
+def k5_retrieve_mmr(spark, sf_dir):
+    return search.retrieve(i.store(spark, sf_dir), i.search_queries(spark, sf_dir), "mmr", domain="d1")
+
+
+@query(f"""WITH {i.STORE}, {i.NEAR}, ke AS (SELECT near.*, unnest([domain || '_' || coalesce(content_type, 'general'), domain || '_all']) AS store_key FROM near),
+r AS (SELECT query_id, chunk_id, store_key, text, 1 / (1 + distance) * 0.5 AS score, row_number() OVER (PARTITION BY query_id, store_key ORDER BY distance, chunk_id) AS rank FROM ke WHERE store_key IN ('d2_t1', 'd2_t2')),
+o AS (SELECT *, row_number() OVER (PARTITION BY query_id, coalesce(text, '') ORDER BY score DESC, store_key, chunk_id) AS c FROM r WHERE rank <= 15),
+f AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, store_key, chunk_id) AS final FROM o WHERE c = 1) SELECT query_id, CAST(final AS INTEGER) AS rank, chunk_id, round(score, 4) AS score FROM f WHERE final <= 5""")
+def k5_retrieve_hybrid(spark, sf_dir):
+    queries = i.search_queries(spark, sf_dir)
+    scope = queries.select("query_id", F.explode(F.array(F.lit("d2_t1"), F.lit("d2_t2"))).alias("store_key"), F.lit(None).cast("double").alias("weight"))
+    return search.retrieve(stores.with_store_keys(i.store(spark, sf_dir)), queries, "hybrid", domain="d2", scope=scope)
+
+
+@query(f"""WITH {i.STORE}, {i.NEAR}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM near)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id, round(1 / (1 + distance), 6) AS score FROM r WHERE rank <= 5""")
+def k5_retrieve_hybrid_without_domain(spark, sf_dir):
+    """Hybrid search needs a domain; without one it is similarity search over the whole store."""
+    queries = i.search_queries(spark, sf_dir)
+    return search.retrieve(i.store(spark, sf_dir), queries, "hybrid").withColumn("score", F.round("score", 6))
+
+
 @query(f"""WITH {i.STORE}, {i.NEAR}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM near WHERE domain = 'd2')
 SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id, round(1 / (1 + distance), 6) AS score FROM r WHERE rank <= 5""")
 def k5_retrieve(spark, sf_dir):
@@ -307,12 +378,43 @@ def d4_embed_once(spark, sf_dir):
     return stores.embed_once(i.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "vector")
 
 
-@query()
+def _digests(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: hashlib.md5(t.encode()).hexdigest())
+
+
+def _no_the(texts: pd.Series) -> pd.Series:
+    """A model that fails on texts that begin with The, and so as a whole."""
+    if texts.str.startswith("The").any():
+        raise ValueError("text begins with The")
+    return texts.str.upper()
+
+
+MODELS = {"md5": BatchModel(_digests, "string"), "no_the": BatchModel(_no_the, "string"), "reversed": F.reverse}
+
+
+@query("SELECT doc_id, 'docs_md5' AS store_key, md5(text) AS vector FROM documents UNION ALL SELECT doc_id, 'docs_reversed', reverse(text) FROM documents UNION ALL SELECT doc_id, 'docs_no_the', upper(text) FROM documents WHERE NOT (SELECT bool_or(starts_with(text, 'The')) FROM documents)")
 def j4_embed_with_models(spark, sf_dir):
-    rows, _ = stores.embed_with_models(i.table(spark, sf_dir, "documents").select("doc_id", "text"), "docs", {"hash_a": EMBEDDERS["hashing"], "hash_b": EMBEDDERS["hashing"]})
+    rows, _ = stores.embed_with_models(i.table(spark, sf_dir, "documents").select("doc_id", "text"), "docs", MODELS)
     return rows.select("doc_id", "store_key", "vector")
 
 
+@query("""SELECT unnest(['md5', 'no_the', 'reversed']) AS model, unnest([true, n = 0, true]) AS ok, unnest([NULL, CASE WHEN n > 0 THEN 'ValueError: text begins with The' END, NULL]) AS error, unnest([0, n, 0]) AS failed FROM (SELECT count(*) FILTER (WHERE starts_with(text, 'The')) AS n FROM documents)""")
+def j4_model_status(spark, sf_dir):
+    return stores.embed_with_models(i.table(spark, sf_dir, "documents").select("doc_id", "text"), "docs", MODELS)[1]
+
+
+@embedder("vowels")
+def vowel_counts(text):
+    """How often a, e and i occur, as a vector; built-in functions alone."""
+    return F.array(*(tx.occurrences(text, c).cast("float") for c in "aei"))
+
+
+@query("SELECT doc_id, CAST(length(text) - length(replace(text, 'a', '')) AS DOUBLE) AS a, CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS e, CAST(length(text) - length(replace(text, 'i', '')) AS DOUBLE) AS i FROM documents")
+def u2_embedder_registry(spark, sf_dir):
+    rows = stores.embed_once(i.table(spark, sf_dir, "documents").select("doc_id", "text"), EMBEDDERS["vowels"])
+    return rows.select("doc_id", *(F.col("vector")[n].cast("double").alias(c) for n, c in enumerate("aei")))
+
+
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 50 AS batch_no FROM documents")
 def w6_batch_numbers(spark, sf_dir):
     return stores.batch_numbers(i.table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select("doc_id", "batch_no")
@@ -331,6 +433,22 @@ def s6_append_store(spark, sf_dir):
     return spark.read.parquet(base).groupBy("domain", "content_type").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {i.STORE}, old AS (SELECT * FROM st WHERE chunk_id % 2 = 0) SELECT chunk_id, domain FROM old UNION ALL SELECT chunk_id, domain FROM st WHERE text IS NULL
+UNION ALL SELECT min(chunk_id), arg_min(domain, chunk_id) FROM st WHERE text IS NOT NULL AND text NOT IN (SELECT text FROM old WHERE text IS NOT NULL) GROUP BY text""")
+def s6_append_new_texts(spark, sf_dir):
+    base, rows = shared_folder(spark), i.store(spark, sf_dir)
+    files.save_stores(rows.where("chunk_id % 2 = 0"), base)
+    files.append_to_store(rows, base, skip_known=True)
+    return spark.read.parquet(base).select("chunk_id", "domain")
+
+
+@query(f"WITH {i.STORE} SELECT chunk_id, domain, coalesce(content_type, 'general') AS content_type, label, text, md5(text) AS digest FROM st")
+def s4_save_stores(spark, sf_dir):
+    base = shared_folder(spark)
+    files.save_stores(i.store(spark, sf_dir), base)
+    return spark.read.parquet(base).select("chunk_id", "domain", "content_type", "label", "text", F.lower(F.hex("digest")).alias("digest"))
+
+
 @query(f"WITH {i.STORE} SELECT chunk_id, coalesce(content_type, 'general') AS content_type, text FROM st WHERE domain = 'd1'")
 def s5_load_store(spark, sf_dir):
     base = shared_folder(spark)
@@ -347,6 +465,34 @@ def s2_pages_of_files(spark, sf_dir):
     return pages.groupBy(F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source")).agg(F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars"))
 
 
+@files.extractor("lines")
+def lines_of_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every line of a UTF-8 file as a page, the empty one after a last newline left out."""
+    for batch in batches:
+        rows = [(p, n, t) for p, c in zip(batch["path"], batch["content"], strict=True) for n, t in enumerate(bytes(c).decode().split("\n")[:-1])]
+        yield pd.DataFrame(rows, columns=["path", "page_no", "text"])
+
+
+def _source_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file of each source's texts, each ended by a newline."""
+    folder = shared_folder(spark)
+    docs = i.table(spark, sf_dir, "documents").select("source", F.coalesce("text", F.lit("")).alias("text"))
+    docs.repartition("source").write.partitionBy("source").text(folder)
+    return folder
+
+
+@query("SELECT source, round(sum(strlen(coalesce(text, '')) + 1) / 1024, 2) AS size_kb FROM documents GROUP BY 1")
+def s1_file_inventory(spark, sf_dir):
+    found = files.file_inventory(spark, _source_files(spark, sf_dir), ".txt")
+    return found.select(F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source"), "size_kb")
+
+
+@query("SELECT source, CAST(sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1) AS BIGINT) AS lines, CAST(sum(length(replace(coalesce(text, ''), chr(10), ''))) AS BIGINT) AS chars FROM documents GROUP BY 1")
+def u3_extractor_registry(spark, sf_dir):
+    pages = files.pages_of_files(spark, _source_files(spark, sf_dir), "lines", ".txt")
+    return pages.groupBy(F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source")).agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"))
+
+
 # Questions, answers and sessions
 
 
@@ -515,21 +661,37 @@ def x2_running_session_stats(spark, sf_dir):
     return spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query(f"""WITH {i.PAGES} SELECT path, count(*) AS n FROM pg GROUP BY 1""")
+@query(f"""WITH RECURSIVE {i.PAGES}, fl AS (SELECT path, arg_min({sql.is_korean('text')}, page_no) AS korean FROM pg GROUP BY 1), src AS (SELECT doc_id AS key, text, korean FROM pg JOIN fl USING (path)), {sql.recursive('src', 'ch')}
+SELECT path, CAST(page_no AS INTEGER) AS page_no, chunk AS text, row_number() OVER (PARTITION BY path ORDER BY page_no, ord) - 1 AS chunk_index FROM ch JOIN pg ON doc_id = key""")
 def x1_incremental_ingest(spark, sf_dir):
+    """The pages of each file come in three lots, one after the other; the numbers go on from lot to lot."""
     source, out, place = shared_folder(spark), shared_folder(spark), shared_folder(spark)
-    pages = i.file_pages(spark, sf_dir).select("path", F.col("page_no").cast("int").alias("page_no"), "text")
-    pages.write.parquet(source)
-    jobs.ingest_pages(spark, source, out, place, "docs").awaitTermination()
-    return spark.read.parquet(out).groupBy("path").agg(F.countDistinct("page_no").alias("n"))
-
-
-@query()
+    pages = written(i.file_pages(spark, sf_dir).select("path", F.col("page_no").cast("int").alias("page_no"), "text"))
+    sizes = pages.groupBy(F.col("path").alias("_path")).agg(F.count("*").alias("_n"))
+    lots = pages.join(sizes, F.col("path") == F.col("_path")).withColumn("_lot", F.floor(F.col("page_no") * 3 / F.col("_n")))
+    for lot in range(3):
+        lots.where(F.col("_lot") == lot).select(*pages.columns).write.mode("append").parquet(source)
+        jobs.ingest_pages(spark, source, out, place, "docs").awaitTermination()
+    return spark.read.parquet(out).select("path", "page_no", "text", "chunk_index")
+
+
+@query(f"""WITH RECURSIVE {SAMPLE}, {ROUTED}, {sql.by_strategy('pg', 'routed')}, {i.META}
+SELECT {sql.NUMBERED.replace('content_type', "coalesce(content_type, 'general') AS content_type")}, path AS source, coalesce(me.title, '') AS pdf_title, coalesce(me.author, '') AS pdf_author, coalesce(me.page_count, 0) AS pdf_pages, coalesce(me.file_size_kb, 0) AS pdf_file_size,
+  md5(text) AS vector, 'docs' AS domain FROM nu LEFT JOIN me USING (path)""")
 def workload_a_corpus_to_store(spark, sf_dir):
     return workloads.corpus_to_store(i.file_pages(spark, sf_dir), i.file_metadata(spark, sf_dir), "docs").drop("place")
 
 
-@query()
+@query(f"""WITH {i.STORE}, {i.NEAR}, ke AS (SELECT near.*, domain || '_all' AS store_key FROM near WHERE domain IN ('d0', 'd1')),
+r AS (SELECT query_id, chunk_id, store_key, text, 1 / (1 + distance) * 0.5 AS score, row_number() OVER (PARTITION BY query_id, store_key ORDER BY distance, chunk_id) AS rank FROM ke),
+o AS (SELECT *, row_number() OVER (PARTITION BY query_id, coalesce(text, '') ORDER BY score DESC, store_key, chunk_id) AS c FROM r WHERE rank <= 15),
+h AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, store_key, chunk_id) AS rank, coalesce(text, '') AS text FROM o WHERE c = 1),
+s AS (SELECT query_id, rank, text, 12000 - coalesce(sum(length(text)) OVER (PARTITION BY query_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM h WHERE rank <= 5),
+v AS (SELECT *, min(CASE WHEN length(text) > rest THEN rank END) OVER (PARTITION BY query_id) AS over FROM s),
+p AS (SELECT query_id, rank, CASE WHEN over IS NULL OR rank < over THEN text WHEN rank = over AND rest > 200 THEN substr(text, 1, CAST(rest AS BIGINT)) || chr(10) || '[... cut]' END AS part FROM v),
+x AS (SELECT query_id, coalesce(string_agg(part, chr(10) || chr(10) ORDER BY rank), '') AS context, count(part) AS n_used FROM p GROUP BY 1)
+SELECT vec_id AS query_id, split_part(t, '{{context}}', 1) || coalesce(context, '') || replace(split_part(t, '{{context}}', 2), '{{question}}', d.text) AS prompt, coalesce(n_used, 0) AS n_used
+FROM embeddings e JOIN documents d ON d.doc_id = vec_id LEFT JOIN x ON x.query_id = vec_id, (SELECT {_template_sql('factual')} AS t) WHERE vec_id % 100 = 0""")
 def workload_b_questions_to_prompts(spark, sf_dir):
     queries = i.search_queries(spark, sf_dir)
     docs = i.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.col("text").alias("question"))
