@@ -1,24 +1,24 @@
 """Divergence audit: how far the term distributions of a language's sources are apart, and which terms make it so.
 
-Documents are indexed in a single pass. A task gathers postings (lang, term, source -> occurrences, documents) in memory until
-these are BLOCK, then spills them as a run: sorted by term, cut by a hash of (lang, term) into shards and packed into slabs of at most
-SLAB postings. Spark's shuffle brings the slabs of a shard together in the order of their first terms; there the runs are merged by a
-heap that holds only the slabs which reach the current term, into one row of frequencies a term. The distances of all pairs of
-sources start from the value that terms have which neither source holds, and every term corrects the pairs of its sources as
-it streams by.
+Documents are indexed in a single pass. A task gathers occurrences in memory until there are BLOCK, sums them up by term and group (lang,
+source) and spills the postings (occurrences, documents) as a run: sorted by the term's hash, cut into shards by its first bits and packed
+into slabs. Spark's shuffle brings the slabs of a shard together in the order of their first terms; there a heap holds the open slabs by
+the next term of each, and all terms below what is still to come are taken from it at once and added up into one row of
+frequencies a term. Terms are told apart by their bytes wherever hashes meet. The distances of all pairs of sources start from
+the value that terms have which neither source holds, and every term corrects the pairs of its sources as it streams by.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import batched, groupby
-from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -28,148 +28,278 @@ from corpusmill.llm.batches import discard, settled, stored, tidy
 MIN_DOCS, TOP, SMOOTH = 30, 50, 5
 #: Probabilities are whole parts of so many.
 SCALE = 1_000_000_000
-#: Postings in memory before a run is spilled, postings of a slab, shards of a run, runs that are merged at once.
-BLOCK, SLAB, SHARDS, FAN_IN = 400_000, 2048, 256, 512
+#: Occurrences in memory before a run is spilled, terms of a slab, runs that are merged at once, postings that are added up at once.
+BLOCK, SLAB, FAN_IN, MERGED = 1 << 21, 2048, 512, 1 << 20
+#: Characters of texts that are split into terms at once; a longer text is taken in pieces that end between terms.
+PIECE = 1 << 20
 #: Cells of pair corrections that a task holds before it passes them on.
 CELLS = 4_000_000
-#: Characters of a text that are split into terms at once.
-PIECE = 1 << 20
 
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_SLABS = "shard int, run_group long, lead binary, lang array<string>, term array<binary>, source array<string>, n array<long>, docs array<long>"
+#: Bytes that belong to terms: small letters (after lower-casing) and all of UTF-8 beyond ASCII.
+_TERM = np.zeros(256, bool)
+_TERM[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+_MIX = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)))
+_KINDS = {
+    "shard": pa.int32(), "run_group": pa.int64(), "lead": pa.int64(), "key": pa.list_(pa.int64()), "term": pa.list_(pa.binary()), "postings": pa.list_(pa.int64()),
+    "lang": pa.list_(pa.string()), "source": pa.list_(pa.string()), "of": pa.list_(pa.int64()), "n": pa.list_(pa.int64()), "docs": pa.list_(pa.int64()),
+}
+_SLABS = "shard int, run_group long, lead long, key array<long>, term array<binary>, postings array<long>, lang array<string>, source array<string>, of array<long>, n array<long>, docs array<long>"
 _PARTIAL = "lang string, source string, other string, term binary, n long"
 
 
-def text_terms(text: str | None) -> Counter:
-    """Terms of a text and how often each occurs; a long text is taken in pieces that end between terms."""
-    found: Counter = Counter()
-    raw = (text or "").encode().lower()
-    at = 0
-    while at < len(raw):
-        end = len(raw)
-        if end - at > PIECE:
-            cut = TERM.match(raw, at + PIECE)  # a term may go on beyond the piece
-            end = cut.end() if cut else at + PIECE
-        found.update(TERM.findall(raw, at, end))
-        at = end
-    return found
-
-
-def _packed(postings: list[tuple], group: int) -> Iterator[dict]:
-    """Slabs of postings (lang, term, source, n, docs) that are sorted and of one shard."""
-    for at in range(0, len(postings), SLAB):
-        part = postings[at : at + SLAB]
-        lang, term, source, n, docs = map(list, zip(*part, strict=True))
-        yield {"run_group": group, "lead": _key(lang[0], term[0]), "lang": lang, "term": term, "source": source, "n": n, "docs": docs}
-
-
-def _key(lang: str, term: bytes) -> bytes:
-    """Sorts as (lang, term) does by UTF-8 bytes: a zero byte in the language is told from its end."""
-    return lang.encode().replace(b"\0", b"\0\1") + b"\0\0" + term
-
-
-def _shard(lang: str, term: bytes) -> int:
-    return crc32(term, crc32(lang.encode())) % SHARDS
-
-
-def _table(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
+class Terms:
+    """The terms of some texts: where each stands in `raw`, its text, and a hash that is the same for the same bytes.
 
+    A term of up to 16 bytes is its length, its first eight bytes and its last eight; a longer one is compared as a whole.
+    """
 
-def _slab_schema() -> pa.Schema:
-    kinds = {"shard": pa.int32(), "run_group": pa.int64(), "lead": pa.binary(), "lang": pa.list_(pa.string()), "term": pa.list_(pa.binary()), "source": pa.list_(pa.string()), "n": pa.list_(pa.int64()), "docs": pa.list_(pa.int64())}
-    return pa.schema(list(kinds.items()))
+    def __init__(self, texts: list[bytes]):
+        self.raw = b"\n".join(texts).lower() + b"\n" + bytes(8)
+        code = np.frombuffer(self.raw, np.uint8)[:-8]
+        inside = np.concatenate([[False], _TERM[code]])
+        edge = np.flatnonzero(inside[1:] != inside[:-1])  # the text ends outside a term
+        self.start, self.length = edge[::2], edge[1::2] - edge[::2]
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        per_text = np.diff(np.searchsorted(self.start, ends), prepend=0)
+        self.text = np.repeat(np.arange(len(texts)), per_text)
+        eights = np.ndarray(len(self.raw) - 7, "<u8", self.raw, strides=(1,))
+        with np.errstate(over="ignore"):
+            short = np.uint64(2**64 - 1) >> (8 * np.maximum(8 - self.length, 0)).astype(np.uint64)
+            self.head = eights[self.start] & short
+            self.tail = np.where(self.length > 8, eights[np.maximum(self.start + self.length - 8, 0)], np.uint64(0))
+            key = (self.head * _MIX[0]) ^ (self.tail ^ self.length.astype(np.uint64) * _MIX[2]) * _MIX[1]
+            key = (key ^ (key >> np.uint64(31))) * _MIX[0]
+            key ^= key >> np.uint64(29)
+        for i in np.flatnonzero(self.length > 16).tolist():
+            key[i] = xxhash.xxh64_intdigest(self.bytes(i))
+        self.key = key
+
+    def bytes(self, i: int) -> bytes:
+        return self.raw[self.start[i] : self.start[i] + self.length[i]]
+
+
+class Block:
+    """Occurrences of terms in memory, until they are summed up."""
+
+    def __init__(self):
+        self.pieces: list[tuple[Terms, np.ndarray]] = []
+        self.groups: dict[tuple[str, str], int] = {}
+        self.group_of: list[int] = []  # by document
+        self.size = 0
+
+    def add(self, rows: list[tuple[str, str, bytes]], follows: bool = False) -> None:
+        """Texts (lang, source, text); with `follows` the first goes on with the last document of before."""
+        for lang, source, _ in rows[1:] if follows else rows:
+            self.group_of.append(self.groups.setdefault((lang, source), len(self.groups)))
+        terms = Terms([t for _, _, t in rows])
+        self.pieces.append((terms, terms.text + (len(self.group_of) - len(rows))))
+        self.size += len(terms.key)
+
+    def postings(self) -> dict[str, np.ndarray]:
+        """key and term of each term, sorted by key, with the number of its postings; of, n, docs of all postings in that order."""
+        key, head, tail, length = (np.concatenate([getattr(t, name) for t, _ in self.pieces]) for name in ("key", "head", "tail", "length"))
+        doc = np.concatenate([d for _, d in self.pieces])
+        starts = np.cumsum([0, *(len(t.key) for t, _ in self.pieces)])
+        code, keys = pd.factorize(key)
+        first = np.empty(len(keys), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+
+        def spelled(i: int) -> bytes:
+            piece = int(np.searchsorted(starts, i, "right")) - 1
+            return self.pieces[piece][0].bytes(i - starts[piece])
+
+        mine = first[code]
+        other = (head != head[mine]) | (tail != tail[mine]) | (length != length[mine])
+        long = np.flatnonzero((length > 16) & ~other & (mine != np.arange(len(mine))))
+        other[[i for i in long.tolist() if spelled(i) != spelled(mine[i])]] = True
+        more: dict[bytes, int] = {}  # terms whose hash another one has too
+        firsts = first.tolist()
+        for i in np.flatnonzero(other).tolist():
+            name = spelled(i)
+            if name not in more:
+                more[name] = len(firsts)
+                firsts.append(i)
+            code[i] = more[name]
+        first, terms = np.array(firsts, np.int64), len(firsts)
+        each, pairs = pd.factorize(doc * terms + code)
+        times = np.bincount(each)
+        at, term = np.divmod(pairs, terms)
+        rank = np.empty(terms, np.int64)
+        order = np.argsort(key[first], kind="stable")
+        rank[order] = np.arange(terms)
+        group = np.array(self.group_of, np.int64)[at]
+        code, posts = pd.factorize(rank[term] * len(self.groups) + group)
+        n, docs = np.bincount(code, times).astype(np.int64), np.bincount(code)
+        by = np.argsort(posts)
+        place, of = np.divmod(posts[by], len(self.groups))
+        names = np.empty(terms, object)
+        names[:] = [spelled(i) for i in first[order].tolist()]
+        return {"key": _signed(key[first[order]]), "term": names, "postings": np.bincount(place, minlength=terms), "of": of, "n": n[by], "docs": docs[by]}
+
+
+def _signed(key: np.ndarray) -> np.ndarray:
+    """Unsigned hashes as signed numbers in the same order."""
+    return (key ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _slab_rows(table: dict[str, np.ndarray], groups: list[tuple[str, str]], run_group: int) -> pa.RecordBatch:
+    """Slabs of a sorted run: a shard's terms together, at most SLAB in a row, with the names of the groups that it has."""
+    shard = (table["key"] >> 56) + 128
+    edges = np.flatnonzero(np.diff(shard, prepend=-1)).tolist() + [len(shard)]
+    cuts = [at for a, b in zip(edges, edges[1:], strict=False) for at in range(a, b, SLAB)] + [len(shard)]
+    ends = np.concatenate([[0], np.cumsum(table["postings"])])
+    rows: dict[str, list] = {name: [] for name in _KINDS}
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        x, y = ends[a], ends[b]
+        used, of = np.unique(table["of"][x:y], return_inverse=True)
+        rows["shard"].append(int(shard[a]))
+        rows["run_group"].append(run_group)
+        rows["lead"].append(int(table["key"][a]))
+        for name in ("key", "postings"):
+            rows[name].append(table[name][a:b])
+        rows["term"].append(table["term"][a:b].tolist())
+        rows["lang"].append([groups[g][0] for g in used.tolist()])
+        rows["source"].append([groups[g][1] for g in used.tolist()])
+        rows["of"].append(of.astype(np.int64))
+        for name in ("n", "docs"):
+            rows[name].append(table[name][x:y])
+    return pa.RecordBatch.from_arrays([pa.array(rows[name], kind) for name, kind in _KINDS.items()], schema=pa.schema(list(_KINDS.items())))
+
+
+def _in_pieces(lang: str, source: str, text: str) -> Iterator[tuple[str, str, bytes]]:
+    """A text as bytes, a long one in pieces that end between terms."""
+    raw = text.encode()
+    at = 0
+    while len(raw) - at > PIECE:
+        part = np.frombuffer(raw, np.uint8, min(PIECE, len(raw) - at), at) | 0x20
+        outside = np.flatnonzero(~_TERM[part])
+        if not len(outside):  # a term as long as a piece
+            break
+        yield lang, source, raw[at : at + int(outside[-1]) + 1]
+        at += int(outside[-1]) + 1
+    yield lang, source, raw[at:]
 
 
 def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Slabs of term-sorted runs. docs: text, lang, source without nulls."""
+    """Slabs of sorted runs. docs: text, lang, source without nulls."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, group = _slab_schema(), TaskContext.get().partitionId()
-        postings: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
-        held = 0
+        group = TaskContext.get().partitionId()
+        held, rows, size = Block(), [], 0
 
         def spill() -> Iterator[pa.RecordBatch]:
-            shards = defaultdict(list)
-            for (lang, source), terms in postings.items():
-                for term, (n, d) in terms.items():
-                    shards[_shard(lang, term)].append((lang, term, source, n, d))
-            postings.clear()
-            for shard, rows in shards.items():
-                rows.sort(key=lambda r: (_key(r[0], r[1]), r[2].encode()))
-                yield _table([slab | {"shard": shard} for slab in _packed(rows, group)], schema)
-                rows.clear()
+            nonlocal held, rows, size
+            if rows:
+                held.add(rows)
+                rows, size = [], 0
+            if held.size:
+                yield _slab_rows(held.postings(), list(held.groups), group)
+            held = Block()
 
         for batch in batches:
             for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                mine = postings[lang, source]
-                before = len(mine)
-                for term, n in text_terms(text).items():
-                    if (known := mine.get(term)) is None:
-                        mine[term] = [n, 1]
-                    else:
-                        known[0] += n
-                        known[1] += 1
-                held += len(mine) - before
-                if held >= block:
+                pieces = _in_pieces(lang, source, text)
+                first = next(pieces)
+                rows.append(first)
+                size += len(first[2])
+                for piece in pieces:
+                    if rows:
+                        held.add(rows)
+                        rows, size = [], 0
+                    held.add([piece], follows=True)
+                if size >= PIECE:
+                    held.add(rows)
+                    rows, size = [], 0
+                if held.size >= block:
                     yield from spill()
-                    held = 0
         yield from spill()
 
     return docs.select("lang", "source", "text").mapInArrow(index, _SLABS)
 
 
-def _merged(slabs: Iterator[dict]) -> Iterator[tuple[str, bytes, list[tuple[str, int, int]]]]:
-    """(lang, term, [(source, n, docs)]) in order from slabs in order of their leads; a heap over the slabs that are open."""
-    heap: list[tuple] = []
-    opened = 0
-    coming = next(slabs, None)
-    current, sums = None, {}
+class _Slab:
+    """An open slab: terms and postings that aren't taken yet. of: numbers of groups in `groups`, which all slabs share."""
+
+    def __init__(self, row: dict, groups: dict[tuple[str, str], int]):
+        self.key, postings = row["key"], row["postings"]
+        self.ends = np.concatenate([[0], np.cumsum(postings)])
+        self.term, self.n, self.docs = row["term"], row["n"], row["docs"]
+        names = np.array([groups.setdefault(g, len(groups)) for g in zip(row["lang"], row["source"], strict=True)], np.int64)
+        self.of = names[row["of"]]
+        self.at = 0
+
+    def below(self, limit: int | None) -> tuple[np.ndarray, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Take the terms below the limit (none: all): key, term, postings of each, of, n, docs."""
+        a, b = self.at, len(self.key) if limit is None else int(np.searchsorted(self.key, limit))
+        self.at = b
+        x, y = self.ends[a], self.ends[b]
+        return self.key[a:b], self.term[a:b], np.diff(self.ends[a : b + 1]), self.of[x:y], self.n[x:y], self.docs[x:y]
+
+
+def _merged(rows: Iterator[dict], groups: dict[tuple[str, str], int]) -> Iterator[dict[str, np.ndarray]]:
+    """Sorted postings as of Block.postings(), added up over all slabs, from slabs in order of their leads."""
+    heap: list[tuple[int, int, _Slab]] = []
+    opened = held = 0
+    coming = next(rows, None)
     while heap or coming is not None:
-        if coming is not None and (not heap or coming["lead"] <= heap[0][0]):
-            heapq.heappush(heap, (coming["lead"], opened, 0, coming))
-            opened += 1
-            coming = next(slabs, None)
-            continue
-        key, number, at, slab = heap[0]
-        if key != current:
-            if current is not None:
-                yield lang, term, [(s, *x) for s, x in sums.items()]
-            current, sums = key, {}
-        lang, term = slab["lang"][at], slab["term"][at]
-        have = sums.setdefault(slab["source"][at], [0, 0])
-        have[0] += slab["n"][at]
-        have[1] += slab["docs"][at]
-        if at + 1 < len(slab["term"]):
-            heapq.heapreplace(heap, (_key(slab["lang"][at + 1], slab["term"][at + 1]), number, at + 1, slab))
-        else:
-            heapq.heappop(heap)
-    if current is not None:
-        yield lang, term, [(s, *x) for s, x in sums.items()]
+        while coming is not None and (held < MERGED or heap[0][0] >= coming["lead"]):
+            slab = _Slab(coming, groups)
+            heapq.heappush(heap, (coming["lead"], opened, slab))
+            opened, held = opened + 1, held + len(slab.of)
+            coming = next(rows, None)
+        limit, parts = coming["lead"] if coming is not None else None, []
+        while heap and (limit is None or heap[0][0] < limit):
+            _, number, slab = heapq.heappop(heap)
+            parts.append(slab.below(limit))
+            if slab.at < len(slab.key):
+                heapq.heappush(heap, (int(slab.key[slab.at]), number, slab))
+        held -= sum(len(p[3]) for p in parts)
+        yield _added_up(parts, max(1, len(groups)))
+
+
+def _added_up(parts: list[tuple], groups: int) -> dict[str, np.ndarray]:
+    key, times, of, n, docs = (np.concatenate([p[i] for p in parts]) for i in (0, 2, 3, 4, 5))
+    term = np.empty(len(key), object)
+    term[:] = [t for p in parts for t in p[1]]
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    if (same & (term[order][1:] != term[order][:-1])).any():  # different terms with one hash
+        order = np.array(sorted(range(len(key)), key=lambda i: (key[i], term[i])), np.int64)
+        same = (key[order][1:] == key[order][:-1]) & (term[order][1:] == term[order][:-1])
+    new = np.concatenate([[True], ~same])
+    number = np.empty(len(key), np.int64)
+    number[order] = np.cumsum(new) - 1
+    code, posts = pd.factorize(np.repeat(number, times) * groups + of)
+    n, docs = (np.bincount(code, x).astype(np.int64) for x in (n, docs))
+    by = np.argsort(posts)
+    place, of = np.divmod(posts[by], groups)
+    first = order[new]
+    return {"key": key[first], "term": term[first], "postings": np.bincount(place, minlength=len(first)), "of": of, "n": n[by], "docs": docs[by]}
 
 
 def _by_shard(slabs: DataFrame, *keys: str) -> DataFrame:
     return slabs.repartition(*keys).sortWithinPartitions(*keys, "lead")
 
 
-def _of_one_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, Iterator[dict]]]:
-    """Runs of rows with the same first `keys` columns; each must be read to its end before the next."""
-    rows = (row for batch in batches for at in range(0, batch.num_rows, 64) for row in batch.slice(at, 64).to_pylist())
-    names = ("shard", "run_group")[:keys]
-    return groupby(rows, key=lambda r: tuple(r[n] for n in names))
+def _of_one_key(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, Iterator[dict]]]:
+    """Runs of rows with the same key columns; each must be read to its end before the next."""
+    def rows() -> Iterator[dict]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in _KINDS}
+                yield {
+                    name: x.values.to_pylist() if name in ("term", "lang", "source") else x.values.to_numpy() if pa.types.is_list(x.type) else x.as_py() for name, x in row.items()
+                }
+
+    return groupby(rows(), key=lambda r: tuple(r[n] for n in names))
 
 
 def merge_runs(slabs: DataFrame, fan_in: int) -> DataFrame:
     """One run for every fan_in groups of runs, in slabs again."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _slab_schema()
-        for (shard, group), rows in _of_one_key(batches, 2):
-            part: list[tuple] = []
-            for lang, term, found in _merged(rows):
-                part += [(lang, term, s, n, d) for s, n, d in sorted(found, key=lambda x: x[0].encode())]
-                if len(part) >= SLAB:
-                    yield _table([slab | {"shard": shard} for slab in _packed(part, group)], schema)
-                    part = []
-            yield _table([slab | {"shard": shard} for slab in _packed(part, group)], schema)
+        for (_, group), rows in _of_one_key(batches, ("shard", "run_group")):
+            groups: dict[tuple[str, str], int] = {}
+            for table in _merged(rows, groups):
+                yield _slab_rows(table, list(groups), group)
 
     grouped = slabs.withColumn("run_group", F.floor(F.col("run_group") / fan_in))
     return _by_shard(grouped, "shard", "run_group").mapInArrow(merge, _SLABS)
@@ -179,23 +309,18 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, block: int = BLOCK, f
     """lang, term, source and n (arrays) of the terms in at least min_docs documents of the language, from merged runs."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("source", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
-        rows: list[dict] = []
-        for _, slabs in _of_one_key(batches, 1):
-            for lang, term, found in _merged(slabs):
-                if sum(d for _, _, d in found) >= min_docs:
-                    rows.append({"lang": lang, "term": term, "source": [f[0] for f in found], "n": [f[1] for f in found]})
-                if len(rows) >= SLAB:
-                    yield _table(rows, schema)
-                    rows = []
-        yield _table(rows, schema)
+        for _, slabs in _of_one_key(batches, ("shard",)):
+            groups: dict[tuple[str, str], int] = {}
+            for table in _merged(slabs, groups):
+                yield _table(list(_kept(table, list(groups), min_docs)), schema)
 
     spilled, path = stored(runs(docs, block))
-    groups = (spilled.agg(F.max("run_group")).first()[0] or 0) + 1
+    several = (spilled.agg(F.max("run_group")).first()[0] or 0) + 1
     paths = [path]
-    while groups > fan_in:
+    while several > fan_in:
         spilled, path = stored(merge_runs(spilled, fan_in))
         paths.append(path)
-        groups = -(-groups // fan_in)
+        several = -(-several // fan_in)
     out = settled(_by_shard(spilled, "shard").mapInArrow(merge, "lang string, term binary, source array<string>, n array<long>"))
     for p in paths:
         discard(docs.sparkSession, p)
@@ -203,6 +328,26 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, block: int = BLOCK, f
     return out
 
 
+def _kept(table: dict[str, np.ndarray], groups: list[tuple[str, str]], min_docs: int) -> Iterator[dict]:
+    """Rows of frequencies of the terms that are in enough documents of a language."""
+    if not len(table["of"]):
+        return
+    langs = sorted({lang for lang, _ in groups})
+    lang_of = np.array([langs.index(lang) for lang, _ in groups])
+    place = np.repeat(np.arange(len(table["key"])), table["postings"]) * len(langs) + lang_of[table["of"]]
+    many = np.bincount(place, table["docs"]) >= min_docs
+    chosen = np.flatnonzero(many[place])
+    chosen = chosen[np.argsort(place[chosen], kind="stable")]
+    for at, own in groupby(chosen.tolist(), key=lambda i: place[i]):
+        own = list(own)
+        term, lang = divmod(int(at), len(langs))
+        yield {"lang": langs[lang], "term": table["term"][term], "source": [groups[table["of"][i]][1] for i in own], "n": [int(table["n"][i]) for i in own]}
+
+
+def _table(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
 def shares(n: np.ndarray, total: int | np.ndarray) -> np.ndarray:
     """1 + floor(SCALE * (n + SMOOTH) / total), exact in 64 bits up to totals of 2e14: the division is done in two steps."""
     first, second = 31_250, SCALE // 31_250
@@ -314,7 +459,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, text_col: s
     Null text, lang and source are ''. A group without terms has the smoothed shares; a language without kept terms has pairs of value 0.
     Repeated rows count as documents of their own. Texts of any length are taken whole, in pieces. An empty table gives an
     empty one; other columns are ignored, whatever their names. The groups, of whose number the result holds the square, go to every task
-    with their totals; a task holds BLOCK postings, a slab of each open run and CELLS corrections.
+    with their totals; a task holds BLOCK occurrences, MERGED postings and a slab of each open run, and CELLS corrections.
     """
     spark = docs.sparkSession
     plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))

@@ -1,6 +1,7 @@
 """The audit against SQL over all groups and terms, and its parts against plain loops."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -52,7 +53,8 @@ def test_frequencies_are_those_of_a_loop(spark):
     docs = texts(spark, 8).na.fill("")
     seen, total = defaultdict(set), defaultdict(Counter)
     for k, r in enumerate(docs.collect()):
-        for term in sd.text_terms(r.text).elements():
+        for term in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), r.text)):
+            term = term.encode()
             seen[r.lang, term].add(k)
             total[r.lang, term][r.source] += 1
     for block, fan_in in ((10**6, 512), (7, 3)):
@@ -60,11 +62,74 @@ def test_frequencies_are_those_of_a_loop(spark):
         assert out == {k: dict(v) for k, v in total.items() if len(seen[k]) >= 30}
 
 
-def test_long_texts_are_taken_in_pieces(monkeypatch):
-    text = "Alpha beta,é9gamma " * 300 + "q" * 400
-    whole = sd.text_terms(text)
+def plain(block):
+    table, groups = block.postings(), list(block.groups)
+    of, n, docs = iter(table["of"].tolist()), iter(table["n"].tolist()), iter(table["docs"].tolist())
+    assert sorted(table["key"].tolist()) == table["key"].tolist()
+    return {(term, groups[next(of)]): (next(n), next(docs)) for term, k in zip(table["term"], table["postings"].tolist()) for _ in range(k)}
+
+
+ROWS = [("en", "a", "Alpha beta,é9gamma alpha"), ("de", "a", ""), ("en", "b", "beta " + "q" * 40 + " " + "q" * 39 + "r " + "Q" * 40), ("en", "a", "alpha ünï abcdefgh abcdefghi ABCDEFGHIJKLMNOP abcdefghijklmnopq"), ("en", "", "12 3")]
+
+
+def counted(rows):
+    out = {}
+    for lang, source, text in rows:
+        for term, n in Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))).items():
+            old = out.get((term.encode(), (lang, source)), (0, 0))
+            out[term.encode(), (lang, source)] = (old[0] + n, old[1] + 1)
+    return out
+
+
+def test_postings_of_a_block(monkeypatch):
+    block = sd.Block()
+    block.add([(lang, source, t.encode()) for lang, source, t in ROWS[:2]])
+    block.add([(lang, source, t.encode()) for lang, source, t in ROWS[2:]])
+    assert plain(block) == counted(ROWS)
+
+
+def test_terms_with_one_hash_are_told_apart(monkeypatch):
+    """Constant hashes: every term still has its own postings, in a block and when runs are merged."""
+    class Alike(sd.Terms):
+        def __init__(self, texts):
+            super().__init__(texts)
+            self.key = self.key % 3
+
+    monkeypatch.setattr(sd, "Terms", Alike)
+    monkeypatch.setattr(sd, "SLAB", 3)
+    blocks = []
+    for k in range(3):
+        block = sd.Block()
+        block.add([(lang, source, t.encode()) for lang, source, t in ROWS[k:] + ROWS[:2]])
+        blocks.append(block)
+        assert plain(block) == counted(ROWS[k:] + ROWS[:2])
+    slabs = [{n: v.as_py() if n in ("shard", "run_group", "lead") else v.as_py() if n in ("term", "lang", "source") else v.values.to_numpy() for n, v in zip(batch.schema.names, (c[i] for c in batch.columns))} for block in blocks for batch in [sd._slab_rows(block.postings(), list(block.groups), 0)] for i in range(batch.num_rows)]
+    for most in (1, 5, 10**6):
+        monkeypatch.setattr(sd, "MERGED", most)
+        groups, found = {}, {}
+        for table in sd._merged(iter(sorted(slabs, key=lambda s: s["lead"])), groups):
+            at = 0
+            for term, k in zip(table["term"], table["postings"].tolist()):
+                for j in range(at, at + k):
+                    assert (term, list(groups)[table["of"][j]]) not in found
+                    found[term, list(groups)[table["of"][j]]] = (table["n"][j], table["docs"][j])
+                at += k
+        assert found == counted([r for k in range(3) for r in ROWS[k:] + ROWS[:2]])
+
+
+def test_long_texts_are_taken_in_pieces(spark, monkeypatch):
+    text = "Alpha beta,é9gamma " * 300 + "q" * 400 + " end"
+    pieces = list(sd._in_pieces("en", "a", text))
+    assert pieces == [("en", "a", text.encode())]
     monkeypatch.setattr(sd, "PIECE", 37)
-    assert sd.text_terms(text) == whole and whole[b"alpha"] == 300 and whole[b"q" * 400] == 1 and whole["é".encode()] == 300
+    pieces = list(sd._in_pieces("en", "a", text))
+    assert b"".join(p[2] for p in pieces) == text.encode() and len(pieces) > 100
+    block = sd.Block()
+    block.add([("en", "b", b"alpha"), pieces[0]])
+    for p in pieces[1:]:
+        block.add([p], follows=True)
+    block.add([("en", "a", b"end")])
+    assert plain(block) == counted([("en", "b", "alpha"), ("en", "a", text), ("en", "a", "end")])
 
 
 def test_empty_table(spark):
