@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusmill.llm.batches import discard, map_rows, settled, slices, stored, tidy
 from corpusmill.llm.graph import connected
+from corpusmill.llm.simhash_pivots import group_near_copies
 
 #: Words of a shingle, and percent of the union that the intersection of linked sets makes up at least.
 SHINGLE, PERCENT = 4, 85
+#: The same for near copies of documents.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 #: Sets of fewer shingles take single ones only.
 SMALL = 8
 #: Repeats within tasks from which on a shingle is frequent (counts by pairs) and very frequent (by triples).
@@ -166,23 +169,20 @@ def _mixed(keys: tuple[int, ...]) -> int:
 
 
 def meeting_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """key, id, h1 (of the set): where each text meets others; of equal sets in a slice of texts one is enough. docs: id, text."""
+    """key, id: where each text meets others; of equal sets in a slice of texts one is enough. docs: id, text."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    fields = [T.StructField("key", T.LongType()), docs.schema["id"], T.StructField("h1", T.LongType())]
+    fields = [T.StructField("key", T.LongType()), docs.schema["id"]]
 
     def helper(ids, texts):
-        keys, owners, sets, seen = [], [], [], set()
+        keys, owners, seen = [np.empty(0, np.int64)], [], set()
         for i, text in zip(ids, texts, strict=True):
             x = shingles(text, shingle)
-            digest = xxhash.xxh3_128_intdigest(x.tobytes())
-            if digest in seen:
-                continue
-            seen.add(digest)
-            mine = keys_of(x, shared.value, percent)
-            keys.append(mine)
-            owners += [i] * len(mine)
-            sets.append(np.full(len(mine), (digest & (2**64 - 1)) - 2**63))
-        return [np.concatenate([np.empty(0, np.int64), *keys]), owners, np.concatenate([np.empty(0, np.int64), *sets])]
+            digest = xxhash.xxh3_128_digest(x.tobytes())
+            if digest not in seen:
+                seen.add(digest)
+                keys.append(keys_of(x, shared.value, percent))
+                owners += [i] * len(keys[-1])
+        return [np.concatenate(keys), owners]
 
     return map_rows(docs, ["id", "text"], 0, fields, lambda: helper)
 
@@ -231,8 +231,8 @@ def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle:
     same = placed.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b")).distinct()
     keys, path = stored(meeting_keys(docs.where("id is not null"), frequent_shingles(scanned), percent, shingle))
     tidy(spark)
-    buckets = keys.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("key")
-    members = settled(keys.select("key", "id").join(buckets, "key").join(placed, "id").select("key", "node").distinct())
+    buckets = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    members = settled(keys.join(buckets, "key").join(placed, "id").select("key", "node").distinct())
     discard(spark, path)
     tidy(spark)
     firsts = members.groupBy("key").agg(F.min("node").alias("a"))
@@ -273,3 +273,21 @@ def join_grams(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     result = settled(joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "_node").alias("component_id")))
     discard(docs.sparkSession, path)
     return result
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = NEAR_PERCENT, shingle: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents whose id is the smallest of its group, unchanged and with all their columns.
+
+    Groups are joined by SimHash fingerprints as in simhash_pivots and by shingle sets of the similarity: a radius of bits that held nearly all
+    pairs of it would leave blocks of 3 or 4 bits. Rows without an id stay, and so do all rows that share a kept id; texts without words
+    are one group. Texts of any length are taken whole, an empty table gives an empty one, and other columns stay as they
+    are, whatever their names.
+    """
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    prints = settled(group_near_copies(plain, id_col="id").where("id <> component_id").select(F.col("component_id").alias("a"), F.col("id").alias("b")))
+    tidy(docs.sparkSession)
+    scanned, path = stored(scan(plain, shingle))
+    groups = settled(connected(prints.unionByName(links(plain, scanned, percent, shingle)), "a", "b"))
+    discard(docs.sparkSession, path)
+    gone = groups.where("node <> component").select(F.col("node").alias("_gone"))
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -6,8 +6,9 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from corpus_pipeline import near_dedup
 from corpusmill.llm import gram_join
-from tests.llm.test_dedup import groups_of
+from tests.llm.test_dedup import groups_of, plain_fingerprint
 
 
 def plain_set(text, shingle=4):
@@ -92,3 +93,26 @@ def test_other_thresholds(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     want = groups_of(range(len(rows)), [(a, b) for a, b in combinations(range(len(rows)), 2) if linked(rows[a], rows[b], 80, 5)])
     assert {r.doc_id: r.component_id for r in gram_join.join_grams(docs, 80, 5).collect()} == want
+
+
+def test_near_copies_of_documents_go(spark):
+    """Every pair of five-word shingles at 0.8 and every pair of fingerprints, one document of each group; ids that are null or shared stay."""
+    random.seed(8)
+    rows = []
+    for n in (1, 4, 5, 12, 40, 150, 600):
+        for _ in range(3):
+            words = [f"w{random.randrange(5000)}" for _ in range(n)]
+            for part in (0, 0.01, 0.02, 0.03, 0.05):
+                rows.append(" ".join(f"x{random.randrange(5000)}" if random.random() < part else w for w in words))
+    crowd = [f"c{k}" for k in range(60)]
+    rows += [" ".join([*crowd[:k], "new", *crowd[k + 1 :]]) for k in range(60)]
+    rows += [f"this phrase is in every one {' '.join(random.choice('abcdefgh') + str(random.randrange(400)) for _ in range(20))}" for _ in range(80)]
+    rows += [" ".join(rows[30].split()).upper(), "", None, " \n"]
+    ids = list(range(len(rows)))
+    docs = spark.createDataFrame([(k, t, "x") for k, t in zip(ids, rows)] + [(None, rows[0], "y"), (3, rows[3], "z")], "doc_id long, text string, component_id string")
+    near = [(a, b) for a, b in combinations(ids, 2) if linked(rows[a], rows[b], 80, 5)]
+    prints = [plain_fingerprint(t) for t in rows]
+    same = [(a, b) for a, b in combinations(ids, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert len(set(groups_of(ids, near).values())) < len(set(groups_of(ids, same).values()))
+    kept = near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(groups_of(ids, near + same).values()) | {None}
