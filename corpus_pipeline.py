@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import batches, fuzzy_lines, langid_bloom, queue_bpe, shingle_copies, suffix_automaton
+from corpusmill.llm import batches, fuzzy_lines, gram_join, langid_bloom, queue_bpe, suffix_automaton
 
 #: A document whose best language holds a smaller share of its n-grams is of no known language.
 MIN_LANGUAGE_SCORE = 0.2
@@ -22,8 +22,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles with a Jaccard similarity of 0.8, or like SimHashes."""
-    return shingle_copies.keep_one_of_each(docs)
+    """One document of each group of near copies: like SimHashes, or five-word shingles with a Jaccard similarity of 0.8."""
+    return gram_join.keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +45,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; what a stage returns is written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = batches.shared_folder(spark)
-    for i, (name, stage) in enumerate(STAGES):
+    before = None
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs.write.parquet(path := f"{folder}/{i}_{name}")
-            docs = spark.read.parquet(path)
+            docs, path = batches.stored(docs)
+            if before:
+                batches.discard(spark, before)  # nothing reads what came before the last stage
+            before = path
     return docs
