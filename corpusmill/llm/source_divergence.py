@@ -29,7 +29,7 @@ MIN_DOCS, TOP, SMOOTH = 30, 50, 5
 #: Probabilities are whole parts of so many.
 SCALE = 1_000_000_000
 #: Occurrences in memory before a run is spilled, terms of a slab, runs that are merged at once, postings that are added up at once.
-BLOCK, SLAB, FAN_IN, MERGED = 1 << 21, 2048, 512, 1 << 20
+BLOCK, SLAB, FAN_IN, MERGED = 1 << 19, 2048, 512, 1 << 19
 #: Characters of texts that are split into terms at once; a longer text is taken in pieces that end between terms.
 PIECE = 1 << 20
 #: Cells of pair corrections that a task holds before it passes them on.
@@ -99,14 +99,15 @@ class Block:
         """key and term of each term, sorted by key, with the number of its postings; of, n, docs of all postings in that order."""
         key, head, tail, length = (np.concatenate([getattr(t, name) for t, _ in self.pieces]) for name in ("key", "head", "tail", "length"))
         doc = np.concatenate([d for _, d in self.pieces])
-        starts = np.cumsum([0, *(len(t.key) for t, _ in self.pieces)])
+        base = np.cumsum([0, *(len(t.raw) for t, _ in self.pieces)])
+        start = np.concatenate([t.start + at for (t, _), at in zip(self.pieces, base.tolist(), strict=False)])
+        raw = b"".join(t.raw for t, _ in self.pieces)
         code, keys = pd.factorize(key)
         first = np.empty(len(keys), np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
 
         def spelled(i: int) -> bytes:
-            piece = int(np.searchsorted(starts, i, "right")) - 1
-            return self.pieces[piece][0].bytes(i - starts[piece])
+            return raw[start[i] : start[i] + length[i]]
 
         mine = first[code]
         other = (head != head[mine]) | (tail != tail[mine]) | (length != length[mine])
@@ -121,8 +122,7 @@ class Block:
                 firsts.append(i)
             code[i] = more[name]
         first, terms = np.array(firsts, np.int64), len(firsts)
-        each, pairs = pd.factorize(doc * terms + code)
-        times = np.bincount(each)
+        pairs, times = np.unique(doc * terms + code, return_counts=True)
         at, term = np.divmod(pairs, terms)
         rank = np.empty(terms, np.int64)
         order = np.argsort(key[first], kind="stable")
@@ -133,7 +133,8 @@ class Block:
         by = np.argsort(posts)
         place, of = np.divmod(posts[by], len(self.groups))
         names = np.empty(terms, object)
-        names[:] = [spelled(i) for i in first[order].tolist()]
+        begin = start[first[order]]
+        names[:] = [raw[a:b] for a, b in zip(begin.tolist(), (begin + length[first[order]]).tolist(), strict=True)]
         return {"key": _signed(key[first[order]]), "term": names, "postings": np.bincount(place, minlength=terms), "of": of, "n": n[by], "docs": docs[by]}
 
 
