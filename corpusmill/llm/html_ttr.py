@@ -1,15 +1,17 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering.
 
 The parser of the standard library streams tags and text. Block tags end lines; each line has the length of its
-text outside of page furniture (menus, footers, forms, scripts and the like) over the number of its tags. The
-smoothed ratios are split in two clusters by their mean distance. If most of what is above the threshold stands in elements that
-the page marks as articles, these are the region; else it is the smallest element that holds all lines above the threshold, or the
-element around their block if they stand in one. Every line of the region that isn't furniture is the text, the short ones too.
+text outside of page furniture (menus, footers, scripts and the like) over the number of its tags. The smoothed ratios are split in
+two clusters by their mean distance. If most of what is above the threshold stands in elements that the page marks as
+articles, these are the region; else it is the smallest element that holds all lines above the threshold, or the element around
+their block if they stand in one, and what reads like sentences elsewhere. Every line of the region that isn't furniture is the text, the
+short ones too. Classes, roles and forms are evidence only: an element that holds nearly all of a page's text is never furniture for them.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -19,50 +21,70 @@ from corpusmill.llm.batches import map_rows
 
 #: Elements by what they do to text.
 SILENT = frozenset("script style template noscript title svg object iframe canvas audio video select textarea button datalist".split())
-FURNITURE = frozenset("nav footer aside form menu dialog".split())
+FURNITURE = frozenset("nav footer aside menu dialog".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup time tt u var wbr mi mn mo ms mtext mrow msup msub mfrac msqrt".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that can stand in a page's head; any other one, or text, ends it.
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: Elements that an opening tag of the same group ends.
 SIBLINGS = {"p": "p", "li": "li", "dt": "d", "dd": "d", "tr": "tr", "td": "t", "th": "t", "option": "o"}
-#: Words of a class or id that name furniture anywhere, and words that do so only outside of an article.
-COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies|adsense|advert|advertisement|ads?|sponsor(?:ed)?|sidebar)(?:$|[\s_-])", re.IGNORECASE)
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer|masthead|cookies?|consent|notice\w*|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|comments?|disqus|reply|replies|respond)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Parts of a class or id that name furniture, and parts that say nothing on their own: share-buttons is furniture, share-price isn't.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promos promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer masthead cookie cookies consent notice notices popup modal newsletter subscribe subscription share sharing social related recommended recommendations comment comments disqus reply replies respond".split()
 )
+NEUTRAL = frozenset("area bar block bottom box btn button buttons content container form group holder icons inner item items left link links list main outer page panel posts right row section site slot text thread top unit widget widgets wrap wrapper".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+NO_DISPLAY = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 SIGMA = 2.0
-#: Open elements that are told apart; deeper ones count as part of the deepest.
-MAX_DEPTH = 512
+#: A line of so many words and characters a tag, at most a third of it links, reads like sentences.
+SENTENCE_WORDS, SENTENCE_RATIO = 5, 6
+#: What an element's own marks make of its text.
+PLAIN, EVIDENCE, AWAY, MUTE = range(4)
+
+
+def is_marked(named: str) -> bool:
+    """Whether a class or id is made of words that name furniture, and of neutral ones besides."""
+    for token in named.lower().split():
+        parts = re.split(r"[-_]+", token)
+        if any(x in MARKS for x in parts) and all(not x or x in MARKS or x in NEUTRAL or x.isdigit() for x in parts):
+            return True
+    return False
 
 
 class LineParser(HTMLParser):
-    """Lines of a page: text, number of tags, whether it is furniture, and the element that it stands in.
+    """Lines of a page: text, number of tags, the element that it stands in, characters in links.
 
-    Every element knows, from the time it opens, what it inherits: furniture, an article around it. Open elements are counted by
-    name, so that an end tag without a start is dismissed at once.
+    Elements are numbered as they open. Open ones are counted by name, inline ones since the last block as well, so that an end tag
+    without a start is dismissed at once and none is looked for through a stack.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.names, self.parents, self.quiet, self.article = ["#page"], [-1], [0], [False]
-        self.open = [0]
-        self.counts: dict[str, int] = {}
-        self.lines: list[tuple[str, int, bool, int]] = []
+        self.names, self.parents, self.marks, self.article = ["#page"], [-1], [PLAIN], [False]
+        self.open, self.mute, self.links = [0], 0, 0
+        self.counts: Counter = Counter()
+        self.inline: list[Counter] = [Counter()]
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.quiet[self.open[-1]] > 0, self.open[-1]))
-            self.tags = 0
+            self.lines.append((text, self.tags, self.open[-1], self.linked))
+            self.tags = self.linked = 0
         self.text = []
 
     def _pop(self) -> None:
-        self.counts[self.names[self.open.pop()]] -= 1
+        node = self.open.pop()
+        tag = self.names[node]
+        self.counts[tag] -= 1
+        self.mute -= self.marks[node] == MUTE
+        self.links -= tag == "a"
+        if tag in INLINE:
+            self.inline[-1][tag] -= 1
+        else:
+            self.inline.pop()
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -76,36 +98,37 @@ class LineParser(HTMLParser):
         if group or tag not in INLINE:
             self.end_line()
             if tag not in INLINE:
-                self._close_inline()
+                while len(self.open) > 1 and self.names[self.open[-1]] in INLINE:  # an unclosed inline element ends before a block
+                    self._pop()
             if group and len(self.open) > 1 and SIBLINGS.get(self.names[self.open[-1]]) == group:
                 self._pop()
-        up = self.open[-1]
-        inside = self.article[up]
-        quiet = self.quiet[up]
-        if quiet < 2:
-            quiet = 2 if tag in SILENT else max(quiet, self._furniture(tag, dict(attrs), inside))
-        while len(self.open) >= MAX_DEPTH:
-            self._pop()
+        inside = self.article[self.open[-1]]
+        mark = self._mark(tag, dict(attrs), inside)
         self.names.append(tag)
         self.parents.append(self.open[-1])
-        self.quiet.append(quiet)
-        self.article.append(inside or tag in ("article", "main") and not quiet)
+        self.marks.append(mark)
+        self.article.append(inside or tag in ("article", "main") and mark == PLAIN)
         self.open.append(len(self.names) - 1)
-        self.counts[tag] = self.counts.get(tag, 0) + 1
-
-    @staticmethod
-    def _furniture(tag: str, marks: dict, inside: bool) -> int:
-        if tag in FURNITURE or tag == "header" and not inside or "hidden" in marks or (marks.get("role") or "").lower() in ROLES:
-            return 1
+        self.counts[tag] += 1
+        self.mute += mark == MUTE
+        self.links += tag == "a"
+        if tag in INLINE:
+            self.inline[-1][tag] += 1
+        else:
+            self.inline.append(Counter())
+
+    def _mark(self, tag: str, given: dict, inside: bool) -> int:
+        if tag in SILENT:
+            return MUTE
+        if tag in FURNITURE or "hidden" in given or given.get("style") and NO_DISPLAY.search(given["style"]):
+            return AWAY
+        if tag == "header" and not (inside and self.counts["article"]):
+            return AWAY
+        if tag == "form" or (given.get("role") or "").lower() in ROLES:
+            return EVIDENCE
         if tag in ("html", "body", "article", "main") or tag in INLINE:
-            return 0
-        named = f"{marks.get('class') or ''} {marks.get('id') or ''}"
-        return int(bool((COMMENTS if inside else MARKED).search(named))) if len(named) > 1 else 0
-
-    def _close_inline(self) -> None:
-        """A block inside an unclosed inline element of a paragraph: the inline element ends."""
-        while len(self.open) > 1 and self.names[self.open[-1]] in INLINE:
-            self._pop()
+            return PLAIN
+        return EVIDENCE if any(given.get(k) and is_marked(given[k]) for k in ("class", "id")) else PLAIN
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -116,23 +139,41 @@ class LineParser(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self.end_line()
-        if not self.counts.get(tag):
-            return
-        if tag in INLINE:
-            depth = len(self.open) - 1
-            while self.names[self.open[depth]] in INLINE and self.names[self.open[depth]] != tag:
-                depth -= 1
-            if self.names[self.open[depth]] != tag:
-                return  # it belongs to an element that ended before
+        if self.counts[tag] < 1 or tag in INLINE and self.inline[-1][tag] < 1:
+            return  # it has no start, or belongs to an element that ended before
         while self.names[self.open[-1]] != tag:
             self._pop()
         self._pop()
 
     def handle_data(self, data):
-        if self.quiet[self.open[-1]] < 2:
+        if not self.mute:
             if self.names[self.open[-1]] == "head" and not data.isspace():
                 self._pop()
             self.text.append(data)
+            if self.links:
+                self.linked += len(data.strip())
+
+    def furniture(self) -> np.ndarray:
+        """For each line whether it is furniture.
+
+        Evidence doesn't count where the element holds two thirds of what isn't away for certain, all of the page's articles included.
+        """
+        n = len(self.names)
+        away = [False] * n
+        for i in range(1, n):
+            away[i] = away[self.parents[i]] or self.marks[i] == AWAY
+        held, told = [0] * n, [0] * n  # characters, and those in articles
+        for text, _, node, _ in self.lines:
+            if not away[node]:
+                held[node] += len(text)
+                told[node] += len(text) * self.article[node]
+        for i in range(n - 1, 0, -1):
+            held[self.parents[i]] += held[i]
+            told[self.parents[i]] += told[i]
+        for i in range(1, n):
+            page = 3 * held[i] > 2 * held[0] and told[i] == told[0]
+            away[i] = away[self.parents[i]] or self.marks[i] == AWAY or self.marks[i] == EVIDENCE and not page
+        return np.array([away[node] for _, _, node, _ in self.lines], bool)
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -161,65 +202,112 @@ def cluster(ratios: np.ndarray) -> np.ndarray:
 def content_lines(parser: LineParser) -> np.ndarray:
     """Which lines are the main text: those of the region that aren't furniture."""
     lines = parser.lines
-    usable = np.array([not quiet for _, _, quiet, _ in lines], bool)
+    usable = ~parser.furniture()
     if not usable.any():
         return usable
-    ratios = np.array([0.0 if quiet else len(text) / max(1, tags) for text, tags, quiet, _ in lines])
-    content = cluster(smooth(ratios)) & usable
-    if not content.any():
-        return usable
+    own = np.array([len(text) / max(1, tags) for text, tags, *_ in lines])
+    content = np.zeros(len(lines), bool)
+    content[usable] = cluster(smooth(own[usable]))
     sizes = np.array([len(text) for text, *_ in lines], np.int64)
-    marked = usable & np.array([parser.article[node] for *_, node in lines], bool)
+    place = np.array([node for _, _, node, _ in lines], np.int64)
+    marked = usable & np.array([parser.article[node] for node in place.tolist()], bool)
     if 2 * sizes[content & marked].sum() >= sizes[content].sum():
         return marked  # the content is in articles: all of them count
-    # the smallest element that holds all content lines, or what a single block of them stands in
-    place = np.array([node for *_, node in lines], np.int64)
+    # the smallest element that holds all content lines, or what a single block of them stands in; elements are numbered
+    # as they open, so what holds the first and the last holds all
     parents = parser.parents
-    region, *others = np.unique(place[content]).tolist()
-    for node in others:
-        while node != region:  # parents have smaller numbers than what they hold
-            region, node = (region, parents[node]) if node > region else (parents[region], node)
-    while region > 0 and (not others or parser.names[region] in INLINE or parser.names[region] in SIBLINGS):
-        region, others = parents[region], others or [0]
+    first, last = int(place[content].min()), int(place[content].max())
+    region, other = first, last
+    while other != region:  # parents have smaller numbers than what they hold
+        region, other = (region, parents[other]) if other > region else (parents[region], other)
+    alone = first == last
+    while region > 0 and (alone or parser.names[region] in INLINE or parser.names[region] in SIBLINGS):
+        region, alone = parents[region], False
     inside = np.zeros(len(parents), bool)
     inside[region] = True
     for node in range(region + 1, len(parents)):
         inside[node] = inside[parents[node]]
-    return usable & inside[place]
+    words = np.array([text.count(" ") + 1 for text, *_ in lines])
+    linked = np.array([x for *_, x in lines])
+    sentences = (words >= SENTENCE_WORDS) & (own >= SENTENCE_RATIO) & (3 * linked <= sizes)
+    return usable & (inside[place] | sentences)
+
+
+#: A tag from its name on: characters, or an equals sign and a value that may be quoted; and the parts of it that count.
+TAG = re.compile(r"""(?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*+>""")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+ATTRIBUTE = re.compile(r"""([^\s=/>"'][^\s=/>]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+READ = frozenset("class id role hidden style".split())
+
+
+def plain_markup(html: str) -> str:
+    """The page with nothing but text and whole, simple tags, in time that grows with its length whatever it holds.
+
+    The standard parser looks for the end of a comment, declaration or tag again from each place where one begins. Here ends are
+    looked for once: comments, declarations and the content of scripts and styles are left out, tags keep the attributes that are
+    read, and a sign that begins nothing is written as text. An unended comment's mark is left out and what follows it is read.
+    Once a tag's quotes go wrong to the end of the page, tags end at the next sign.
+    """
+    out: list[str] = []
+    at, quotes, comments = 0, True, True
+    last = html.rfind(">")
+    while (begin := html.find("<", at)) >= 0:
+        out.append(html[at:begin])
+        after = html[begin + 1 : begin + 2]
+        if begin > last:
+            out.append(html[begin:].replace("<", "&lt;"))
+            return "".join(out)
+        if html.startswith("<!--", begin):
+            end = html.find("-->", begin + 2) if comments else -1
+            comments = end >= 0
+            at = end + 3 if comments else begin + 4
+        elif after in ("!", "?"):
+            at = html.find(">", begin) + 1
+        elif after == "/" and (name := NAME.match(html, begin + 2)):
+            out.append(f"</{name[0]}>")
+            at = html.find(">", begin) + 1
+        elif name := NAME.match(html, begin + 1):
+            found = TAG.match(html, name.end()) if quotes else None
+            quotes = found is not None
+            at = found.end() if found else html.find(">", begin) + 1
+            out.append(_tag(name[0], html[name.end() : at - 1]))
+            low = name[0].lower()
+            if low in ("script", "style"):
+                ends = re.compile(rf"</{low}(?=[\s/>])", re.IGNORECASE).search(html, at)
+                at = ends.start() if ends else len(html)
+                if not ends:
+                    out.append(f"</{low}>")
+        else:
+            out.append("&lt;")
+            at = begin + 1
+    out.append(html[at:])
+    return "".join(out)
+
+
+def _tag(name: str, rest: str) -> str:
+    kept = ""
+    if rest and not rest.isspace():
+        for key, value in ATTRIBUTE.findall(rest):
+            if key.lower() in READ:
+                kept += f' {key.lower()}="{re.sub(r"[^\w:;.-]+", " ", value)}"'
+    return f"<{name}{kept}{'/' if rest.endswith('/') else ''}>"
 
 
 def main_text(html: str | None) -> str:
     """The main text of a page: its blocks in page order, joined by one space; empty if there is none."""
     parser = LineParser()
-    parser.feed(_guarded(html or ""))
+    parser.feed(plain_markup(html or ""))
     parser.close()
     parser.end_line()
     kept = content_lines(parser) if parser.lines else ()
     return " ".join(line[0] for line, keep in zip(parser.lines, kept, strict=True) if keep)
 
 
-def _guarded(html: str) -> str:
-    """The page without what sends the standard parser back to look for an end again and again.
-
-    An unclosed comment, declaration or tag is searched for its end from each place where one begins. What begins after the last
-    end of its kind has none: there the opening mark is written as text, as a browser shows it, or the unended comment is left out.
-    """
-    if html.count("<") < 1000:
-        return html
-    last = html.rfind("-->")
-    at = html.find("<!--", max(0, last))
-    if at >= 0:
-        html = html[:at]  # a comment without an end goes to the end of the page
-    last = html.rfind(">")
-    return html[: last + 1] + html[last + 1 :].replace("<", "&lt;")
-
-
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Main text of each page: id, url, text, n_chars (code points).
 
-    A null or empty page, or one of furniture only, has an empty text. Pages of any length are read whole, in time that
-    grows with the length; elements more than MAX_DEPTH deep are lines of the one above. All of a page's articles are its text; without one,
-    blocks with equal ratios are content alike. Repeated rows give repeated results, an empty table none; ids and URLs may be
+    A null or empty page, or one of furniture only, has an empty text. Pages of any length and depth are read whole,
+    in time that grows with the length. All of a page's articles are its text; without one, blocks with equal ratios are content alike. Repeated rows give repeated results, an empty table none; ids and URLs may be
     null; other columns are ignored, whatever their names.
     """
     fields = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]

@@ -163,6 +163,42 @@ def test_long_pages_take_linear_time(page):
     assert time.process_time() - began < 20
 
 
+SENTENCE = "The quick brown fox jumps over the lazy dog near the river bank today. "
+
+
+def blocks(*texts):
+    return " ".join(" ".join(texts).split())
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<div class='wrapper with sidebar'><h1>T</h1><p>{SENTENCE * 8}</p></div>", blocks("T", SENTENCE * 8)),
+    (f"<form id=aspnetForm><div><p>{SENTENCE * 8}</p><p>{SENTENCE * 3}</p></div></form>", blocks(SENTENCE * 11)),
+    (f"<body><div><p>{SENTENCE * 10}</p><p>{SENTENCE * 10}</p><p>{SENTENCE * 10}</p></div><div>{SENTENCE * 2}</div></body>", blocks(SENTENCE * 32)),
+    (f"<body><div><p>{SENTENCE * 10}</p></div><div class='share-price'>It rose by five percent in a day.</div></body>", blocks(SENTENCE * 10, "It rose by five percent in a day.")),
+    (f"<article><p>{SENTENCE * 5}</p><div class=notice>n</div><div class='newsletter-box'>Sign up now</div><p style='color: red; display: none'>hid</p><p>end</p></article>", blocks(SENTENCE * 5, "end")),
+    (f"<main><header>Site name</header><p>{SENTENCE * 5}</p></main>", blocks(SENTENCE * 5)),
+    (f"<div class=ad>{SENTENCE * 9}</div><article><p>Short one.</p></article>", "Short one."),
+    (f"<body><div><p>{SENTENCE * 9}</p></div><div><a href=a>{SENTENCE}</a></div><div>few words</div></body>", blocks(SENTENCE * 9)),
+    (f"<p>{SENTENCE * 3}</p><script>if (a<!--b) t='</p>'</script><p>more text</p>", blocks(SENTENCE * 3, "more text")),
+    (f"<p>{SENTENCE * 3}</p><!-- unended <p>two</p>", blocks(SENTENCE * 3, "unended two")),
+    (f"<p title='<!--' data-x=\"a>b\">{SENTENCE}</p><p>rest of it</p>", blocks(SENTENCE, "rest of it")),
+    (f"<p>a < b <3 &lt; c d e f</p><!--x--><p>{SENTENCE}</p><?no?><!doctype no>", blocks("a < b <3 < c d e f", SENTENCE)),
+    ("<article>" + "<div>" * 3000 + "x y z" + "</div>" * 3000 + "<p>after</p></article>", "x y z after"),
+    ("<aside>" + "<div>" * 3000 + "x y z" + "</div>" * 3000 + f"after</aside><p>{SENTENCE}</p>", blocks(SENTENCE)),
+])
+def test_regions_go_by_ratios(page, want):
+    """Marks are evidence alone; a page with thousands of tags more is read the same way."""
+    assert html_ttr.main_text(page) == want
+    assert html_ttr.main_text(page + "<nav>" + "<i>q</i>" * 1200 + "</nav>") == want
+
+
+@pytest.mark.parametrize("page", ["<a b='>' " * 60_000, "<i><div>" + "<b>" * 60_000 + "</i>" * 60_000, "<script>" + "</scrip" * 60_000, "<?" * 200_000, "<![CDATA[" * 60_000, "&#" * 60_000, "<p a='" * 60_000 + ">"])
+def test_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    html_ttr.main_text(page)
+    assert time.process_time() - began < 10
+
+
 def test_pages_of_a_table(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>", "c"), (1, "u", "<p>x</p>", "c"), (None, None, None, "c")], "page_id long, url string, html string, text string")
     assert sorted(html_ttr.extract(pages).collect(), key=str) == [(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0)]
