@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -109,85 +110,118 @@ FEATURES = (
     "cut_digit", "cut_letter", "cut_local", "one_atom", "up_to_5_atoms", "up_to_10_atoms", "over_10_atoms", "hex_mix", "short_top", "starts_zero",
     "closed_bracket", "ten_or_more_digits", "has_slash", "starts_00",
 )
-_NUMBER = {name: i for i, name in enumerate(FEATURES)}
-
-
-def span_features(text: str, start: int, end: int, n_atoms: int) -> list[int]:
-    """Features of a segment as a whole, with the characters that it is cut from."""
-    s = text[start:end]
-    d = _digits(s)
-    letters = [c for c in s if c.isalpha()]
-    before, after = text[start - 1] if start else " ", text[end] if end < len(text) else " "
-    parts = s.split(".")
-    numeric = all(p.isascii() and p.isdigit() for p in parts)
-    at = max(s.find("@"), s.find(AT))
-    ats = s.count("@") + s.count(AT)
-    holds = {
-        "bias": True,
-        "one_at": ats == 1,
-        "at_inside": 0 < at < len(s) - 1,
-        "dot_after_at": at > 0 and "." in s[at + 2 : -1],
-        "starts_plus": s[0] == "+" and len(s) > 1 and s[1].isdigit(),
-        "luhn_14_19": 14 <= len(d) <= 19 and luhn(d),
-        "digits_10_15": 10 <= len(d) <= 15,
-        "digits_14_19": 14 <= len(d) <= 19,
-        "digits_under_7": len(d) < 7,
-        "digits_over_19": len(d) > 19,
-        "four_groups": len(parts) == 4 and numeric,
-        "groups_to_255": len(parts) == 4 and numeric and all(int(p) <= 255 for p in parts),
-        "three_dots_only": s.count(".") == 3 and numeric,
-        "has_letter": bool(letters),
-        "letters_only": len(letters) == len(s),
-        "digits_only": len(d) == len(s),
-        "has_space": " " in s,
-        "has_bracket": "(" in s or ")" in s,
-        "closed_bracket": s.count("(") == s.count(")"),
-        "ten_or_more_digits": len(d) >= 10,
-        "has_slash": "/" in s or "_" in s,
-        "starts_00": s[:2] == "00",
-        "has_dash": "-" in s,
-        "edge_mark": not s[-1].isalnum() or not (s[0].isalnum() or s[0] in "+("),
-        "cut_digit": before.isdigit() and s[0].isdigit() or after.isdigit() and s[-1].isdigit(),
-        "cut_letter": before.isalpha() and s[0].isalpha() or after.isalpha() and s[-1].isalpha(),
-        "cut_local": before in "._%+-@" or after == "@" or after in ".-" and text[end + 1 : end + 2].isalnum(),
-        "one_atom": n_atoms == 1,
-        "up_to_5_atoms": 1 < n_atoms <= 5,
-        "up_to_10_atoms": 5 < n_atoms <= 10,
-        "over_10_atoms": n_atoms > 10,
-        "hex_mix": bool(d) and bool(letters) and at < 0,
-        "short_top": at > 0 and 1 < len(parts[-1]) <= 6 and parts[-1].isalpha(),
-        "starts_zero": s[0] == "0",
-    }
-    return [_NUMBER[k] for k, v in holds.items() if v]
 
 
 @dataclass
 class Segments:
-    """All candidate segments of a window: atom bounds and a row of features each, in order of their ends."""
+    """All candidate segments of some windows: atom bounds and a row of features each, by window and end, the longest first."""
 
     atoms: list[tuple[int, int]]
     begin: np.ndarray
     end: np.ndarray
     rows: np.ndarray
     bare: np.ndarray  # segments without a digit or an at-sign, which are never an entity
+    firsts: np.ndarray  # the first atom of each window, and the number of atoms
+
 
+class _Counts:
+    """How often something holds up to each place, so that its number in any span is one difference."""
 
-def segments(text: str) -> Segments:
-    atoms = [m.span() for m in ATOM.finditer(text)]
-    begin, end, rows, bare = [], [], [], []
-    for j in range(1, len(atoms) + 1):
-        for i in range(max(0, j - MAX_ATOMS), j):
-            if text[atoms[i][0]] == " " or text[atoms[j - 1][0]] == " ":
-                if j - i > 1:
-                    continue
-            row = np.zeros(len(FEATURES))
-            row[span_features(text, atoms[i][0], atoms[j - 1][1], j - i)] = 1
-            begin.append(i)
-            end.append(j)
-            rows.append(row)
-            piece = text[atoms[i][0] : atoms[j - 1][1]]
-            bare.append(AT not in piece and not any(c == "@" or c.isdigit() for c in piece))
-    return Segments(atoms, np.array(begin), np.array(end), np.array(rows), np.array(bare))
+    def __init__(self, holds: np.ndarray):
+        self.sums = np.concatenate([[0], np.cumsum(holds)])
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.sums[np.maximum(a, b)] - self.sums[a]
+
+
+def segments(*texts: str) -> Segments:
+    """Segments of windows, which hold ASCII only. Features are of the segment as a whole, with the characters that it is cut from.
+
+    All of them come from counts up to a place, and from the next or last place of a sign; so the time goes by the number of segments,
+    not by their lengths.
+    """
+    joined = "\n" + "\n".join(texts) + "\n\n"
+    code = np.frombuffer(joined.encode("ascii", "replace"), np.uint8)
+    offsets = 1 + np.cumsum([0, *(len(t) + 1 for t in texts)])
+    atoms = [(m.start() + at, m.end() + at) for t, at in zip(texts, offsets.tolist(), strict=False) for m in ATOM.finditer(t)]
+    first, last = np.array(atoms, np.int64).reshape(-1, 2).T
+    firsts = np.searchsorted(first, offsets)
+    firsts[-1] = len(atoms)
+    window = np.repeat(firsts[:-1], np.diff(firsts))
+    back = np.arange(MAX_ATOMS - 1, -1, -1)
+    j = np.repeat(np.arange(len(atoms)), MAX_ATOMS)
+    i = j - np.tile(back, len(atoms))
+    spaces = code[first] == 32 if len(atoms) else np.zeros(0, bool)
+    keep = i >= window[j]
+    keep &= (i == j) | ~(spaces[np.maximum(i, 0)] | spaces[j])
+    i, j = i[keep], j[keep]
+    a, b, n = first[i], last[j], j - i + 1
+    size = b - a
+
+    def sign(c: str) -> np.ndarray:
+        return code == ord(c)
+
+    digit = (code >= 48) & (code <= 57)
+    letter = (code | 32) - np.uint8(97) < 26
+    place = np.arange(len(code))
+    digits, letters, dots = _Counts(digit)(a, b), _Counts(letter)(a, b), _Counts(sign("."))(a, b)
+    numeric = (digits + dots == size) & (code[a] != 46) & (code[b - 1] != 46) & (_Counts(sign(".") & np.append(sign(".")[1:], False))(a, b - 1) == 0)
+    marks = np.zeros(len(code), bool)
+    marks[[m.start() for m in re.finditer(re.escape(AT), joined)]] = True
+    found = []
+    for where, width in ((sign("@"), 1), (marks, len(AT))):
+        ahead = np.minimum.accumulate(np.where(where, place, len(code))[::-1])[::-1][a]
+        found.append(np.where(ahead + width <= b, ahead - a, -1))
+    at = np.maximum(*found)
+    ats = _Counts(sign("@"))(a, b) + _Counts(marks)(a, b - len(AT) + 1)
+    # the checksum by the parity of a digit's number among all digits
+    value = code[digit].astype(np.int64) - 48
+    twice = value * 2 - 9 * (value > 4)
+    even = np.arange(len(value)) % 2 == 0
+    g0, g1 = _Counts(digit).sums[a], _Counts(digit).sums[b]
+    luhn_sum = np.where((g1 - 1) % 2 == 0, _Counts(np.where(even, value, twice))(g0, g1), _Counts(np.where(even, twice, value))(g0, g1))
+    over_255 = _Counts(np.array([len(x) > 3 and len(x.lstrip("0")) > 3 or int(x.lstrip("0") or 0) > 255 if (x := joined[p:q]) and x[0].isdigit() else False for p, q in atoms], bool))(i, j + 1)
+    top = b - np.maximum(a, np.maximum.accumulate(np.where(sign("."), place, -1))[b - 1] + 1)
+    alnum, before, after = digit | letter, code[a - 1], code[b]
+    holds = {
+        "bias": np.ones(len(a), bool),
+        "one_at": ats == 1,
+        "at_inside": (at > 0) & (at < size - 1),
+        "dot_after_at": (at > 0) & (_Counts(sign("."))(np.minimum(a + at + 2, b), b - 1) > 0),
+        "starts_plus": (code[a] == 43) & (size > 1) & digit[a + 1],
+        "luhn_14_19": (digits >= 14) & (digits <= 19) & (luhn_sum % 10 == 0),
+        "digits_10_15": (digits >= 10) & (digits <= 15),
+        "digits_14_19": (digits >= 14) & (digits <= 19),
+        "digits_under_7": digits < 7,
+        "digits_over_19": digits > 19,
+        "four_groups": (dots == 3) & numeric,
+        "groups_to_255": (dots == 3) & numeric & (over_255 == 0),
+        "three_dots_only": (dots == 3) & numeric,
+        "has_letter": letters > 0,
+        "letters_only": letters == size,
+        "digits_only": digits == size,
+        "has_space": _Counts(sign(" "))(a, b) > 0,
+        "has_bracket": _Counts(sign("(") | sign(")"))(a, b) > 0,
+        "closed_bracket": _Counts(sign("("))(a, b) == _Counts(sign(")"))(a, b),
+        "ten_or_more_digits": digits >= 10,
+        "has_slash": _Counts(sign("/") | sign("_"))(a, b) > 0,
+        "starts_00": (code[a] == 48) & (size > 1) & (code[a + 1] == 48),
+        "has_dash": _Counts(sign("-"))(a, b) > 0,
+        "edge_mark": ~alnum[b - 1] | ~(alnum[a] | (code[a] == 43) | (code[a] == 40)),
+        "cut_digit": digit[a - 1] & digit[a] | digit[b] & digit[b - 1],
+        "cut_letter": letter[a - 1] & letter[a] | letter[b] & letter[b - 1],
+        "cut_local": np.isin(before, list(b"._%+-@")) | (after == 64) | np.isin(after, list(b".-")) & alnum[b + 1],
+        "one_atom": n == 1,
+        "up_to_5_atoms": (n > 1) & (n <= 5),
+        "up_to_10_atoms": (n > 5) & (n <= 10),
+        "over_10_atoms": n > 10,
+        "hex_mix": (digits > 0) & (letters > 0) & (at < 0),
+        "short_top": (at > 0) & (top > 1) & (top <= 6) & (_Counts(letter)(b - top, b) == top),
+        "starts_zero": code[a] == 48,
+    }
+    rows = np.stack([holds[f] for f in FEATURES], axis=1).astype(np.float64)
+    origin = np.repeat(offsets[:-1], np.diff(firsts))
+    return Segments([(p - o, q - o) for (p, q), o in zip(atoms, origin.tolist(), strict=True)], i, j + 1, rows, (ats == 0) & (digits == 0), firsts)
 
 
 OUTSIDE = len(KINDS)
@@ -248,33 +282,41 @@ class SemiCrf:
         return (gold - share).T @ s.rows, step
 
     def best(self, s: Segments) -> list[tuple[int, int, int]]:
-        """Entities (first atom, end atom, kind) of the best segmentation that beat the outside by MARGIN."""
-        n, score = len(s.atoms), self._scores(s)
-        value = np.full((n + 1, LABELS), -np.inf)
-        came: list[list[tuple[int, int]]] = [[(0, -1)] * LABELS for _ in range(n + 1)]
-        single = np.zeros(n)
-        for k, (i, j) in enumerate(zip(s.begin.tolist(), s.end.tolist(), strict=True)):
-            if j - i == 1:
-                single[i] = score[k, OUTSIDE]
-            if i == 0:
-                into, source = np.zeros(LABELS), np.full(LABELS, -1)
-            else:
-                both = value[i][:, None] + self.steps
-                source = both.argmax(axis=0)
-                into = both[source, np.arange(LABELS)]
-            new = into + score[k]
-            for y in np.flatnonzero(new > value[j]).tolist():
-                value[j, y] = new[y]
-                came[j][y] = (i, int(source[y]))
-        out, j, y = [], n, int(value[n].argmax())
-        sums = np.append(0, np.cumsum(single))
-        index = {(a, b): k for k, (a, b) in enumerate(zip(s.begin.tolist(), s.end.tolist(), strict=True))}
-        while j > 0:
-            i, before = came[j][y]
-            if y != OUTSIDE and score[index[i, j], y] - (sums[j] - sums[i]) >= MARGIN:
-                out.append((i, j, y))
-            j, y = i, before
-        return out[::-1]
+        """Entities (first atom, end atom, kind) of the best segmentation of each window that beat the outside by MARGIN.
+
+        The windows go side by side: a step takes the segments that end at the same place of each. Of equal scores the longer segment stands.
+        """
+        n_of = np.diff(s.firsts)
+        windows, longest = len(n_of), int(n_of.max(initial=0))
+        of = np.searchsorted(s.firsts, s.begin, "right") - 1
+        score = self._scores(s)
+        table = np.full((windows, longest + 1, MAX_ATOMS, LABELS), -np.inf)
+        table[of, s.end - s.firsts[of], MAX_ATOMS - (s.end - s.begin)] = score
+        enter = np.full((windows, longest + MAX_ATOMS, LABELS), -np.inf)  # by begin + MAX_ATOMS - 1: places before a window hold nothing
+        enter[:, MAX_ATOMS - 1] = 0
+        source = np.full((windows, longest + 1, LABELS), -1)
+        came = np.zeros((windows, longest + 1, LABELS), np.int64)
+        value = np.full((windows, longest + 1, LABELS), -np.inf)
+        for j in range(1, longest + 1):
+            new = enter[:, j - 1 : j - 1 + MAX_ATOMS] + table[:, j]
+            came[:, j] = new.argmax(axis=1)
+            value[:, j] = np.take_along_axis(new, came[:, j][:, None], axis=1)[:, 0]
+            both = value[:, j, :, None] + self.steps
+            source[:, j] = both.argmax(axis=1)
+            if j < longest:
+                enter[:, j - 1 + MAX_ATOMS] = np.take_along_axis(both, source[:, j][:, None], axis=1)[:, 0]
+        out = []
+        for w in range(windows):
+            j, found = int(n_of[w]), []
+            y = int(value[w, j].argmax())
+            while j > 0:
+                size = MAX_ATOMS - int(came[w, j, y])
+                i = j - size
+                if y != OUTSIDE and table[w, j, MAX_ATOMS - size, y] - table[w, i + 1 : j + 1, MAX_ATOMS - 1, OUTSIDE].sum() >= MARGIN:
+                    found.append((int(s.firsts[w]) + i, int(s.firsts[w]) + j, y))
+                j, y = i, int(source[w, i, y])
+            out += found[::-1]
+        return out
 
 
 def labelled(text: str) -> tuple[Segments, list[tuple[int, int, int]]] | None:
@@ -311,17 +353,19 @@ def disguises(kind: int, entity: str) -> list[str]:
         return [".".join(groups), "/".join(groups)]
     if kind == 3:
         plain = entity.lstrip("+")
-        forms = ["00" + plain, re.sub(r"[ ().-]+", "/", plain), re.sub(r"[ ().-]+", ".", plain)]
-        local = re.match(r"\+[0-9]+[ .-]+(\(?[0-9].*)", entity)
-        return forms + ([local[1]] if local and len(_digits(local[1])) >= 10 else [])
+        forms = ["00" + plain, *("00" + re.sub(r"[ ().-]+", mark, plain) for mark in "/. ")]
+        local = re.match(r"\+[0-9]+[ .-]+\(?([0-9].*)", entity)
+        return forms + (["0" + local[1]] if local and len(_digits(local[1])) >= 9 else [])
     return []
 
 
+#: What a phone number begins with: a plus sign, a bracket, or the zeros that are dialled before a code.
+DIALLED = re.compile(r"\+|\(|00?[1-9]")
 #: Dates, and four parts of an address that is none, are no phone numbers.
 SHORT_PARTS = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 DATE = re.compile(r"(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}(?![0-9])")
-#: Numbers that are no personal data, by the side of those in the texts: dates, times, versions, amounts, counters.
-DECOYS = ("on 2024-05-06 12:30 and", "from 12/31/1999 to", "version 10.15.7 of", "item 1234567890 in", "cost 1,250,000.00 net", "code 4929 1234 5678 9012 3 or", "range 1990-2024 of", "see 10.1000/182 and", "call f(at) once", "at 192.168.001.300 or", "user bob@localhost said")
+#: Numbers that are no personal data, by the side of those in the texts: dates, times, versions, amounts, counters, books, parts.
+DECOYS = ("isbn 978-3-16-148410-0 in", "isbn 978-0-306-40615-7 or", "doi 10.1000/182.5 of", "doi 10.1038/1234.56789 and", "sum 1234.5678.9012 net", "part 12345-67890-12345 is", "part 9876-5432-1098 or", "id 00-1234-567890 to", "on 2024-05-06 12:30 and", "from 12/31/1999 to", "version 10.15.7 of", "item 1234567890 in", "cost 1,250,000.00 net", "code 4929 1234 5678 9012 3 or", "range 1990-2024 of", "see 10.1000/182 and", "call f(at) once", "at 192.168.001.300 or", "user bob@localhost said")
 
 
 #: What stands behind a phone number, so that its base pattern runs on and takes too many digits.
@@ -350,7 +394,7 @@ def valid(kind: int, text: str) -> bool:
         return bool(IP.fullmatch(text)) and _is_ip(text)
     if kind == 2:
         return 14 <= len(digits) <= 19 and luhn(digits)
-    return 10 <= len(digits) <= 15 and not SHORT_PARTS.fullmatch(text) and not DATE.match(text)
+    return 10 <= len(digits) <= 15 and DIALLED.match(text) is not None and not SHORT_PARTS.fullmatch(text) and not DATE.match(text)
 
 
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS, text_col: str = "text") -> SemiCrf:
@@ -385,20 +429,29 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOW
     return model
 
 
+#: Windows that are scored together.
+TOGETHER = 64
+
+
 def spans_of(text: str, model: SemiCrf) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans: base ones and those that the model adds outside of them."""
     base = base_spans(text)
-    added, k = [], 0
+    starts = np.array([x for x, _, _ in base], np.int64)
+    ends = np.maximum.accumulate(np.array([y for _, _, y in base], np.int64))
+    added, asked, k = [], [], 0
     for a, b in windows(text):
         while k < len(base) and base[k][2] <= a:
             k += 1
         piece = text[a:b]
-        if k < len(base) and base[k][0] <= a and base[k][2] >= b or not ("@" in piece or AT in piece or len(_digits(piece)) >= 7 or piece.count(".") >= 3):
-            continue
-        s = segments(piece)
+        if not (k < len(base) and base[k][0] <= a and base[k][2] >= b) and ("@" in piece or AT in piece or len(_digits(piece)) >= 7 or piece.count(".") >= 3):
+            asked.append((a, piece))
+    for some in batched(asked, TOGETHER):
+        s = segments(*(piece for _, piece in some))
         for i, j, kind in model.best(s):
-            start, end = a + s.atoms[i][0], a + s.atoms[j - 1][1]
-            if valid(kind, text[start:end]) and all(y <= start or x >= end for x, _, y in base):
+            at = some[int(np.searchsorted(s.firsts, i, "right")) - 1][0]
+            start, end = at + s.atoms[i][0], at + s.atoms[j - 1][1]
+            before = int(np.searchsorted(starts, end))  # base spans that begin before the end
+            if valid(kind, text[start:end]) and not (before and ends[before - 1] > start):
                 added.append((start, kind, end))
     return base, sorted(base + added)
 

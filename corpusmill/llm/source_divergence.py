@@ -143,9 +143,14 @@ def _signed(key: np.ndarray) -> np.ndarray:
     return (key ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def _slab_rows(table: dict[str, np.ndarray], groups: list[tuple[str, str]], run_group: int) -> pa.RecordBatch:
+def shard_bits(partitions: int) -> int:
+    """Logarithm of the number of shards: as many as shuffle partitions, so that they grow with the cluster, and 256 at least."""
+    return min(16, max(8, (partitions - 1).bit_length()))
+
+
+def _slab_rows(table: dict[str, np.ndarray], groups: list[tuple[str, str]], run_group: int, bits: int = 8) -> pa.RecordBatch:
     """Slabs of a sorted run: a shard's terms together, at most SLAB in a row, with the names of the groups that it has."""
-    shard = (table["key"] >> 56) + 128
+    shard = (table["key"] >> (64 - bits)) + (1 << (bits - 1))
     edges = np.flatnonzero(np.diff(shard, prepend=-1)).tolist() + [len(shard)]
     cuts = [at for a, b in zip(edges, edges[1:], strict=False) for at in range(a, b, SLAB)] + [len(shard)]
     ends = np.concatenate([[0], np.cumsum(table["postings"])])
@@ -183,6 +188,8 @@ def _in_pieces(lang: str, source: str, text: str) -> Iterator[tuple[str, str, by
 
 def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Slabs of sorted runs. docs: text, lang, source without nulls."""
+    bits = shard_bits(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = TaskContext.get().partitionId()
         held, rows, size = Block(), [], 0
@@ -193,7 +200,7 @@ def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                 held.add(rows)
                 rows, size = [], 0
             if held.size:
-                yield _slab_rows(held.postings(), list(held.groups), group)
+                yield _slab_rows(held.postings(), list(held.groups), group, bits)
             held = Block()
 
         for batch in batches:
@@ -296,11 +303,13 @@ def _of_one_key(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> It
 
 def merge_runs(slabs: DataFrame, fan_in: int) -> DataFrame:
     """One run for every fan_in groups of runs, in slabs again."""
+    bits = shard_bits(int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, group), rows in _of_one_key(batches, ("shard", "run_group")):
             groups: dict[tuple[str, str], int] = {}
             for table in _merged(rows, groups):
-                yield _slab_rows(table, list(groups), group)
+                yield _slab_rows(table, list(groups), group, bits)
 
     grouped = slabs.withColumn("run_group", F.floor(F.col("run_group") / fan_in))
     return _by_shard(grouped, "shard", "run_group").mapInArrow(merge, _SLABS)

@@ -212,6 +212,97 @@ def test_digit_runs_of_any_length():
         assert time.process_time() - began < 5
 
 
+def plain_features(text, start, end, n_atoms):
+    """Features of a segment, one by one from its characters."""
+    s = text[start:end]
+    d = semicrf_pii._digits(s)
+    letters = [c for c in s if c.isalpha()]
+    before, after = text[start - 1] if start else " ", text[end] if end < len(text) else " "
+    parts = s.split(".")
+    numeric = all(p.isascii() and p.isdigit() for p in parts)
+    at = max(s.find("@"), s.find(semicrf_pii.AT))
+    ats = s.count("@") + s.count(semicrf_pii.AT)
+    holds = {
+        "bias": True,
+        "one_at": ats == 1,
+        "at_inside": 0 < at < len(s) - 1,
+        "dot_after_at": at > 0 and "." in s[at + 2 : -1],
+        "starts_plus": s[0] == "+" and len(s) > 1 and s[1].isdigit(),
+        "luhn_14_19": 14 <= len(d) <= 19 and semicrf_pii.luhn(d),
+        "digits_10_15": 10 <= len(d) <= 15,
+        "digits_14_19": 14 <= len(d) <= 19,
+        "digits_under_7": len(d) < 7,
+        "digits_over_19": len(d) > 19,
+        "four_groups": len(parts) == 4 and numeric,
+        "groups_to_255": len(parts) == 4 and numeric and all(int(p) <= 255 for p in parts),
+        "three_dots_only": s.count(".") == 3 and numeric,
+        "has_letter": bool(letters),
+        "letters_only": len(letters) == len(s),
+        "digits_only": len(d) == len(s),
+        "has_space": " " in s,
+        "has_bracket": "(" in s or ")" in s,
+        "closed_bracket": s.count("(") == s.count(")"),
+        "ten_or_more_digits": len(d) >= 10,
+        "has_slash": "/" in s or "_" in s,
+        "starts_00": s[:2] == "00",
+        "has_dash": "-" in s,
+        "edge_mark": not s[-1].isalnum() or not (s[0].isalnum() or s[0] in "+("),
+        "cut_digit": before.isdigit() and s[0].isdigit() or after.isdigit() and s[-1].isdigit(),
+        "cut_letter": before.isalpha() and s[0].isalpha() or after.isalpha() and s[-1].isalpha(),
+        "cut_local": before in "._%+-@" or after == "@" or after in ".-" and text[end + 1 : end + 2].isalnum(),
+        "one_atom": n_atoms == 1,
+        "up_to_5_atoms": 1 < n_atoms <= 5,
+        "up_to_10_atoms": 5 < n_atoms <= 10,
+        "over_10_atoms": n_atoms > 10,
+        "hex_mix": bool(d) and bool(letters) and at < 0,
+        "short_top": at > 0 and 1 < len(parts[-1]) <= 6 and parts[-1].isalpha(),
+        "starts_zero": s[0] == "0",
+    }
+    return {k for k, v in holds.items() if v}
+
+
+def test_features_of_all_segments_at_once():
+    """Counts up to a place give what a look at each segment gives, in windows side by side."""
+    random.seed(1)
+    bits = ["(at)", "@", ".", "..", "-", " ", "(", ")", "/", "_", "+", "%", "a", "Zq", "0", "00", "255", "256", "1234", "12", "7", "4929123456789012"]
+    for r in range(150):
+        texts = ["".join(random.choice(bits) for _ in range(random.randrange(0, 25))) for _ in range([1, 1, 4][r % 3])]
+        s, k = semicrf_pii.segments(*texts), 0
+        for w, text in enumerate(texts):
+            atoms = [m.span() for m in semicrf_pii.ATOM.finditer(text)]
+            assert s.atoms[s.firsts[w] : s.firsts[w + 1]] == atoms
+            for j in range(1, len(atoms) + 1):
+                for i in range(max(0, j - semicrf_pii.MAX_ATOMS), j):
+                    if j - i > 1 and " " in (text[atoms[i][0]], text[atoms[j - 1][0]]):
+                        continue
+                    assert (s.begin[k] - s.firsts[w], s.end[k] - s.firsts[w]) == (i, j)
+                    held = {f for f, x in zip(semicrf_pii.FEATURES, s.rows[k]) if x}
+                    assert held == plain_features(text, atoms[i][0], atoms[j - 1][1], j - i), text
+                    piece = text[atoms[i][0] : atoms[j - 1][1]]
+                    assert s.bare[k] == (semicrf_pii.AT not in piece and not any(c == "@" or c.isdigit() for c in piece))
+                    k += 1
+        assert k == len(s.begin)
+
+
+def test_windows_side_by_side_are_as_alone():
+    random.seed(2)
+    model, rng = semicrf_pii.SemiCrf(), np.random.default_rng(0)
+    model.weights, model.steps = rng.normal(size=model.weights.shape), rng.normal(size=model.steps.shape)
+    texts = ["".join(random.choice(["1", "22", ".", "@", "a", " ", "+"]) for _ in range(random.randrange(1, 40))) for _ in range(30)]
+    s = semicrf_pii.segments(*texts)
+    together = model.best(s)
+    alone = [(i + s.firsts[w], j + s.firsts[w], y) for w, t in enumerate(texts) for i, j, y in model.best(semicrf_pii.segments(t))]
+    assert together == alone and len(alone) > 10
+
+
+@pytest.mark.parametrize("text", ["1.2.3.4.5 " * 5000, "10.10.2024 " * 5000, "a@" * 20_000, "+1" * 25_000])
+def test_dense_texts_take_milliseconds_a_window(text):
+    model = semicrf_pii.SemiCrf()
+    began = time.process_time()
+    semicrf_pii.spans_of(text, model)
+    assert time.process_time() - began < 15
+
+
 def test_disguised_entities_are_found(spark):
     """Added spans on planted entities that the base patterns miss, in windows that the model wasn't fitted on: precision and recall."""
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
@@ -223,9 +314,13 @@ def test_disguised_entities_are_found(spark):
                 base, every = semicrf_pii.spans_of(text, model)
                 added = set(every) - set(base)
                 wanted, found, right = wanted + 1, found + len(added), right + ((start, kind, end) in added)
-    assert wanted > 50 and right >= 0.6 * wanted and right >= 0.9 * found, (wanted, found, right)
+    assert wanted > 50 and right >= 0.9 * wanted and right >= 0.9 * found, (wanted, found, right)
     for plain in semicrf_pii.DECOYS:
         assert semicrf_pii.spans_of(plain, model)[1] == [], plain
+    for plain in ("see isbn 978-1-4028-9462-6 there", "doi 10.1016/12.7", "no 4321.8765.2109 is", "part 54321-09876-54321 sold", "item 00-9876-543210 left", "v 1.2.3-4567 of 2023-11-12"):
+        assert semicrf_pii.spans_of(plain, model)[1] == [], plain
+    for text, span in (("mail ann.lee(at)mail.example.net now", (5, 0, 32)), ("call 0033 142 685300 today", (5, 3, 20))):
+        assert semicrf_pii.spans_of(text, model)[1] == [span], text
     rows = spark.createDataFrame([(1, "mail bob(at)example.org"), (1, "mail bob(at)example.org")], "doc_id long, text string")
     assert [r.spans for r in semicrf_pii.find_pii(rows, model).collect()] == ["email:5:23"] * 2
 
