@@ -41,6 +41,8 @@ class ItemAutomaton:
             state = 0
             for c in ids:
                 state = self._extend(state, c)
+        self.by_length = sorted(range(len(self.next)), key=self.length.__getitem__)
+        self.at_window = self._of_window()
         for item, ids in tokens:
             self._mark(item, ids)
         self.shortest = min([window, *(n for at in self.whole.values() for n in at)])
@@ -74,8 +76,16 @@ class ItemAutomaton:
             self.link[state] = q if self.length[q] == self.length[p] + 1 else self._split(p, c, q)
         return state
 
+    def _of_window(self) -> list[int]:
+        """For each state the one of its last `window` words (or of all, if these are fewer): a step for each state."""
+        at = list(range(len(self.next)))
+        for s in self.by_length[1:]:
+            if self.length[self.link[s]] >= self.window:
+                at[s] = at[self.link[s]]
+        return at
+
     def _of_length(self, state: int, n: int) -> int:
-        """The state of the last n words of what leads to a state."""
+        """The state of the last n words of what leads to a state; for short items, whose words are few."""
         while self.length[self.link[state]] >= n and self.link[state] >= 0:
             state = self.link[state]
         return state
@@ -85,14 +95,14 @@ class ItemAutomaton:
         for i, c in enumerate(ids):
             state = self.next[state][c]
             if n == self.window and i + 1 >= n:
-                self.windows.setdefault(self._of_length(state, n), set()).add(item)
+                self.windows.setdefault(self.at_window[state], set()).add(item)
         if 0 < n < self.window:
             self.whole.setdefault(self._of_length(state, n), {}).setdefault(n, set()).add(item)
 
     def _nearest_whole(self) -> list[int]:
         """For each state itself or the nearest state above it that is a whole short item; -1 if none."""
         above = [-1] * len(self.next)
-        for s in sorted(range(len(self.next)), key=self.length.__getitem__):
+        for s in self.by_length:
             above[s] = s if s in self.whole else above[self.link[s]] if s else -1
         return above
 
@@ -101,6 +111,7 @@ class ItemAutomaton:
         spans: list[list[int]] = []
         items: set[int] = set()
         nxt, link, length, window, shortest = self.next, self.link, self.length, self.window, self.shortest
+        windows, at_window = self.windows, self.at_window
         state = n = 0
         for i, c in enumerate(map(self.vocabulary.get, words)):
             if c is None:
@@ -117,7 +128,7 @@ class ItemAutomaton:
             reach = 0
             if n >= window:
                 reach = n
-                items |= self.windows[self._of_length(state, window)]
+                items |= windows[at_window[state]]
             at = self.whole_above[state]
             while at > 0:
                 for m, found in self.whole[at].items():

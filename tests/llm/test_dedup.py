@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from itertools import combinations
 
 import duckdb
@@ -258,3 +259,12 @@ def test_passages_are_cut_out(spark):
     left = suffix_automaton.decontaminate(spark.createDataFrame([(1, nested)], "doc_id long, text string"), tests).first().text
     assert left.split() == ["x"] * 60
     assert np.array_equal(suffix_automaton.joined([[5, 6], [0, 2], [2, 4]]), [[0, 4], [5, 6]])
+
+
+def test_repeated_words_take_linear_time():
+    """An item of one word over and over has a state for each length; the windows of all are found in one step."""
+    item = "again " * 4000
+    began = time.process_time()
+    automaton = suffix_automaton.ItemAutomaton([(1, item), (2, "again and")])
+    spans, items = automaton.scan(suffix_automaton.words_of("again " * 400_000 + "and"))
+    assert spans == [[0, 400_001]] and items == {1, 2} and time.process_time() - began < 10
