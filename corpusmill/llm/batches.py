@@ -82,6 +82,7 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files and checkpoints of tables that nothing refers to any more."""
+    """Let Spark's cleaner delete the shuffle files of tables that nothing refers to any more; checkpoints too, where
+    spark.cleaner.referenceTracking.cleanCheckpoints is on."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -138,8 +138,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 def identify(docs: DataFrame, filters: SlicedFilters, id_cols: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """Language of each text: the id columns, lang_pred, score (0 to 1).
 
-    A text that is null or without letters is `und` with score 0; so is every text if nothing was learned. Repeated
-    rows give repeated results; other columns are ignored.
+    A text that is null or without letters is `und` with score 0; so is every text if nothing was learned. Texts of any length
+    are taken whole; of equal shares the first language by name stands. Repeated rows give repeated results, an empty table none; other
+    columns are ignored, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     ids = id_cols or ["doc_id"]
@@ -158,7 +159,11 @@ def identify(docs: DataFrame, filters: SlicedFilters, id_cols: list[str] | None
 
 
 def keep_identified(docs: DataFrame, filters: SlicedFilters, min_score: float, text_col: str = "text") -> DataFrame:
-    """Documents whose language is known with at least min_score, unchanged and with all their columns."""
+    """Documents whose language is known with at least min_score, unchanged and with all their columns.
+
+    Null texts and those without letters go. Whole texts of any length decide; repeated rows stay or go alike, ids may be
+    null, and an empty table gives an empty one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     @F.pandas_udf("boolean")

@@ -160,7 +160,11 @@ def padded(text: str | None) -> tuple[bytes, int]:
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Texts as Ogg files: id, media binary. Null is stored as an empty text; repeated rows are stored each."""
+    """Texts as Ogg files: id, media binary.
+
+    Null is stored as an empty text, a text of any length whole, over as many pages as it takes; repeated rows are stored each, an empty
+    table gives an empty one, and other columns are ignored, whatever their names.
+    """
     return map_rows(docs, [id_col, text_col], 1, [T.StructField("media", T.BinaryType())], lambda: lambda texts: [[write(*padded(t)) for t in texts]])
 
 
@@ -199,7 +203,7 @@ def read(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
     """Read Ogg files back: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
     Null or alien bytes give an empty payload, and a file that doesn't tell its length has that of its payload; a damaged page loses its packets, and the feature tells how many
-    pages were damaged. Repeated rows give repeated results, an empty table none; other columns are ignored.
+    pages were damaged. Files of any length are read whole. Repeated rows give repeated results, an empty table none; other columns are ignored.
     """
     names = [("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
 

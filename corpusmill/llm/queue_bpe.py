@@ -168,7 +168,11 @@ def _told_differences() -> str:
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token ids of each text: id, ids array<int>. A null or empty text has no ids; other columns are ignored."""
+    """Token ids of each text: id, ids array<int>.
+
+    A null or empty text has no ids, a text of any length is taken whole. Repeated rows give repeated results, an empty
+    table none; ids may be null; other columns are ignored, whatever their names.
+    """
     vocabulary, differences = read_on_driver(docs.sparkSession, path), _told_differences()
 
     def make():
@@ -179,7 +183,11 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
 
 def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Texts of arrays of token ids: id, decoded. Null or empty ids give an empty text; an unknown id is an error."""
+    """Texts of arrays of token ids: id, decoded.
+
+    Null or empty ids give an empty text; an unknown id is an error. Lists of any length are taken whole, repeated rows give
+    repeated results, an empty table none; other columns are ignored, whatever their names.
+    """
     vocabulary, differences = read_on_driver(encoded.sparkSession, path), _told_differences()
 
     def make():

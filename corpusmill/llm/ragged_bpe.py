@@ -109,8 +109,9 @@ def counter_of(text: str) -> RaggedCounter:
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Bytes and tokens of each text under the byte-level vocabulary at `path`.
 
-    Returns id, n_bytes, n_tokens, over_limit. A null or empty text has 0 bytes and 0 tokens. Repeated rows give
-    repeated results, an empty table none; ids may be null; other columns are ignored.
+    Returns id, n_bytes, n_tokens, over_limit. A null or empty text has 0 bytes and 0 tokens. Texts of any
+    length are taken whole. Repeated rows give repeated results, an empty table none; ids may be null; other columns are ignored, whatever
+    their names.
     """
     vocabulary = read_on_driver(docs.sparkSession, path)
 

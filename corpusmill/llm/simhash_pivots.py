@@ -130,7 +130,7 @@ def group_near_copies(docs: DataFrame, max_distance: int = MAX_DISTANCE, id_col:
 
     component_id is the smallest id that can be reached over fingerprints that differ in at most max_distance bits.
     Null, empty and blank texts have fingerprint 0 and are linked like others. Rows without an id get the component
-    of the documents with the same fingerprint, null if there are none. Repeated rows give repeated results, an empty
+    of the documents with the same fingerprint, null if there are none. Texts of any length are taken whole. Repeated rows give repeated results, an empty
     table none; other columns are ignored.
     """
     prints = settled(fingerprints(docs, id_col, text_col).toDF("_id", "fp"))

@@ -228,6 +228,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **o
     """Hit words and occurring items of each document.
 
     Returns id, n_words, n_hit, n_items, items_sha256 (of the ids sorted as strings, comma-joined), contaminated.
+
+    Null texts have no words. Texts of any length are taken whole, in time that grows with their words. Repeated rows give
+    repeated results, repeated items are one; an empty table gives an empty one, an empty benchmark no hits; other columns are ignored,
+    whatever their names.
     """
     hits = find_hits(docs, items, id_cols=[id_col], **options)
     listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -251,7 +255,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
     """Documents without benchmark passages, in the columns and order of columns of docs.
 
     Spans of at least a window are cut out of a text, again until no window is left; a document of which more than
-    max_coverage of the words is hit goes as a whole. Others stay unchanged, null and empty texts too.
+    max_coverage of the words is hit goes as a whole. Others stay unchanged, null and empty texts too. Texts of any length are
+    taken whole, repeated rows are treated alike, and an empty table gives an empty one.
     """
     others = [c for c in docs.columns if c != text_col]
     keys = [f"c{i}" for i in range(len(others))]

@@ -130,7 +130,8 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     verdict: the rule's action, or else allow if the score reaches the calibrated threshold and block below it.
     score: difference of the log-likelihoods per character. A null URL or one without :// has empty host and path
     and is judged by the models as an empty string. Where the table does not hold URLs of both actions there is no
-    model: the score is 0 and URLs without a rule are allowed. Repeated rows give repeated results.
+    model: the score is 0 and URLs without a rule are allowed. Equal scores have equal verdicts, repeated rows give
+    repeated results, an empty table none; URLs of any length are taken whole; other columns are ignored, whatever their names.
     """
     urls = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
     host, path = host_and_path(F.col("_url"))
