@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -162,7 +161,7 @@ def new_texts(store: DataFrame, base: str) -> DataFrame:
     digests = written(first)
     doubtful = written(_may_hold(digests.select(F.col("_digest").alias("digest")), spark.read.parquet(f"{base}/_blooms")))
     asked = doubtful.select("domain", "content_type").distinct().collect()  # partitions of the store
-    wanted = reduce(Column.__or__, [(F.col("domain") == r[0]) & (F.col("content_type") == r[1]) for r in asked], F.lit(False))
+    wanted = F.col("domain").isin(sorted({r[0] for r in asked})) & F.col("content_type").isin(sorted({r[1] for r in asked}))
     known = spark.read.parquet(base).where(wanted).select("digest").join(doubtful.select("digest").distinct(), "digest", "left_semi").distinct()
     fresh = digests.join(known, digests["_digest"] == known["digest"], "left_anti").select(F.col("_digest").alias("_d"), "_first")
     same = F.col("_digest").isNull() | (F.col("_first") == F.col("chunk_id"))

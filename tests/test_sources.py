@@ -50,7 +50,7 @@ def ingested(spark, folder, lots, steps=None):
     return spark.read.parquet(out)
 
 
-@pytest.mark.parametrize("steps", [["semantic"], ["table_aware", "semantic"], ["section_aware"]])
+@pytest.mark.parametrize("steps", [["table_aware", "semantic"], ["section_aware"]])
 def test_a_file_over_three_batches_equals_one(spark, tmp_path, steps):
     pages = PAGES if steps != ["section_aware"] else [(p, n, f"# A{n}\n{t}\n1.1 b\n{t}") for p, n, t in PAGES if t]
     lots = [[r for r in pages if r[1] == 0], [r for r in pages if r[1] == 1], [r for r in pages if r[1] > 1]]
