@@ -22,7 +22,7 @@ from corpusmill.llm.batches import map_rows, settled
 
 #: N-grams of 1 to so many words, buckets, words of a document that can be drawn, percent of these that are drawn, seed.
 WORDS, BUCKETS, MIN_WORDS, PERCENT, SEED = 2, 10_000, 20, 25, 7
-#: Characters of texts that are interned at once, so that a table stays in the processor's cache; a longer text comes alone.
+#: Bytes of texts that are interned at once, so that a table stays in the processor's cache; a longer text is taken in pieces.
 TOGETHER = 1 << 19
 #: Bytes that belong to words: digits, small letters (after lower-casing) and all of UTF-8 beyond ASCII.
 _WORD = np.zeros(256, bool)
@@ -34,23 +34,27 @@ class Interned:
     """The distinct n-grams of a batch of texts.
 
     slot, text: for each occurrence the slot of its n-gram and the number of its text. bucket, count: by slot. n_words,
-    per_text: words and occurrences of each text.
+    per_text: words and occurrences of each text. carried: of each text so many first words are the last ones of the piece
+    before it; they and what lies within them have been counted there.
     """
 
-    def __init__(self, texts: list[str | None], words: int = WORDS, buckets: int = BUCKETS):
-        self.buffer, starts, ends, self.n_words = _split(texts)
-        n, of = len(starts), np.repeat(np.arange(len(texts)), self.n_words)
+    def __init__(self, texts: list[bytes], words: int = WORDS, buckets: int = BUCKETS, carried: list[int] | None = None):
+        self.buffer, starts, ends, n_words = _split(texts)
+        n, of = len(starts), np.repeat(np.arange(len(texts)), n_words)
         listed = self.buffer[:-8].split(b" ")[:n]
-        self.per_text = sum(np.maximum(self.n_words - k, 0) for k in range(words))
+        known = np.array(carried or [0] * len(texts), np.int64)
+        self.n_words = n_words - known
+        at = np.arange(n) - np.repeat(np.cumsum(n_words) - n_words, n_words)  # a word's number in its text
         grams, start, end, text = [], [], [], []
         for k in range(words):
             runs = map(b" ".join, zip(*(listed[i:] for i in range(k + 1)), strict=False)) if k else listed
-            whole = of[: max(0, n - k)] == of[k:]  # not from one text into the next
+            whole = (of[: max(0, n - k)] == of[k:]) & (at[k:] >= known[of[k:]])  # not from one text into the next
             grams += compress(runs, whole.tolist())
             start.append(starts[: max(0, n - k)][whole])
             end.append(ends[k:][whole])
             text.append(of[k:][whole])
         self._start, self.text = np.concatenate(start), np.concatenate(text)
+        self.per_text = np.bincount(self.text, minlength=len(texts))
         self._length = np.concatenate(end) - self._start
         self._keys = np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams))
         # eight bytes at every place; the last places read the padding
@@ -96,13 +100,12 @@ class Interned:
 
     def sums(self, gains: np.ndarray) -> np.ndarray:
         """For each text the sum of its n-grams' gains. gains: whole numbers by bucket; sums below 2 ** 53 are exact."""
-        return np.bincount(self.text, gains[self.bucket][self.slot], len(self.n_words)).astype(np.int64)
+        return np.bincount(self.text, gains[self.bucket][self.slot], len(self.per_text)).astype(np.int64)
 
 
-def _split(texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def _split(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The texts' words, lower-cased, each followed by one space; their starts and ends; words of each text."""
-    encoded = [(t or "").encode() for t in texts]
-    raw = np.frombuffer(b"\n".join(encoded).lower() + b"\n", np.uint8)
+    raw = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
     inside = _WORD[raw]
     last = np.flatnonzero(inside[:-1] & ~inside[1:])  # the last byte of each word
     kept = inside.copy()
@@ -110,22 +113,43 @@ def _split(texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.n
     buffer = np.where(inside, raw, _SPACE)[kept].astype(np.uint8)
     ends = np.flatnonzero(buffer == _SPACE)
     starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-    limits = np.cumsum([len(e) + 1 for e in encoded])
+    limits = np.cumsum([len(t) + 1 for t in texts])
     n_words = np.diff(np.searchsorted(last, limits), prepend=0)
     return buffer.tobytes() + bytes(8), starts, ends, n_words
 
 
-def _together(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """The texts in runs of about TOGETHER characters."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text or "") + 1
-        if size >= TOGETHER:
-            yield run
-            run, size = [], 0
+def _pieces(text: bytes, words: int) -> Iterator[tuple[bytes, int]]:
+    """A text in pieces that end between words, each with the last words - 1 words of the one before, and their number."""
+    at, carried = 0, b""
+    while at < len(text) or not at:
+        end = min(len(text), at + TOGETHER)
+        while end < len(text):  # to the end of a word
+            outside = np.flatnonzero(~_WORD[np.frombuffer(text[end : end + TOGETHER].lower(), np.uint8)])
+            end += int(outside[0]) if len(outside) else len(text[end : end + TOGETHER])
+            if len(outside):
+                break
+        piece = carried + b" " + text[at:end] if carried else text[at:end]
+        yield piece, len(carried.split())
+        at = max(end, 1)
+        if at < len(text) and words > 1:
+            raw = np.frombuffer(piece.lower(), np.uint8)
+            carried = b" ".join(np.where(_WORD[raw], raw, _SPACE).astype(np.uint8).tobytes().split()[1 - words :])
+
+
+def _together(texts: list[str | None], words: int) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
+    """Pieces of the texts in runs of about TOGETHER bytes: the pieces, how many words of each are carried, whose they are."""
+    run, carried, owner, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        for piece, n in _pieces((text or "").encode(), words):
+            run.append(piece)
+            carried.append(n)
+            owner.append(i)
+            size += len(piece) + 1
+            if size >= TOGETHER:
+                yield run, carried, owner
+                run, carried, owner, size = [], [], [], 0
     if run:
-        yield run
+        yield run, carried, owner
 
 
 def bucket_counts(docs: DataFrame, text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS) -> DataFrame:
@@ -133,8 +157,8 @@ def bucket_counts(docs: DataFrame, text_col: str = "text", words: int = WORDS, b
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for texts in _together(batch.column(0).to_pylist()):
-                total += Interned(texts, words, buckets).by_bucket(buckets)
+            for texts, carried, _ in _together(batch.column(0).to_pylist(), words):
+                total += Interned(texts, words, buckets, carried).by_bucket(buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": some, "n": total[some]})
 
@@ -158,12 +182,12 @@ def weights(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col:
     fields = [T.StructField(n, T.LongType()) for n in ("n_words", "n_features", "weight")]
 
     def helper(texts):
-        found = []
-        for run in _together(texts):
-            table = Interned(run, words, len(shared.value))
-            n = table.per_text
-            found.append([table.n_words, n, np.where(n > 0, table.sums(shared.value) // np.maximum(n, 1), 0)])
-        return list(np.concatenate(found, axis=1))
+        n_words, n, total = np.zeros((3, len(texts)), np.int64)
+        for run, carried, owner in _together(texts, words):
+            table = Interned(run, words, len(shared.value), carried)
+            for sums, found in ((n_words, table.n_words), (n, table.per_text), (total, table.sums(shared.value))):
+                np.add.at(sums, owner, found)
+        return [n_words, n, np.where(n > 0, total // np.maximum(n, 1), 0)]
 
     return map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ["id", "text"], 1, fields, lambda: helper)
 
@@ -200,7 +224,7 @@ def resample(
     Of the N documents with at least min_words words the floor(percent * N / 100) highest scores are drawn, ties to the smaller
     id. Null and empty texts have no n-grams, weight 0 and no rank. Rows without an id have no score and are never drawn
     nor counted in N; rows with the same id are documents of their own, with ranks of their own. Texts of any length are
-    taken whole (one alone, if long). An empty table gives an empty one, an empty target counts as one with no n-grams;
+    taken whole, in pieces of bounded size. An empty table gives an empty one, an empty target counts as one with no n-grams;
     other columns are ignored, whatever their names.
     """
     weighted = settled(with_noise(weights(docs, gains(docs, target, text_col, words, buckets), id_col, text_col, words), seed))

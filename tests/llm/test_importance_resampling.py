@@ -80,7 +80,7 @@ def test_interned_features_are_told_apart_by_their_bytes(monkeypatch):
     """With keys that collide all the time every n-gram still has a slot of its own."""
     monkeypatch.setattr(ir.xxhash, "xxh64_intdigest", lambda gram: len(gram) % 3)
     texts = ["ab cd ef", "cd ab x" * 3, None, "ef " + "long" * 9 + "a " + "long" * 9 + "b"]
-    table = ir.Interned(texts)
+    table = ir.Interned([(t or "").encode() for t in texts])
     count = Counter(bucket(f) for t in texts for f in features(t)[1])
     assert table.by_bucket().tolist() == [count[b] for b in range(10_000)]
     gains = np.arange(10_000) - 5000
@@ -93,3 +93,25 @@ def test_ranks_along_ranges(spark, partitions):
     out = ir.ranked(rows, [ir.F.desc("score"), "id"], "rank").collect()
     want = sorted(((-(k % 7), k) for k in range(500)))
     assert {r.id: r["rank"] for r in out} == {k: n for n, (_, k) in enumerate(want, 1)}
+
+
+@pytest.mark.parametrize("words", [1, 2, 3])
+def test_long_texts_in_pieces(monkeypatch, words):
+    """Pieces that end anywhere between words have the n-grams of the whole, those across their ends included."""
+    random.seed(words)
+    monkeypatch.setattr(ir, "TOGETHER", 23)
+    texts = [" ".join(random.choice(["Ab", "c", "-", "Ünï", "x" * 60, ".,", "9"]) for _ in range(random.choice([0, 1, 5, 80]))) for _ in range(40)] + [None, "   ", "q" * 100]
+    total, sums, n, n_words = np.zeros(10_000, np.int64), *(np.zeros(len(texts), np.int64) for _ in range(3))
+    gains = np.arange(10_000) - 5000
+    for run, carried, owner in ir._together(texts, words):
+        table = ir.Interned(run, words, 10_000, carried)
+        total += table.by_bucket()
+        for all_, found in ((sums, table.sums(gains)), (n, table.per_text), (n_words, table.n_words)):
+            np.add.at(all_, owner, found)
+    count = Counter()
+    for i, text in enumerate(texts):
+        w = features(text)[0]
+        grams = [" ".join(w[k : k + m]) for m in range(1, words + 1) for k in range(len(w) - m + 1)]
+        count.update(bucket(g) for g in grams)
+        assert (n_words[i], n[i], sums[i]) == (len(w), len(grams), sum(bucket(g) - 5000 for g in grams)), text
+    assert total.tolist() == [count[b] for b in range(10_000)]
