@@ -79,13 +79,29 @@ class Terms:
 
 
 class Block:
-    """Occurrences of terms in memory, until they are summed up."""
+    """Occurrences of terms in memory, until they are summed up.
 
-    def __init__(self):
+    begun: a document (lang, source) that an earlier block has the first pieces of, and its terms there, which aren't counted as of
+    one more document.
+    """
+
+    def __init__(self, begun: tuple[str, str, set[bytes]] | None = None):
         self.pieces: list[tuple[Terms, np.ndarray]] = []
         self.groups: dict[tuple[str, str], int] = {}
         self.group_of: list[int] = []  # by document
         self.size = 0
+        self.seen: set[bytes] = set()
+        if begun:
+            self.groups[begun[:2]] = 0
+            self.group_of.append(0)
+            self.seen = begun[2]
+
+    def last(self) -> tuple[str, str, set[bytes]]:
+        """The last document as one that goes on in another block."""
+        doc = len(self.group_of) - 1
+        terms = {t.bytes(i) for t, docs in self.pieces for i in np.flatnonzero(docs == doc).tolist()}
+        lang, source = list(self.groups)[self.group_of[-1]]
+        return lang, source, terms | (self.seen if doc == 0 else set())
 
     def add(self, rows: list[tuple[str, str, bytes]], follows: bool = False) -> None:
         """Texts (lang, source, text); with `follows` the first goes on with the last document of before."""
@@ -129,7 +145,11 @@ class Block:
         rank[order] = np.arange(terms)
         group = np.array(self.group_of, np.int64)[at]
         code, posts = pd.factorize(rank[term] * len(self.groups) + group)
-        n, docs = np.bincount(code, times).astype(np.int64), np.bincount(code)
+        new = np.ones(len(pairs), np.int64)
+        if self.seen:
+            again = np.flatnonzero(at == 0)
+            new[again] = [spelled(i) not in self.seen for i in first[term[again]].tolist()]
+        n, docs = np.bincount(code, times).astype(np.int64), np.bincount(code, new).astype(np.int64)
         by = np.argsort(posts)
         place, of = np.divmod(posts[by], len(self.groups))
         names = np.empty(terms, object)
@@ -192,38 +212,42 @@ def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = TaskContext.get().partitionId()
-        held, rows, size = Block(), [], 0
-
-        def spill() -> Iterator[pa.RecordBatch]:
-            nonlocal held, rows, size
-            if rows:
-                held.add(rows)
-                rows, size = [], 0
-            if held.size:
-                yield _slab_rows(held.postings(), list(held.groups), group, bits)
-            held = Block()
-
-        for batch in batches:
-            for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                pieces = _in_pieces(lang, source, text)
-                first = next(pieces)
-                rows.append(first)
-                size += len(first[2])
-                for piece in pieces:
-                    if rows:
-                        held.add(rows)
-                        rows, size = [], 0
-                    held.add([piece], follows=True)
-                if size >= PIECE:
-                    held.add(rows)
-                    rows, size = [], 0
-                if held.size >= block:
-                    yield from spill()
-        yield from spill()
+        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+        for held in blocks(rows, block):
+            yield _slab_rows(held.postings(), list(held.groups), group, bits)
 
     return docs.select("lang", "source", "text").mapInArrow(index, _SLABS)
 
 
+def blocks(rows: Iterator[tuple[str, str, str]], block: int) -> Iterator[Block]:
+    """Full blocks of documents (lang, source, text). A block holds about `block` occurrences and a piece of a text."""
+    held, waiting, size = Block(), [], 0
+    for lang, source, text in rows:
+        for k, piece in enumerate(_in_pieces(lang, source, text)):
+            if k == 0:
+                waiting.append(piece)
+                size += len(piece[2])
+                continue
+            if waiting:
+                held.add(waiting)
+                waiting, size = [], 0
+            if held.size >= block:
+                begun = held.last()
+                yield held
+                held = Block(begun)
+            held.add([piece], follows=True)
+        if size >= PIECE:
+            held.add(waiting)
+            waiting, size = [], 0
+        if held.size >= block:
+            yield held
+            held = Block()
+    if waiting:
+        held.add(waiting)
+    if held.size:
+        yield held
+
+
 class _Slab:
     """An open slab: terms and postings that aren't taken yet. of: numbers of groups in `groups`, which all slabs share."""
 

@@ -132,6 +132,20 @@ def test_long_texts_are_taken_in_pieces(spark, monkeypatch):
     assert plain(block) == counted([("en", "b", "alpha"), ("en", "a", text), ("en", "a", "end")])
 
 
+@pytest.mark.parametrize("block", [1, 7, 60, 10**6])
+def test_blocks_cut_long_texts(monkeypatch, block):
+    """A text over several blocks is one document of each of its terms."""
+    monkeypatch.setattr(sd, "PIECE", 29)
+    random.seed(block)
+    rows = [(random.choice(["en", "de"]), random.choice("ab"), " ".join(random.choice(["Ab", "c", "ünï", "x" * 40, "9"]) for _ in range(random.choice([0, 3, 90])))) for _ in range(25)]
+    total = {}
+    for held in sd.blocks(iter(rows), block):
+        for key, (n, docs) in plain(held).items():
+            old = total.get(key, (0, 0))
+            total[key] = (old[0] + n, old[1] + docs)
+    assert total == counted(rows)
+
+
 def test_empty_table(spark):
     assert sd.audit(spark.createDataFrame([], "lang string, source string, text string")).collect() == []
 
