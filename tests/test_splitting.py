@@ -9,6 +9,7 @@ from corpusmill.operators import chunks, splitting
 from corpusmill.operators.recursive import check_sizes, split_text
 
 TABLE = "| a | b |\n| - | - |\n| 1 | 2 |\n"
+# The header patterns of section splitting.
 HEADER = re.compile(r"#{1,6}\s+.+$|\d+\.\s+.+$|[A-Z][A-Z\s]{2,}:$|\s*\d+\.\d+[\s.]", re.MULTILINE)
 
 
