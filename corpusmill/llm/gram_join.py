@@ -191,6 +191,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle: i
     """The pairs (a, b) of ids whose texts have the similarity. docs: id, text. Only the texts in question are moved."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts, path = stored(docs.join(asked, "id").select("id", "text"))
+    tidy(docs.sparkSession)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def helper(left, right):
@@ -231,7 +232,8 @@ def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle:
     same = placed.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b")).distinct()
     keys, path = stored(meeting_keys(docs.where("id is not null"), frequent_shingles(scanned), percent, shingle))
     tidy(spark)
-    buckets = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    buckets = settled(keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"))
+    tidy(spark)
     members = settled(keys.join(buckets, "key").join(placed, "id").select("key", "node").distinct())
     discard(spark, path)
     tidy(spark)
