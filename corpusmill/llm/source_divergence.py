@@ -22,14 +22,14 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from corpusmill.llm.batches import discard, settled, stored, tidy
+from corpusmill.llm.batches import discard, settled, slices, stored, tidy
 
 #: Documents of a language that a kept term is in at least; terms that a group is told of; what is added to each count.
 MIN_DOCS, TOP, SMOOTH = 30, 50, 5
 #: Probabilities are whole parts of so many.
 SCALE = 1_000_000_000
 #: Occurrences in memory before a run is spilled, terms of a slab, runs that are merged at once, postings that are added up at once.
-BLOCK, SLAB, FAN_IN, MERGED = 1 << 19, 2048, 512, 1 << 19
+BLOCK, SLAB, FAN_IN, MERGED = 1 << 18, 2048, 512, 1 << 18
 #: Characters of texts that are split into terms at once; a longer text is taken in pieces that end between terms.
 PIECE = 1 << 20
 #: Cells of pair corrections that a task holds before it passes them on.
@@ -212,9 +212,13 @@ def runs(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = TaskContext.get().partitionId()
-        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+        rows = (row for batch in batches for piece in slices(batch, 2) for row in zip(*(piece.column(i).to_pylist() for i in range(3)), strict=True))
         for held in blocks(rows, block):
-            yield _slab_rows(held.postings(), list(held.groups), group, bits)
+            slabs = _slab_rows(held.postings(), list(held.groups), group, bits)
+            del held  # before the next block grows
+            yield slabs
+            del slabs
+            pa.default_memory_pool().release_unused()
 
     return docs.select("lang", "source", "text").mapInArrow(index, _SLABS)
 
@@ -232,16 +236,17 @@ def blocks(rows: Iterator[tuple[str, str, str]], block: int) -> Iterator[Block]:
                 held.add(waiting)
                 waiting, size = [], 0
             if held.size >= block:
-                begun = held.last()
-                yield held
-                held = Block(begun)
+                full, held = held, Block(held.last())
+                yield full
+                del full
             held.add([piece], follows=True)
         if size >= PIECE:
             held.add(waiting)
             waiting, size = [], 0
         if held.size >= block:
-            yield held
-            held = Block()
+            full, held = held, Block()
+            yield full
+            del full
     if waiting:
         held.add(waiting)
     if held.size:
@@ -348,13 +353,12 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, block: int = BLOCK, f
             for table in _merged(slabs, groups):
                 yield _table(list(_kept(table, list(groups), min_docs)), schema)
 
-    spilled, path = stored(runs(docs, block))
-    several = (spilled.agg(F.max("run_group")).first()[0] or 0) + 1
-    paths = [path]
+    spilled, paths = runs(docs, block), []
+    several = docs.rdd.getNumPartitions()  # a task's runs are a group
     while several > fan_in:
-        spilled, path = stored(merge_runs(spilled, fan_in))
+        spilled, path = stored(merge_runs(spilled, fan_in) if paths else spilled)
+        several = -(-several // fan_in) if paths else several
         paths.append(path)
-        several = -(-several // fan_in)
     out = settled(_by_shard(spilled, "shard").mapInArrow(merge, "lang string, term binary, source array<string>, n array<long>"))
     for p in paths:
         discard(docs.sparkSession, p)
