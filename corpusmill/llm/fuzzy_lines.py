@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.llm.batches import discard, settled, stored, tidy
 from corpusmill.llm.graph import connected
@@ -27,8 +27,10 @@ LONG_WORD = 4
 PER_CLASS = 4
 #: Lines of fewer words have, in place of blocks, all their words but one.
 SHORT = 10
-#: Lines in a bucket of which all pairs are compared; in fuller ones two blocks in a row must agree, then three.
-BUCKET, LEVELS = 50, 3
+#: Lines in a bucket of which all pairs are compared at once; those of fuller ones where pairs with the first leave several groups.
+BUCKET = 50
+#: Words of lines whose edits are counted without a look at the words that only one of them has.
+COUNTED = 100
 #: White space that isn't a space.
 BLANKS = "\t\r\v\f\x85\xa0"
 
@@ -55,10 +57,10 @@ def _classes(n: Column) -> Column:
 
 
 def keyed_lines(docs: DataFrame) -> DataFrame:
-    """All lines that aren't blank, with their blocks: id, line, h1, h2 (together they identify the normalised line), at, key.
+    """All lines that aren't blank, with their blocks: id, line, h1, h2 (together they identify the normalised line), key.
 
-    docs: id, text. The row with at = 0 is the occurrence itself, its key a hash of all words of a short line, else null; the others are blocks. A
-    line whose number of words is near a change of the number of classes has the blocks of both.
+    docs: id, text. A row with an id is the occurrence itself, its key a hash of all words of a short line, else null; the
+    others are blocks and have only h1 and key. A line whose number of words is near a change of the number of classes has the blocks of both.
     """
     lines = docs.where("id is not null and text is not null").select("id", F.posexplode(F.split("text", "\n")).alias("line", "body"))
     words = lines.where(F.col("body").rlike(r"[^\s\x85\xa0]")).select("id", "line", line_words(F.col("body")).alias("words")).withColumn("long", F.filter("words", lambda w: F.length(w) >= LONG_WORD))
@@ -79,7 +81,8 @@ def keyed_lines(docs: DataFrame) -> DataFrame:
         .when(F.col("mode") < 0, F.when(F.col("n") > 2, F.col("whole").bitwiseXOR(a)))
         .when(first & (_class(d) == _class(a)), simhash)
     )
-    return each.select("id", "line", "h1", "h2", "k", "at", key.alias("key")).where("at = 0 and k = 0 or key is not null").drop("k")
+    own = [F.when(F.col("at") == 0, F.col(c)).alias(c) for c in ("id", "line", "h2")]
+    return each.select(*own, "h1", "k", "at", key.alias("key")).where("at = 0 and k = 0 or key is not null").drop("k", "at")
 
 
 def _class(h: Column) -> Column:
@@ -87,40 +90,65 @@ def _class(h: Column) -> Column:
     return F.call_function("shiftrightunsigned", F.call_function("shiftrightunsigned", h, F.lit(1)), 63 - F.col("mode"))
 
 
-def candidates(keyed: DataFrame, bucket: int = BUCKET, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of lines with a block in common, and the members (key, node) of buckets that stay crowded.
+def candidates(keyed: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of lines with a block in common, and the members (key, node) of crowded buckets.
 
-    keyed: key, node, with repeats. A bucket of more than `bucket` lines gives the pairs with its first line; all others of
-    them must have two neighbouring blocks of crowded buckets in common, or three where that is crowded too.
+    keyed: key, node, with repeats. A bucket of more than `bucket` lines is crowded and gives the pairs with its first line
+    only: its other pairs are compared where these links leave it in several groups.
     """
-    pairs, rows = [], keyed
-    for level in range(levels):
-        buckets = settled(rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("key", "first"))
-        tidy(keyed.sparkSession)
-        members = settled(rows.join(buckets, "key").distinct())
-        full = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("key")
-        many = settled(members.join(full, "key", "left_semi"))
-        few = members.join(full, "key", "left_anti")
-        left, right = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
-        pairs.append(left.join(right, "key").where("a < b").select("a", "b"))
-        pairs.append(many.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
-        if level == levels - 1 or many.isEmpty():
-            break
-        after = F.lead("key").over(W.partitionBy("node").orderBy("key"))
-        rows = many.select("node", "key", after.alias("after")).where("after is not null").select(F.xxhash64("key", "after").alias("key"), "node")
+    found = settled(keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n")).where("first <> last"))
+    tidy(keyed.sparkSession)
+    members = settled(keyed.join(found.where("n > 2").select("key", "first"), "key").distinct())
+    full = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("key")
+    many = settled(members.join(full, "key", "left_semi"))
+    few = members.join(full, "key", "left_anti")
+    left, right = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
+    pairs = [
+        found.where("n = 2").select(F.col("first").alias("a"), F.col("last").alias("b")),
+        left.join(right, "key").where("a < b").select("a", "b"),
+        many.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")),
+    ]
     return settled(reduce(DataFrame.unionByName, pairs).distinct()), many.select("key", "node")
 
 
+def words_of(nodes: DataFrame, place: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, words of the distinct nodes. place: node, id, line (where to find its text); docs: id, text."""
+    wanted = nodes.join(place, "node").groupBy("id").agg(F.collect_list(F.struct("line", "node")).alias("want"))
+    found = docs.join(wanted, "id").select(F.split("text", "\n").alias("all"), F.explode("want").alias("w"))
+    return found.select(F.col("w.node").alias("node"), line_words(F.get("all", F.col("w.line"))).alias("words"))
+
+
+def apart(rest: DataFrame, place: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of lines in different groups of a bucket, without those that can't have the similarity.
+
+    rest: key, node, component. An edit of words changes two bits at most of 256 that say whether an odd number of words
+    falls to each; of two lines with at most FEW_WORDS the lengths are compared.
+    """
+    words = words_of(rest.select("node").distinct(), place, docs).dropDuplicates(["node"])
+    each = words.select("node", F.size("words").alias("n"), F.length(F.array_join("words", " ")).alias("size"), F.explode("words").alias("word")).withColumn("h", F.xxhash64("word"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
+    part = F.shiftright("h", 6).bitwiseAND(3)
+    facts = each.groupBy("node", "n", "size").agg(*(F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in range(4)))
+    known = settled(rest.join(facts, "node"))
+    left, right = (known.select("key", *(F.col(c).alias(c + x) for c in ("node", "component", "n", "size", "b0", "b1", "b2", "b3"))) for x in "ab")
+
+    def allowed(c: str) -> Column:
+        return F.floor(F.greatest(c + "a", c + "b") * (1 - similarity) + 1e-9)
+
+    bits = sum(F.bit_count(F.col(f"b{i}a").bitwiseXOR(F.col(f"b{i}b"))) for i in range(4))
+    by_words = (F.abs(F.col("na") - F.col("nb")) <= allowed("n")) & (bits <= 2 * allowed("n"))
+    by_letters = (F.greatest("na", "nb") <= FEW_WORDS) & (F.abs(F.col("sizea") - F.col("sizeb")) <= allowed("size"))
+    met = left.join(right, (left["key"] == right["key"]) & (F.col("componenta") < F.col("componentb")) & (by_words | by_letters))
+    return settled(met.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
+
+
 def verify(pairs: DataFrame, place: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose lines have the edit similarity.
 
-    place: node, id, line (where to find its text); docs: id, text. Only the lines in question leave their documents. Edits
-    are counted only where few enough words are in one line alone: every such word is an edit at least.
+    place and docs are as in words_of. Only the lines in question leave their documents. Edits of long lines are counted
+    only where few enough words are in one line alone: every such word is an edit at least.
     """
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(place, "node")
-    wanted = asked.groupBy("id").agg(F.collect_list(F.struct("line", "node")).alias("want"))
-    found = docs.join(wanted, "id").select(F.split("text", "\n").alias("all"), F.explode("want").alias("w"))
-    words = found.select(F.col("w.node").alias("node"), line_words(F.get("all", F.col("w.line"))).alias("words"))
+    words = words_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), place, docs)
     short = F.when(F.size("words") <= FEW_WORDS, F.array_join("words", " "))
     text, path = stored(words.select("node", word_letters(F.col("words")).alias("letters"), short.alias("norm")))
     one, two = (text.select(F.col("node").alias(x), F.col("letters").alias(f"l{x}"), F.col("norm").alias(f"n{x}")).dropDuplicates([x]) for x in "ab")
@@ -132,7 +160,8 @@ def verify(pairs: DataFrame, place: DataFrame, docs: DataFrame, similarity: floa
         return F.when((longer - F.least(F.length(x), F.length(y)) <= allowed) & bound, near).otherwise(F.lit(False))
 
     def alone(x: str, y: str) -> Column:
-        return F.size(F.array_except(F.split(x, ""), F.split(y, ""))) <= F.greatest(F.length(x), F.length(y)) * (1 - similarity) + 1e-9
+        longer = F.greatest(F.length(x), F.length(y))
+        return (longer <= COUNTED) | (F.size(F.array_except(F.split(x, ""), F.split(y, ""))) <= longer * (1 - similarity) + 1e-9)
 
     links = settled(pairs.join(one, "a").join(two, "b").where(close("la", "lb", alone("la", "lb") & alone("lb", "la")) | F.coalesce(close("na", "nb"), F.lit(False))).select("a", "b"))
     discard(docs.sparkSession, path)
@@ -142,8 +171,8 @@ def verify(pairs: DataFrame, place: DataFrame, docs: DataFrame, similarity: floa
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The lines to drop: id, drop (array of line numbers from 0). docs: id, text."""
     spark = docs.sparkSession
-    table, path = stored(keyed_lines(docs).withColumn("block", F.col("at") > 0), "block")
-    seen = settled(table.where("not block").select("id", "line", "h1", "h2"))
+    table, path = stored(keyed_lines(docs))
+    seen = settled(table.where("id is not null").select("id", "line", "h1", "h2"))
     exact = seen.groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n"))
     lines = settled(exact.select(F.col("h1").alias("node"), "h2", "first", "n"))
     pairs, crowded = candidates(table.where("key is not null").select("key", F.col("h1").alias("node")))
@@ -153,14 +182,12 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     links = verify(pairs, place, docs, similarity)
     tidy(spark)
     groups = settled(connected(links, "a", "b"))
-    # buckets that stayed crowded and whose lines aren't all in one group by now: compare what is in different groups
+    # crowded buckets whose lines aren't all in one group by now: compare all that are in different groups
     sorted_out = crowded.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_keys = sorted_out.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     rest = settled(sorted_out.join(open_keys, "key").select("key", "node", "component"))
     if not rest.isEmpty():
-        left, right = (rest.select("key", F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-        more = settled(left.join(right, "key").where("ca < cb").select("a", "b").distinct())
-        groups = settled(connected(links.unionByName(verify(more, place, docs, similarity)), "a", "b"))
+        groups = settled(connected(links.unionByName(verify(apart(rest, place, docs, similarity), place, docs, similarity)), "a", "b"))
     members = groups.join(lines.select("node", "first"), "node")
     kept = members.groupBy("component").agg(F.min_by("node", "first").alias("node")).select("node")
     lost = groups.select("node").join(kept, "node", "left_anti").withColumn("lost", F.lit(True))
