@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusmill.llm import fuzzy_lines, graph, simhash_pivots, suffix_automaton
 from corpusmill.llm.queries import OP5_SQL
 
@@ -179,7 +180,7 @@ def test_fuzzy_lines_like_all_pairs(spark, monkeypatch, bucket):
     assert fuzzy_lines.dedup_lines(frame.where("false")).count() == 0
 
 
-def test_crowded_buckets_lose_no_links(spark):
+def crowd():
     """Lines that share one block with a hundred others, and are like one of these that isn't the first there."""
     random.seed(8)
     letters = "abcdefghijklmnopqrstuvwxyz"
@@ -188,13 +189,24 @@ def test_crowded_buckets_lose_no_links(spark):
     opening = " ".join(f"opening{k}" for k in range(12))
     filler = [[f"filler{k}x{i}" for i in range(12)] for k in range(60)]
     long = [f"{opening} {' '.join(f)}" for f in filler] + [f"{opening} {' '.join([*f[:-1], 'changed'])}" for f in filler]
-    docs = list(enumerate([f"alpha beta gamma {e}" for e in ends] + long))
+    return list(enumerate([f"alpha beta gamma {e}" for e in ends] + long))
+
+
+def test_crowded_buckets_lose_no_links(spark):
+    docs = crowd()
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     want = {i: t for i, t in deduped_by_loops(docs).items() if t}
     assert 100 < len(want) <= len(docs) // 2
     assert {r.doc_id: r.text for r in fuzzy_lines.dedup_lines(frame).collect() if r.text} == want
 
 
+def test_line_dedup_stage_of_crowded_buckets(spark):
+    docs = crowd()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {i for i, t in deduped_by_loops(docs).items() if t}
+    assert {r.doc_id for r in corpus_pipeline.line_dedup(spark, frame, "").collect()} == want
+
+
 def test_recall_of_like_lines_without_blocks(spark):
     """Of all pairs of lines of the table at the similarity, found by comparing every line with every other, nine tenths end in one group."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
