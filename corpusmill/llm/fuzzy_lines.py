@@ -111,51 +111,100 @@ def candidates(keyed: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataF
     return settled(reduce(DataFrame.unionByName, pairs).distinct()), many.select("key", "node")
 
 
-def words_of(nodes: DataFrame, place: DataFrame, docs: DataFrame) -> DataFrame:
-    """node, words of the distinct nodes. place: node, id, line (where to find its text); docs: id, text."""
+def spelled_lines(nodes: DataFrame, place: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, letters (one for each word), norm (the words of a line with at most FEW_WORDS, else null) of the distinct nodes.
+
+    place: node, id, line (where to find its text); docs: id, text. Only the lines in question leave their documents.
+    """
     wanted = nodes.join(place, "node").groupBy("id").agg(F.collect_list(F.struct("line", "node")).alias("want"))
     found = docs.join(wanted, "id").select(F.split("text", "\n").alias("all"), F.explode("want").alias("w"))
-    return found.select(F.col("w.node").alias("node"), line_words(F.get("all", F.col("w.line"))).alias("words"))
+    words = found.select(F.col("w.node").alias("node"), line_words(F.get("all", F.col("w.line"))).alias("words"))
+    short = F.when(F.size("words") <= FEW_WORDS, F.array_join("words", " "))
+    return words.select("node", word_letters(F.col("words")).alias("letters"), short.alias("norm")).dropDuplicates(["node"])
+
 
+def _allowed(longer: Column, similarity: float) -> Column:
+    """Edits that lines may have of which the longer has so many words or characters."""
+    return F.floor(longer * (1 - similarity) + 1e-9).cast("int")
 
-def apart(rest: DataFrame, place: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of lines in different groups of a bucket, without those that can't have the similarity.
 
-    rest: key, node, component. An edit of words changes two bits at most of 256 that say whether an odd number of words
-    falls to each; of two lines with at most FEW_WORDS the lengths are compared.
+def word_facts(text: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """node, n (words), size (characters, of a short line), bits, telling: what lines of the similarity in words have in common.
+
+    text: spelled_lines of the nodes. The k-th occurrence of a word is an element. bits (of 512) say whether an odd number of
+    elements falls to each, so lines differ in as many elements as bits, at least. telling are the rarest elements of a line, one
+    more than a line of the similarity can lack: two such lines share a telling element.
     """
-    words = words_of(rest.select("node").distinct(), place, docs).dropDuplicates(["node"])
-    each = words.select("node", F.size("words").alias("n"), F.length(F.array_join("words", " ")).alias("size"), F.explode("words").alias("word")).withColumn("h", F.xxhash64("word"))
+    sized = text.select("node", F.length("letters").alias("n"), F.length("norm").alias("size"), F.explode(F.split("letters", "")).alias("word"))
+    times = sized.groupBy("node", "n", "size", "word").agg(F.count("*").alias("times"))
+    each = times.select("node", "n", "size", F.explode(F.transform(F.sequence(F.lit(1), F.col("times").cast("int")), lambda k: F.xxhash64("word", k))).alias("h"))
+    each = settled(each)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
-    part = F.shiftright("h", 6).bitwiseAND(3)
-    facts = each.groupBy("node", "n", "size").agg(*(F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in range(4)))
-    known = settled(rest.join(facts, "node"))
-    left, right = (known.select("key", *(F.col(c).alias(c + x) for c in ("node", "component", "n", "size", "b0", "b1", "b2", "b3"))) for x in "ab")
+    part = F.shiftright("h", 6).bitwiseAND(7)
+    bits = F.array(*(F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))) for i in range(8)))
+    ranked = each.join(each.groupBy("h").agg(F.count("*").alias("held")), "h")
+    facts = ranked.groupBy("node", "n", "size").agg(bits.alias("bits"), F.sort_array(F.collect_list(F.struct("held", "h"))).alias("order"))
+    return facts.select("node", "n", "size", "bits", F.slice(F.col("order.h"), F.lit(1), _allowed(F.col("n"), similarity) + 1).alias("telling"))
+
+
+def _fits(similarity: float) -> Column:
+    """Lines with n, bits of the suffixes a and b can have the similarity in words: of two lines one has (bits + difference of
+    n) / 2 elements that the other lacks, and each is an edit."""
+    apart = sum(F.bit_count(F.get("bitsa", F.lit(i)).bitwiseXOR(F.get("bitsb", F.lit(i)))) for i in range(8))
+    fewer = F.abs(F.col("na") - F.col("nb"))
+    allowed = _allowed(F.greatest("na", "nb"), similarity)
+    return (fewer <= allowed) & (apart + fewer <= 2 * allowed)
+
+
+def _telling(rest: DataFrame, facts: DataFrame) -> DataFrame:
+    """at (a telling element), node, component, keys (its crowded buckets), n, bits."""
+    held = rest.groupBy("node", "component").agg(F.collect_set("key").alias("keys"))
+    return settled(held.join(facts, "node").select(F.explode("telling").alias("at"), "node", "component", "keys", "n", "bits"))
+
+
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    left, right = (rows.select("at", *(F.col(c).alias(c + x) for c in ("node", "component", "keys", "n", "bits"))) for x in "ab")
+    return left, right
+
+
+def led_pairs(known: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of lines with the first and the last line that share a telling element and a bucket with them, in other groups. known: as _telling gives it."""
+    leaders = known.groupBy("at").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("at", F.explode(F.array("x", "y")).alias("node"))
+    left, right = _sides(known.join(leaders, ["at", "node"]))[0], _sides(known)[1]
+    return _met(left, right, F.col("componenta") != F.col("componentb"), similarity)
 
-    def allowed(c: str) -> Column:
-        return F.floor(F.greatest(c + "a", c + "b") * (1 - similarity) + 1e-9)
 
-    bits = sum(F.bit_count(F.col(f"b{i}a").bitwiseXOR(F.col(f"b{i}b"))) for i in range(4))
-    by_words = (F.abs(F.col("na") - F.col("nb")) <= allowed("n")) & (bits <= 2 * allowed("n"))
-    by_letters = (F.greatest("na", "nb") <= FEW_WORDS) & (F.abs(F.col("sizea") - F.col("sizeb")) <= allowed("size"))
-    met = left.join(right, (left["key"] == right["key"]) & (F.col("componenta") < F.col("componentb")) & (by_words | by_letters))
-    return settled(met.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
+def all_pairs(known: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """All pairs (a, b) of lines that share a telling element and a bucket, in different groups. known: as _telling gives it."""
+    left, right = _sides(known)
+    return _met(left, right, F.col("componenta") < F.col("componentb"), similarity)
 
 
-def verify(pairs: DataFrame, place: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def _met(left: DataFrame, right: DataFrame, apart: Column, similarity: float) -> DataFrame:
+    met = left.join(right, (left["at"] == right["at"]) & apart & _fits(similarity) & F.arrays_overlap("keysa", "keysb"))
+    return settled(met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct())
+
+
+def short_pairs(rest: DataFrame, facts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of short lines in different groups of a bucket whose lengths allow the similarity in characters."""
+    known = rest.join(facts.where("n <= %d" % FEW_WORDS).select("node", "size"), "node")
+    left, right = (known.select("key", *(F.col(c).alias(c + x) for c in ("node", "component", "size"))) for x in "ab")
+    near = F.abs(F.col("sizea") - F.col("sizeb")) <= _allowed(F.greatest("sizea", "sizeb"), similarity)
+    met = left.join(right, (left["key"] == right["key"]) & (F.col("componenta") < F.col("componentb")) & near)
+    return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+
+
+def verify(pairs: DataFrame, text: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose lines have the edit similarity.
 
-    place and docs are as in words_of. Only the lines in question leave their documents. Edits of long lines are counted
-    only where few enough words are in one line alone: every such word is an edit at least.
+    text: spelled_lines of the nodes. Edits of long lines are counted only where few enough words are in one line alone:
+    every such word is an edit at least.
     """
-    words = words_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), place, docs)
-    short = F.when(F.size("words") <= FEW_WORDS, F.array_join("words", " "))
-    text, path = stored(words.select("node", word_letters(F.col("words")).alias("letters"), short.alias("norm")))
-    one, two = (text.select(F.col("node").alias(x), F.col("letters").alias(f"l{x}"), F.col("norm").alias(f"n{x}")).dropDuplicates([x]) for x in "ab")
+    one, two = (text.select(F.col("node").alias(x), F.col("letters").alias(f"l{x}"), F.col("norm").alias(f"n{x}")) for x in "ab")
 
     def close(x: str, y: str, bound: Column = F.lit(True)) -> Column:
         longer = F.greatest(F.length(x), F.length(y))
-        allowed = F.floor(longer * (1 - similarity) + 1e-9).cast("int")
+        allowed = _allowed(longer, similarity)
         near = F.call_function("levenshtein", F.col(x), F.col(y), allowed) >= 0  # -1: more edits than allowed
         return F.when((longer - F.least(F.length(x), F.length(y)) <= allowed) & bound, near).otherwise(F.lit(False))
 
@@ -163,9 +212,40 @@ def verify(pairs: DataFrame, place: DataFrame, docs: DataFrame, similarity: floa
         longer = F.greatest(F.length(x), F.length(y))
         return (longer <= COUNTED) | (F.size(F.array_except(F.split(x, ""), F.split(y, ""))) <= longer * (1 - similarity) + 1e-9)
 
-    links = settled(pairs.join(one, "a").join(two, "b").where(close("la", "lb", alone("la", "lb") & alone("lb", "la")) | F.coalesce(close("na", "nb"), F.lit(False))).select("a", "b"))
-    discard(docs.sparkSession, path)
-    return links
+    return settled(pairs.join(one, "a").join(two, "b").where(close("la", "lb", alone("la", "lb") & alone("lb", "la")) | F.coalesce(close("na", "nb"), F.lit(False))).select("a", "b"))
+
+
+def regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """groups (node, component) joined by links (a, b) of their lines or of lines without a group."""
+    ends = links
+    for x in "ab":
+        of = groups.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+        ends = ends.join(of, x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    joined = settled(connected(ends, "ca", "cb"))
+    single = joined.select("node", F.col("node").alias("component")).join(groups, "node", "left_anti")
+    new = joined.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    return settled(groups.unionByName(single).join(new, "component", "left").select("node", F.coalesce("new", "component").alias("component")))
+
+
+def open_members(crowded: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, node, component of the crowded buckets whose lines aren't all in one group."""
+    placed = crowded.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    return settled(placed.join(keys, "key").select("key", "node", "component"))
+
+
+def sorted_out(crowded: DataFrame, groups: DataFrame, text: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """groups after all lines of crowded buckets that are in different groups are compared, but for pairs that can't have the
+    similarity. Groups are joined by way of the leaders first, so that few lines of one group are left to be compared."""
+    rest = open_members(crowded, groups)
+    if rest.isEmpty():
+        return groups
+    facts = settled(word_facts(text.join(rest.select("node").distinct(), "node"), similarity))
+
+    groups = regrouped(groups, verify(led_pairs(_telling(rest, facts), similarity), text, similarity))
+    rest = open_members(rest.select("key", "node"), groups)
+    left = all_pairs(_telling(rest, facts), similarity).unionByName(short_pairs(rest, facts, similarity)).distinct()
+    return regrouped(groups, verify(left, text, similarity))
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -179,15 +259,11 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     discard(spark, path)
     tidy(spark)
     place = lines.select("node", "first.id", "first.line")
-    links = verify(pairs, place, docs, similarity)
+    text, path = stored(spelled_lines(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), place, docs))
+    groups = settled(connected(verify(pairs, text, similarity), "a", "b"))
     tidy(spark)
-    groups = settled(connected(links, "a", "b"))
-    # crowded buckets whose lines aren't all in one group by now: compare all that are in different groups
-    sorted_out = crowded.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_keys = sorted_out.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = settled(sorted_out.join(open_keys, "key").select("key", "node", "component"))
-    if not rest.isEmpty():
-        groups = settled(connected(links.unionByName(verify(apart(rest, place, docs, similarity), place, docs, similarity)), "a", "b"))
+    groups = sorted_out(crowded, groups, text, similarity)
+    discard(spark, path)
     members = groups.join(lines.select("node", "first"), "node")
     kept = members.groupBy("component").agg(F.min_by("node", "first").alias("node")).select("node")
     lost = groups.select("node").join(kept, "node", "left_anti").withColumn("lost", F.lit(True))

@@ -207,6 +207,29 @@ def test_line_dedup_stage_of_crowded_buckets(spark):
     assert {r.doc_id for r in corpus_pipeline.line_dedup(spark, frame, "").collect()} == want
 
 
+def counted(monkeypatch, module):
+    """Numbers of pairs that a module verifies, one for each call."""
+    seen, verify = [], module.verify
+    monkeypatch.setattr(module, "verify", lambda pairs, *more: seen.append(pairs.count()) or verify(pairs, *more))
+    return seen
+
+
+@pytest.mark.parametrize("stage", [fuzzy_lines.dedup_lines, lambda docs: corpus_pipeline.line_dedup(docs.sparkSession, docs, "")], ids=["op6", "pipeline"])
+def test_crowded_buckets_compare_few_pairs(spark, monkeypatch, stage):
+    """Lines that share an opening and a block, all other words twice: only near copies are verified, not all pairs of the bucket."""
+    random.seed(8)
+    opening = [f"opening{k}" for k in range(60)]
+    lines = []
+    for k in range(120):
+        words = [f"filler{k}x{i}" for i in range(12)] * 2
+        lines += [" ".join([*opening, *words]), " ".join([*opening, *words[:-1], "changed"])]
+    docs = list(enumerate(random.sample(lines, len(lines))))
+    seen = counted(monkeypatch, fuzzy_lines)
+    left = {r.doc_id: r.text for r in stage(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.text}
+    assert left == {i: t for i, t in deduped_by_loops(docs).items() if t} and len(left) == 120
+    assert len(seen) == 3 and sum(seen) < 2000  # of 28,680 pairs
+
+
 def test_recall_of_like_lines_without_blocks(spark):
     """Of all pairs of lines of the table at the similarity, found by comparing every line with every other, nine tenths end in one group."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
