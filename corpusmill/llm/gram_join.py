@@ -35,6 +35,9 @@ FREQUENT, VERY_FREQUENT = 16, 1 << 10
 MOST_FREQUENT = 1 << 19
 #: Shingles that a task counts at once.
 COUNTED = 1 << 22
+#: Bits of a set's bitmap, and of the wider one that sets of more than LONG_SET shingles also have: 256 bits of disjoint long sets
+#: differ in no more than about half, as those of alike ones may.
+BITS, WIDE_BITS, LONG_SET = 256, 2048, 256
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -62,17 +65,18 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both) and both > 0
 
 
-def bitmap(x: np.ndarray) -> np.ndarray:
-    """256 bits: whether an odd number of shingles falls to each. Sets differ in as many shingles as bits, at least."""
-    odd = np.bincount((x.view(np.uint64) >> np.uint64(8)).astype(np.int64) & 255, minlength=256) & 1
+def bitmap(x: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Whether an odd number of shingles falls to each bit. Sets differ in as many shingles as bits, at least."""
+    odd = np.bincount((x.view(np.uint64) >> np.uint64(8)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
 def scan(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One read of the texts: id, n (shingles), h1, h2 (of the set), b1 to b4 (bitmap) of each; and rows without these for
-    shingles that a task met repeatedly: key, times. docs: id, text."""
+    """One read of the texts: id, n (shingles), h1, h2 (of the set), b1 to b4 (bitmap), wide (the wider one, null for a set that has none)
+    of each; and rows without these for shingles that a task met repeatedly: key, times. docs: id, text."""
     sized = docs.select("id", "text")
-    schema = T.StructType([sized.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "h1", "h2", "b1", "b2", "b3", "b4", "key", "times"))])
+    kinds = dict.fromkeys(("n", "h1", "h2", "b1", "b2", "b3", "b4", "wide", "key", "times"), T.LongType()) | {"wide": T.ArrayType(T.LongType())}
+    schema = T.StructType([sized.schema["id"], *(T.StructField(c, t) for c, t in kinds.items())])
     kind = pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,21 +87,22 @@ def scan(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             if held:
                 keys, times = np.unique(np.concatenate(held), return_counts=True)
                 keys, times = keys[times > 1], times[times > 1]
-                none = [pa.nulls(len(keys), arrow.field(i).type) for i in range(8)]
+                none = [pa.nulls(len(keys), arrow.field(i).type) for i in range(9)]
                 yield pa.RecordBatch.from_arrays([*none, pa.array(keys, kind), pa.array(times, kind)], schema=arrow)
 
         for batch in batches:
             for piece in slices(batch, 1):
-                rows = np.zeros((7, piece.num_rows), np.int64)
+                rows, wide = np.zeros((7, piece.num_rows), np.int64), []
                 for i, text in enumerate(piece.column(1).to_pylist()):
                     x = shingles(text, shingle)
                     digest = xxhash.xxh3_128_intdigest(x.tobytes())
                     rows[:3, i] = len(x), (digest & (2**64 - 1)) - 2**63, (digest >> 64) - 2**63
                     rows[3:, i] = bitmap(x)
+                    wide.append(bitmap(x, WIDE_BITS) if len(x) > LONG_SET else None)
                     held.append(x)
                     size += len(x)
-                columns = [piece.column(0), *(pa.array(r, kind) for r in rows), *(pa.nulls(piece.num_rows, kind) for _ in range(2))]
-                arrow = arrow or pa.schema([piece.schema.field(0), *(pa.field(f.name, kind) for f in schema.fields[1:])])
+                columns = [piece.column(0), *(pa.array(r, kind) for r in rows), pa.array(wide, pa.list_(kind)), *(pa.nulls(piece.num_rows, kind) for _ in range(2))]
+                arrow = arrow or pa.schema([piece.schema.field(0), *(pa.field(c, pa.list_(kind) if c == "wide" else kind) for c in kinds)])
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
                 if size >= COUNTED:
                     yield from repeated()
@@ -212,10 +217,24 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle: i
 
 
 def possible(a: str, b: str, percent: int) -> Column:
-    """Sets can have the similarity by their sizes and bitmaps: columns n, b1 to b4 with the suffixes a and b."""
+    """Sets can have the similarity by their sizes and bitmaps: columns n, b1 to b4, wide with the suffixes a and b."""
     x, y = F.col(f"n{a}"), F.col(f"n{b}")
+    allowed = (100 - percent) * (x + y)
     apart = sum(F.bit_count(F.col(f"b{i}{a}").bitwiseXOR(F.col(f"b{i}{b}"))) for i in range(1, 5))
-    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (apart * (100 + percent) <= (100 - percent) * (x + y))
+    each = F.zip_with(f"wide{a}", f"wide{b}", lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+    far = F.aggregate(each, F.lit(0), lambda total, v: total + v)  # null where one of them has no wide bitmap
+    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (apart * (100 + percent) <= allowed) & F.coalesce(far * (100 + percent) <= allowed, F.lit(True))
+
+
+def different_buckets(members: DataFrame) -> DataFrame:
+    """key, node, first (the smallest node there) of buckets of two and more: of those that hold the same nodes, one.
+
+    members: key, node, distinct. Near copies have many keys in common, and so many buckets are the same; these are told by their number of
+    nodes, the first one and 128 bits of all.
+    """
+    marks = [F.bit_xor(F.xxhash64(*more, "node")).alias(c) for c, more in (("s", []), ("t", [F.lit(1)]))]
+    sums = members.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"), *marks).where("n > 1")
+    return members.join(sums.groupBy("first", "n", "s", "t").agg(F.min("key").alias("key")).select("key", "first"), "key")
 
 
 def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -226,7 +245,7 @@ def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle:
     """
     spark = docs.sparkSession
     prints = scanned.where("times is null and n > 0 and id is not null")
-    facts = ["n", "b1", "b2", "b3", "b4"]
+    facts = ["n", "b1", "b2", "b3", "b4", "wide"]
     of_set = settled(prints.groupBy("h1", "h2").agg(F.min("id").alias("node"), *(F.first(c).alias(c) for c in facts)))
     placed = settled(prints.join(of_set.select("h1", "h2", "node"), ["h1", "h2"]).select("id", "node"))
     same = placed.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b")).distinct()
@@ -234,11 +253,11 @@ def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle:
     tidy(spark)
     buckets = settled(keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"))
     tidy(spark)
-    members = settled(keys.join(buckets, "key").join(placed, "id").select("key", "node").distinct())
+    held = settled(keys.join(buckets, "key").join(placed, "id").select("key", "node").distinct())
     discard(spark, path)
     tidy(spark)
-    firsts = members.groupBy("key").agg(F.min("node").alias("a"))
-    led = members.join(firsts, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    members = settled(different_buckets(held))
+    led = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     one, two = (of_set.select(F.col("node").alias(s), *(F.col(c).alias(c + s) for c in facts)) for s in "ab")
     asked = settled(led.join(one, "a").join(two, "b").where(possible("a", "b", percent)).select("a", "b"))
     found = settled(same.unionByName(verify(asked, docs, percent, shingle)))

@@ -8,7 +8,7 @@ import pytest
 
 from corpus_pipeline import near_dedup
 from corpusmill.llm import gram_join
-from tests.llm.test_dedup import groups_of, plain_fingerprint
+from tests.llm.test_dedup import counted, groups_of, plain_fingerprint
 
 
 def plain_set(text, shingle=4):
@@ -79,6 +79,26 @@ def test_groups_of_all_pairs(spark):
     assert sorted((r.n_shingles, str(r.component_id)) for r in out if r.doc_id is None) == [(1, "0"), (1, "None")]
 
 
+def test_long_texts_with_a_passage_in_common_are_not_verified(spark, monkeypatch):
+    """They meet by its shingles, and half of 256 bits are as many as alike sets of their size may differ in."""
+    random.seed(12)
+    passage = [f"p{k}" for k in range(300)]
+    rows = [" ".join([*passage, *(f"u{random.randrange(10**6)}" for _ in range(1200))]) for _ in range(12)]
+    rows.append(" ".join([*rows[3].split()[:-40], *(f"v{k}" for k in range(40))]))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    seen = counted(monkeypatch, gram_join)
+    assert {r.doc_id: r.component_id for r in gram_join.join_grams(docs).collect()} == {k: 3 if k == 12 else k for k in range(13)}
+    assert sum(seen) == 1
+
+
+def test_equal_buckets_count_once(spark):
+    rows = [(k, n) for k in range(40) for n in (3, 7, 9)] + [(k, n) for k in range(50, 55) for n in (3, 7)] + [(60, 5), (61, 5), (62, 9), (62, 5)]
+    kept = {}
+    for r in gram_join.different_buckets(spark.createDataFrame(rows, "key long, node long")).collect():
+        kept.setdefault((r.key, r.first), set()).add(r.node)
+    assert kept == {(0, 3): {3, 7, 9}, (50, 3): {3, 7}, (62, 5): {5, 9}}
+
+
 def test_empty_tables_and_bounds(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert gram_join.join_grams(docs).collect() == []
