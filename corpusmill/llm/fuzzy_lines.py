@@ -31,6 +31,8 @@ SHORT = 10
 BUCKET = 50
 #: Words of lines whose edits are counted without a look at the words that only one of them has.
 COUNTED = 100
+#: Slots that words of open crowded buckets are counted by; a byte of each goes to every task.
+SLOTS = 1 << 18
 #: White space that isn't a space.
 BLANKS = "\t\r\v\f\x85\xa0"
 
@@ -133,7 +135,8 @@ def word_facts(text: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     text: spelled_lines of the nodes. The k-th occurrence of a word is an element. bits (of 512) say whether an odd number of
     elements falls to each, so lines differ in as many elements as bits, at least. telling are the rarest elements of a line, one
-    more than a line of the similarity can lack: two such lines share a telling element.
+    more than a line of the similarity can lack: two such lines share a telling element. How rare they are is counted by slots of their hashes;
+    any order that is the same for all lines would do.
     """
     sized = text.select("node", F.length("letters").alias("n"), F.length("norm").alias("size"), F.explode(F.split("letters", "")).alias("word"))
     times = sized.groupBy("node", "n", "size", "word").agg(F.count("*").alias("times"))
@@ -142,8 +145,13 @@ def word_facts(text: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
     part = F.shiftright("h", 6).bitwiseAND(7)
     bits = F.array(*(F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))) for i in range(8)))
-    ranked = each.join(each.groupBy("h").agg(F.count("*").alias("held")), "h")
-    facts = ranked.groupBy("node", "n", "size").agg(bits.alias("bits"), F.sort_array(F.collect_list(F.struct("held", "h"))).alias("order"))
+    slot = F.col("h").bitwiseAND(SLOTS - 1).cast("int")
+    held = each.groupBy(slot.alias("slot")).agg(F.least(F.lit(255), F.floor(8 * F.log2(F.count("*")))).cast("int").alias("level")).toArrow()
+    levels = bytearray(SLOTS)
+    for at, level in zip(held.column("slot").to_pylist(), held.column("level").to_pylist(), strict=True):
+        levels[at] = level
+    rarity = F.substring(F.lit(levels), slot + 1, F.lit(1))
+    facts = each.groupBy("node", "n", "size").agg(bits.alias("bits"), F.sort_array(F.collect_list(F.struct(rarity.alias("held"), "h"))).alias("order"))
     return facts.select("node", "n", "size", "bits", F.slice(F.col("order.h"), F.lit(1), _allowed(F.col("n"), similarity) + 1).alias("telling"))
 
 
