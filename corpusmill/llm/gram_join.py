@@ -38,6 +38,8 @@ COUNTED = 1 << 22
 #: Bits of a set's bitmap, and of the wider one that sets of more than LONG_SET shingles also have: 256 bits of disjoint long sets
 #: differ in no more than about half, as those of alike ones may.
 BITS, WIDE_BITS, LONG_SET = 256, 2048, 256
+#: Smallest keys of a set by which the last comparison tells that two sets also meet elsewhere.
+TOLD = 4
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -237,6 +239,29 @@ def different_buckets(members: DataFrame) -> DataFrame:
     return members.join(sums.groupBy("first", "n", "s", "t").agg(F.min("key").alias("key")).select("key", "first"), "key")
 
 
+def open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, node, group, below of the buckets whose nodes aren't all in one group. members: key, node; groups: node, component.
+
+    below: of the TOLD smallest such keys of the node, those smaller than the row's own.
+    """
+    placed = members.join(groups.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("component", "node").alias("group"))
+    apart = placed.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
+    rest = settled(placed.join(apart, "key"))
+    least = rest.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, TOLD).alias("least"))
+    return rest.join(least, "node").select("key", "node", "group", F.filter("least", lambda k: k < F.col("key")).alias("below"))
+
+
+def open_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), few of them repeated, of nodes in different groups that meet and can have the similarity. rest: open_buckets with sizes and bitmaps.
+
+    Near copies meet by many keys. A pair with a smaller key in common that both know of is left to that one; by its smallest key it always counts.
+    """
+    facts = ["n", "b1", "b2", "b3", "b4", "wide"]
+    left, right = (rest.select("key", *(F.col(c).alias(c + s) for c in ("node", "group", "below", *facts))) for s in "ab")
+    met = (left["key"] == right["key"]) & (F.col("groupa") < F.col("groupb")) & possible("a", "b", percent) & ~F.arrays_overlap("belowa", "belowb")
+    return left.join(right, met).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
+
+
 def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) that connect all sets of the similarity, and none below it. docs: id, text; scanned: scan(docs), stored.
 
@@ -262,14 +287,10 @@ def links(docs: DataFrame, scanned: DataFrame, percent: int = PERCENT, shingle:
     asked = settled(led.join(one, "a").join(two, "b").where(possible("a", "b", percent)).select("a", "b"))
     found = settled(same.unionByName(verify(asked, docs, percent, shingle)))
     groups = settled(connected(found, "a", "b"))
-    open_members = members.join(groups.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("component", "node").alias("group"))
-    apart = open_members.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
-    rest = settled(open_members.join(apart, "key").join(of_set.drop("h1", "h2"), "node"))
+    rest = settled(open_buckets(members, groups).join(of_set.drop("h1", "h2"), "node"))
     tidy(spark)
-    left, right = (rest.select("key", *(F.col(c).alias(c + s) for c in ("node", "group", *facts))) for s in "ab")
-    more = left.join(right, (left["key"] == right["key"]) & (F.col("groupa") < F.col("groupb")) & possible("a", "b", percent))
     tried = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    new = settled(more.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    new = settled(open_pairs(rest, percent).distinct().join(tried, ["a", "b"], "left_anti"))
     return found.unionByName(verify(new, docs, percent, shingle))
 
 

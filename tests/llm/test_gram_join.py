@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpus_pipeline import near_dedup
 from corpusmill.llm import gram_join
@@ -99,6 +100,21 @@ def test_equal_buckets_count_once(spark):
     assert kept == {(0, 3): {3, 7, 9}, (50, 3): {3, 7}, (62, 5): {5, 9}}
 
 
+def test_sets_that_meet_by_many_keys_are_paired_once(spark):
+    """All pairs of different groups that meet, with few repeats: near copies have most of their keys in common."""
+    random.seed(6)
+    members = {(key, node) for key in range(-150, 150) for node in range(40) if random.random() < 0.9} | {(500 + node // 2, node) for node in range(90)}
+    groups = [(node, node - node % 4) for node in range(80)]
+    rest = gram_join.open_buckets(spark.createDataFrame(sorted(members), "key long, node long"), spark.createDataFrame(groups, "node long, component long"))
+    bits = [F.lit(0).cast("long").alias(f"b{i}") for i in range(1, 5)]
+    found = [(r.a, r.b) for r in gram_join.open_pairs(rest.select("*", F.lit(100).alias("n"), *bits, F.lit(None).cast("array<long>").alias("wide")), 85).collect()]
+    of, held = dict(groups), {}
+    for key, node in members:
+        held.setdefault(key, set()).add(node)
+    met = [p for nodes in held.values() for p in combinations(sorted(nodes), 2) if of.get(p[0], p[0]) != of.get(p[1], p[1])]
+    assert set(found) == set(met) and len(met) > 100 * len(set(met)) and len(found) < 2 * len(set(found))
+
+
 def test_empty_tables_and_bounds(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert gram_join.join_grams(docs).collect() == []
