@@ -68,10 +68,10 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, *partitions: str) -> tuple[DataFrame, str]:
-    """df written to the shared folder as compressed Parquet and read again, and its path for discard()."""
+def stored(df: DataFrame, *partitions: str, dictionary: bool = True) -> tuple[DataFrame, str]:
+    """df written to the shared folder as compressed Parquet and read again, and its path for discard(). dictionary: worth trying; tables of hashes only lose time by it."""
     path = shared_folder(df.sparkSession)
-    df.write.partitionBy(*partitions).parquet(path)
+    df.write.partitionBy(*partitions).option("parquet.enable.dictionary", dictionary).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

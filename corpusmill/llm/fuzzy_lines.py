@@ -37,10 +37,19 @@ SLOTS = 1 << 18
 BLANKS = "\t\r\v\f\x85\xa0"
 
 
+def spaced(text: Column) -> Column:
+    """A line, or lines, with spaces for other white space. Literal replacements: expressions take five times as long. Most texts need none."""
+    return F.when(text.rlike(f"[{BLANKS}]"), reduce(lambda c, blank: F.replace(c, F.lit(blank), F.lit(" ")), BLANKS, text)).otherwise(text)
+
+
+def spaced_words(line: Column) -> Column:
+    """Words of a line without other white space than spaces in lower case; an empty array for a blank one."""
+    return F.array_remove(F.split(F.lower(line), " "), "")
+
+
 def line_words(line: Column) -> Column:
-    """Words of a line in lower case; an empty array for a blank one. Literal replacements and splits: expressions take five times as long."""
-    spaced = reduce(lambda c, blank: F.replace(c, F.lit(blank), F.lit(" ")), BLANKS, F.lower(line))
-    return F.array_remove(F.split(spaced, " "), "")
+    """Words of a line in lower case; an empty array for a blank one."""
+    return spaced_words(spaced(line))
 
 
 def word_letters(words: Column) -> Column:
@@ -64,12 +73,13 @@ def keyed_lines(docs: DataFrame) -> DataFrame:
     docs: id, text. A row with an id is the occurrence itself, its key a hash of all words of a short line, else null; the
     others are blocks and have only h1 and key. A line whose number of words is near a change of the number of classes has the blocks of both.
     """
-    lines = docs.where("id is not null and text is not null").select("id", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    words = lines.where(F.col("body").rlike(r"[^\s\x85\xa0]")).select("id", "line", line_words(F.col("body")).alias("words")).withColumn("long", F.filter("words", lambda w: F.length(w) >= LONG_WORD))
+    texts = docs.where("id is not null and text is not null").select("id", spaced(F.col("text")).alias("text"))
+    lines = texts.select("id", F.posexplode_outer(F.split("text", "\n")).alias("line", "body"))
+    words = lines.where(F.col("body").rlike("[^ ]")).select("id", "line", spaced_words(F.col("body")).alias("words")).withColumn("long", F.filter("words", lambda w: F.length(w) >= LONG_WORD))
     telling = F.when(F.size("long") < 3, F.col("words")).otherwise(F.col("long"))
     hashes = F.sort_array(F.array_distinct(F.transform(telling, lambda w: F.xxhash64(w))))
     spelled = words.select("id", "line", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit("second"), "words").alias("h2"), hashes.alias("s")).withColumn("n", F.size("s"))
-    # no array below is empty: the outer form of explode keeps Spark from computing them once more to filter by their size
+    # no array here is empty: the outer form of explode keeps Spark from computing them once more to filter by their size
     modes = F.array_distinct(F.array(_classes(F.col("n")), _classes(F.ceil(F.col("n") * SIMILARITY))))
     every = F.aggregate("s", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h))
     whole = F.when(F.array_contains("modes", -1), every)
@@ -259,7 +269,7 @@ def sorted_out(crowded: DataFrame, groups: DataFrame, text: DataFrame, similarit
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The lines to drop: id, drop (array of line numbers from 0). docs: id, text."""
     spark = docs.sparkSession
-    table, path = stored(keyed_lines(docs))
+    table, path = stored(keyed_lines(docs), dictionary=False)
     seen = settled(table.where("id is not null").select("id", "line", "h1", "h2"))
     exact = seen.groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n"))
     lines = settled(exact.select(F.col("h1").alias("node"), "h2", "first", "n"))

@@ -1,3 +1,4 @@
+import glob
 import math
 import random
 import time
@@ -5,12 +6,13 @@ from itertools import combinations
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusmill.llm import fuzzy_lines, graph, simhash_pivots, suffix_automaton
+from corpusmill.llm import batches, fuzzy_lines, graph, simhash_pivots, suffix_automaton
 from corpusmill.llm.queries import OP5_SQL
 
 
@@ -230,6 +232,20 @@ def test_crowded_buckets_compare_few_pairs(spark, monkeypatch, stage):
     assert len(seen) == 3 and sum(seen) < 2000  # of 28,680 pairs
 
 
+def test_lines_of_texts_with_any_white_space(spark):
+    """Texts are made even once, before they are cut: lines and words are those of each line alone, and the stored table of hashes tries no dictionary."""
+    texts = ["One\ttwo\r\n \x85\n\xa0three\x0bfour\x0cFIVE ", "plain line\n\n  \nΟΔΟΣ Σ\nΣ\tİx", "\r", "", "one two\nlast\t"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    table, path = batches.stored(fuzzy_lines.keyed_lines(docs), dictionary=False)
+    lines = [(k, i, line) for k, text in enumerate(texts) for i, line in enumerate(text.split("\n")) if line.strip()]
+    each = spark.createDataFrame(lines, "id long, line int, body string").withColumn("words", fuzzy_lines.line_words(F.col("body"))).cache()
+    assert [r.words for r in each.orderBy("id", "line").collect()] == [["one", "two"], ["three", "four", "five"], ["plain", "line"], ["οδος", "σ"], ["σ", "i̇x"], ["one", "two"], ["last"]]
+    assert {tuple(r) for r in table.where("id is not null").select("id", "line", "h1").collect()} == {tuple(r) for r in each.select("id", "line", F.xxhash64("words")).collect()}
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path.removeprefix('file:')}/*.parquet")]
+    written = [file.row_group(i) for file in files for i in range(file.num_row_groups)]
+    assert written and not any(group.column(i).has_dictionary_page for group in written for i in range(group.num_columns))
+
+
 def test_recall_of_like_lines_without_blocks(spark):
     """Of all pairs of lines of the table at the similarity, found by comparing every line with every other, nine tenths end in one group."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
