@@ -246,6 +246,41 @@ def test_lines_of_texts_with_any_white_space(spark):
     assert written and not any(group.column(i).has_dictionary_page for group in written for i in range(group.num_columns))
 
 
+def test_blocks_of_lines_come_once(spark):
+    """Lines of any number of words have the blocks of the loops; where both numbers of classes share a block it is one row, not two."""
+    lines = [" ".join(f"word{n}x{k}" for k in range(n)) for n in range(1, 90)] + ["a b c", "a bb cc dddd", "same same same words words four"]
+    keyed = fuzzy_lines.keyed_lines(spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "id long, text string")).collect()
+    node = {r.h1: r.id for r in keyed if r.id is not None}
+    keys = [(node[r.h1], r.key % 2**64) for r in keyed if r.key is not None]
+    assert set(keys) == {(n, key) for n, line in enumerate(lines) for key in plain_blocks(line.split())}
+    assert len(keys) == len(set(keys)) and len(node) == len(lines)
+
+
+def test_edits_of_long_lines_by_pieces(spark):
+    """Edits that are counted piece by piece first link the lines that the edits of whole lines link, those moved by a word too."""
+    random.seed(5)
+    pairs = []
+    for n in (101, 150, 263):
+        words = [f"w{random.randrange(60)}" for _ in range(n)]
+        for share in (0.02, 0.19, 0.2, 0.21, 0.3):
+            places = random.sample(range(n), int(n * share))
+            pairs += [(words, [f"new{k}" if k in places else w for k, w in enumerate(words)]), (words, [w for k, w in enumerate(words) if k not in places]), (words, words[len(places) // 2 :] + words[: len(places) // 2])]
+    rows = [(2 * k + i, words) for k, pair in enumerate(pairs) for i, words in enumerate(pair)]
+    text = spark.createDataFrame(rows, "node long, words array<string>").select("node", fuzzy_lines.word_letters(F.col("words")).alias("letters"), F.lit(None).cast("string").alias("norm"))
+    found = fuzzy_lines.verify(spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(pairs))], "a long, b long"), text)
+    assert {r.a // 2 for r in found.collect()} == {k for k, (x, y) in enumerate(pairs) if edits(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9)}
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_first_of_equal_lines_by_id(spark, kind):
+    """The first occurrence is that of the smallest id, then line, for ids of any range and of other types."""
+    ids = [-(2**63), -7, 0, 5, 2**63 - 1]
+    ids = ids if kind == "long" else sorted(str(i) for i in ids)
+    docs = [(i, "same words here\nsame words here") for i in reversed(ids)]
+    out = {r.doc_id: r.n_dropped for r in fuzzy_lines.dedup_lines(spark.createDataFrame(docs, f"doc_id {kind}, text string")).collect()}
+    assert out == {i: 1 if i == ids[0] else 2 for i in ids}
+
+
 def test_recall_of_like_lines_without_blocks(spark):
     """Of all pairs of lines of the table at the similarity, found by comparing every line with every other, nine tenths end in one group."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
