@@ -140,12 +140,12 @@ def candidates(keyed: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataF
     return settled(reduce(DataFrame.unionByName, pairs).distinct()), many.select("key", "node")
 
 
-def spelled_lines(nodes: DataFrame, place: DataFrame, docs: DataFrame, where: list[Column]) -> DataFrame:
+def spelled_lines(nodes: DataFrame, place: DataFrame, docs: DataFrame, line: Column) -> DataFrame:
     """node, letters (one for each word), norm (the words of a line with at most FEW_WORDS, else null) of the distinct nodes.
 
-    place: node, first (where to find its text; `where` gives id and line from it); docs: id, text. Only the lines in question leave their documents.
+    place: node, id, first (where to find its text; `line` gives the line from first); docs: id, text. Only the lines in question leave their documents.
     """
-    wanted = place.join(_looked_up(nodes), "node").select("node", *where).groupBy("id").agg(F.collect_list(F.struct("line", "node")).alias("want"))
+    wanted = place.join(_looked_up(nodes), "node").select("node", "id", line.alias("line")).groupBy("id").agg(F.collect_list(F.struct("line", "node")).alias("want"))
     found = docs.join(_looked_up(wanted), "id").select(F.split("text", "\n").alias("all"), F.explode("want").alias("w"))
     words = found.select(F.col("w.node").alias("node"), line_words(F.get("all", F.col("w.line"))).alias("words"))
     short = F.when(F.size("words") <= FEW_WORDS, F.array_join("words", " "))
@@ -291,16 +291,15 @@ def sorted_out(crowded: DataFrame, groups: DataFrame, text: DataFrame, similarit
     return regrouped(groups, verify(left, text, similarity))
 
 
-def _occurrence(kind: T.DataType) -> tuple[Column, list[Column]]:
-    """id and line of a row as one value that is ordered as they are, and both of them from such a value `first`.
+def _occurrence(kind: T.DataType) -> tuple[Column, Column]:
+    """id and line of a row as one value that is ordered as they are, and the line of such a value `first`.
 
     Whole numbers make one number, of which Spark hashes minima; it sorts rows for those of a struct.
     """
     if not isinstance(kind, T.IntegralType):
-        return F.struct("id", "line"), [F.col("first.id"), F.col("first.line")]
+        return F.struct("id", "line"), F.col("first.line")
     lines = F.lit(Decimal(1 << 32))
-    line = F.pmod("first", lines)
-    return F.col("id").cast("decimal(20,0)") * lines + F.col("line"), [F.call_function("div", F.col("first") - line, lines).cast(kind).alias("id"), line.cast("int").alias("line")]
+    return F.col("id").cast("decimal(20,0)") * lines + F.col("line"), F.pmod("first", lines).cast("int")
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -308,14 +307,14 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     spark = docs.sparkSession
     table, path = stored(keyed_lines(docs), dictionary=False)
     seen = settled(table.where("id is not null").select("id", "line", "h1", "h2"))
-    at, where = _occurrence(docs.schema["id"].dataType)
-    exact = seen.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n"))
-    lines = settled(exact.select(F.col("h1").alias("node"), "h2", "first", "n"))
+    at, line = _occurrence(docs.schema["id"].dataType)
+    exact = seen.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.min("id").alias("id"), F.count("*").alias("n"))
+    lines = settled(exact.select(F.col("h1").alias("node"), "h2", "first", "id", "n"))
     pairs, crowded = candidates(table.where("key is not null").select("key", F.col("h1").alias("node")))
     discard(spark, path)
     tidy(spark)
-    place = lines.select("node", "first")
-    text, path = stored(spelled_lines(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), place, docs, where))
+    place = lines.select("node", "id", "first")
+    text, path = stored(spelled_lines(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), place, docs, line))
     groups = settled(connected(verify(pairs, text, similarity), "a", "b"))
     tidy(spark)
     groups = sorted_out(crowded, groups, text, similarity)
