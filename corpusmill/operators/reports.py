@@ -26,9 +26,22 @@ def memory_heavy(log: DataFrame, limit_mb: float = 100.0) -> DataFrame:
     return log.where(F.col("mem_delta_mb") > limit_mb).select("path", "mem_delta_mb")
 
 
+#: Sums of decimals don't depend on the order of the rows; a value has 18 places and may go up to 1e20.
+EXACT = "decimal(38,18)"
+
+
 def sample_report(samples: DataFrame) -> DataFrame:
-    """A10: run_id, peak, mean (1 place), net (last minus first by ts, 4 places)."""
-    return samples.groupBy("run_id").agg(F.max("value").alias("peak"), F.round(F.avg("value"), 1).alias("mean"), F.round(F.max_by("value", "ts") - F.min_by("value", "ts"), 4).alias("net"))
+    """A10: run_id, peak, mean (1 place), net (last minus first by ts, 4 places). Null values don't count.
+
+    The mean is that of the values as written in decimals, so a tie such as 54.35 goes up in any order of the rows. Runs with values
+    that such decimals can't hold (not a number, infinite, too large) have the mean of the doubles.
+    """
+    exact, ts = F.col("value").try_cast(EXACT), F.when(F.col("value").isNotNull(), F.col("ts"))
+    sums = samples.groupBy("run_id").agg(
+        F.max("value").alias("peak"), F.try_sum(exact).alias("sum"), F.count(exact).alias("held"), F.count("value").alias("n"), F.avg("value").alias("avg"), (F.max_by("value", ts) - F.min_by("value", ts)).alias("net")
+    )
+    mean = F.when(F.col("held") == F.col("n"), F.round(F.try_divide(F.col("sum"), F.col("n").cast("decimal(20,0)")), 1).cast("double"))
+    return sums.select("run_id", "peak", F.coalesce(mean, F.round("avg", 1)).alias("mean"), F.round("net", 4).alias("net"))
 
 
 def stage_deltas(samples: DataFrame) -> DataFrame:
