@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,3 +23,9 @@ def written(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of tables that nothing refers to any more, such as those that are written now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

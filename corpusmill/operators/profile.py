@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusmill.functions.scratch import written
 from corpusmill.functions.text import TABLE_PIPES, TABLE_TABS, occurrences, stripped
 
 SAMPLE_PAGES = 5
@@ -15,9 +16,10 @@ DENSITY_LOW, DENSITY_HIGH = 0.05, 2.5
 def sample_pages(pages: DataFrame) -> DataFrame:
     """Up to five pages of a file, evenly spaced; all of a file with at most five.
 
-    pages: path, page_no (from 0), text. The pages of a file are counted, not gathered; the other columns stay.
+    pages: path, page_no (from 0), text. The pages of a file are counted, not gathered; the other columns stay. The counts, a
+    row a file, are written first: where they are known to be small, no page moves to meet them.
     """
-    counts = pages.groupBy(F.col("path").alias("_path")).agg(F.count("*").alias("_n"))
+    counts = written(pages.groupBy(F.col("path").alias("_path")).agg(F.count("*").alias("_n")))
     step = F.greatest(F.floor(F.col("_n") / SAMPLE_PAGES), F.lit(1))
     sampled = pages.join(counts, pages["path"].eqNullSafe(counts["_path"]))
     return sampled.where((F.col("page_no") % step == 0) & (F.col("page_no") / step < SAMPLE_PAGES)).select(*pages.columns)

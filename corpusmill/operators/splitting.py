@@ -6,14 +6,16 @@ number at every step, so that steps can be chained without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from corpusmill.functions.numbering import numbered
-from corpusmill.functions.scratch import written
+from corpusmill.functions.numbering import before, numbered, same
+from corpusmill.functions.scratch import let_go, written
 from corpusmill.functions.text import KOREAN_SEPARATORS, SEPARATORS, is_korean, separators, stripped
-from corpusmill.operators.recursive import OVERLAP, SIZE, check_sizes, split_column
+from corpusmill.operators.recursive import OVERLAP, SIZE, check_sizes, split_column, split_text
 from corpusmill.operators.routing import CODE_PATTERN, STEPS, TABLE_PATTERN
 
 #: A newline before a line that reads as a header once stripped.
@@ -135,43 +137,78 @@ def _or_null(parts: Column) -> Column:
     return F.when(F.size(parts) > 0, parts)
 
 
-def split_by_strategy(pages: DataFrame, strategies: DataFrame, size: int | None = None) -> DataFrame:
+def split_by_strategy(pages: DataFrame, strategies: DataFrame, size: int | None = None, lot: str | None = None) -> DataFrame:
     """Each file through the steps of its strategy (path, strategy), numbered as chunks; files without one are left out.
 
-    The pages are read once: one expression makes the parts of the first step, whichever it is, and these are written to the
-    shared folder with the language that their separators go by. One recursive pass then cuts the parts that a second step or the text of
-    code files asks for. What it gives is written too, so numbering doesn't cut again.
+    One expression makes the parts of the first step, whichever it is; one recursive pass then cuts the parts that a second step or the
+    text of code files asks for. The language that a file's separators go by is found first, in a reading of its own, so that no part
+    needs to be kept. Chunks are numbered within lots of a file's pages as they are cut and written; what the chunks of the earlier lots
+    add is a row a lot. lot: a whole-number column of pages that never falls along page_no in a file (None: page_no div 1000); pages
+    that `numbered` gave with their lots don't move again.
     """
     size = SIZE if size is None else size
     check_sizes(size, OVERLAP)
     listed = F.create_map(*(x for name, steps in STEPS.items() for x in (F.lit(name), F.array(*map(F.lit, steps)))))
     plan = strategies.select(F.col("path").alias("_path"), listed[F.col("strategy")].alias("_steps"))
-    tagged = pages.join(plan, pages["path"].eqNullSafe(F.col("_path")))
-    chunks = as_chunks(tagged, "_steps").withColumn("_parts", _first_parts(F.col("text"), F.col("_steps")))
+    lots = pages.withColumn("_lot", (F.col(lot) if lot else F.floor(F.col("page_no") / 1000)).cast("long"))
+    tagged = lots.join(plan, lots["path"].eqNullSafe(F.col("_path")))
+    chunks = as_chunks(tagged, "_steps", "_lot").withColumn("_parts", _first_parts(F.col("text"), F.col("_steps")))
     whole = F.col("_parts").isNull()
     own = [c for c in chunks.columns if not c.startswith("_")]
     # the outer form keeps Spark from computing the parts once more to filter by their number; pages whose sections are all short go
-    parts = chunks.select(*own, "_steps", F.explode_outer(F.when(whole, F.array(F.struct(F.lit(None).cast("int").alias("i"), F.lit(None).cast("string").alias("type"), F.col("text").alias("part"), F.lit(None).cast("string").alias("header")))).otherwise(F.col("_parts"))).alias("_p")).where("_p is not null")
+    parts = chunks.select(*own, "_steps", "_lot", F.explode_outer(F.when(whole, F.array(F.struct(F.lit(None).cast("int").alias("i"), F.lit(None).cast("string").alias("type"), F.col("text").alias("part"), F.lit(None).cast("string").alias("header")))).otherwise(F.col("_parts"))).alias("_p")).where("_p is not null")
     first, last = F.get("_steps", F.lit(0)), F.element_at("_steps", -1)
     sections, alone = first == "section_aware", F.col("_p.i").isNull()
     step_place = F.when(first == "semantic", F.col("place")).otherwise(F.concat("place", F.array(F.coalesce("_p.i", F.lit(0)))))
     once = parts.select(
         "path", "page_no", step_place.alias("place"), F.col("_p.part").alias("text"), F.when(first != "semantic", first).alias("split_strategy"), F.col("_p.type").alias("content_type"),
         F.when(~sections & ~alone, F.col("_p.i")).alias("part_index"), F.when(sections, F.col("_p.i")).alias("section_index"), F.when(sections, F.col("_p.header")).alias("section_header"),
-        F.when(sections, F.lit("content")).alias("section_type"), (last == "semantic").alias("_semantic"), ((first == "code_aware") & (F.col("_p.type") == "text")).alias("_code_text"), is_korean(F.col("_p.part")).alias("_korean"),
+        F.when(sections, F.lit("content")).alias("section_type"), (last == "semantic").alias("_semantic"), F.coalesce((first == "code_aware") & (F.col("_p.type") == "text"), F.lit(False)).alias("_code_text"), "_lot",
     )
-    kept = written(once)
-    of_file = kept.where("_semantic").groupBy(F.col("path").alias("_path")).agg(F.min_by("_korean", "place").alias("_file_korean"))
-    marked = kept.join(of_file, kept["path"].eqNullSafe(F.col("_path")), "left")
-    code = F.coalesce("_code_text", F.lit(False))
-    korean = F.when(code, F.col("_korean")).otherwise(F.col("_file_korean"))
-    seps = F.when(korean, F.array(*map(F.lit, KOREAN_SEPARATORS))).otherwise(F.array(*map(F.lit, SEPARATORS)))
-    cut = F.col("_semantic") | code
-    pieces = F.when(cut, split_column(F.when(cut, F.col("text")), seps, F.when(code, F.lit(SIZE)).otherwise(F.lit(size)))).otherwise(F.array("text"))
-    split = marked.select(*own, "_semantic", cut.alias("_cut"), F.posexplode(pieces).alias("_j", "_piece"))
-    place = F.when(F.col("_cut") | (F.col("split_strategy") == "code_aware"), F.concat("place", F.array("_j"))).otherwise(F.col("place"))
+    of_file = written(once.where("_semantic").groupBy(F.col("path").alias("_path")).agg(F.min_by(is_korean(F.col("text")), "place").alias("_file_korean")))
+    let_go(pages.sparkSession)
+    marked = once.join(of_file, once["path"].eqNullSafe(F.col("_path")), "left").drop("_path")
+    korean = F.when(F.col("_code_text"), is_korean(F.col("text"))).otherwise(F.col("_file_korean"))
+    # the window brings the parts of a lot into one task, in order
+    ordered = marked.withColumns({"_korean": korean, "_part": F.row_number().over(W.partitionBy("path", "_lot").orderBy("place"))}).drop("_file_korean")
+    cut = ordered.mapInArrow(_cut_and_counted(size), T.StructType([*ordered.schema.fields, T.StructField("_j", T.IntegerType()), T.StructField("_at", T.LongType())]))
+    place = F.when(F.col("_semantic") | F.col("_code_text") | (F.col("split_strategy") == "code_aware"), F.concat("place", F.array("_j"))).otherwise(F.col("place"))
     strategy = F.when(F.col("_semantic"), F.coalesce("split_strategy", F.lit("semantic"))).otherwise(F.col("split_strategy"))
-    return number_chunks(written(_with(split, text=F.col("_piece"), place=place, split_strategy=strategy)))
+    new = {"place": place, "split_strategy": strategy}
+    found = written(cut.select(*(new.get(c, F.col(c)).alias(c) for c in own), "_lot", "_at"))
+    let_go(pages.sparkSession)
+    earlier = before(found.groupBy("path", "_lot").agg(F.count("*").alias("_n")), ["path"], "_lot")
+    shifts = written(earlier.select(F.col("path").alias("_path"), F.col("_lot").alias("_l"), "_before", "_total"))
+    placed = found.join(shifts, same(found, shifts, ["path", "_lot"], ["_path", "_l"]))
+    return placed.select(*own, (F.col("_at") + F.col("_before")).alias("chunk_index"), F.col("_total").alias("chunk_total"))
+
+
+def _cut_and_counted(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of batches of parts, those of a file's lot one after the other: their chunks, with the place in the part (_j) and in the lot (_at)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot, n = None, 0
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                rows, texts, js, ats = [], [], [], []
+                columns = (batch.column(c).to_pylist() for c in ("path", "_lot", "text", "_semantic", "_code_text", "_korean"))
+                for row, (path, number, text, semantic, code, korean) in enumerate(zip(*columns, strict=True)):
+                    if lot != (path, number):
+                        lot, n = (path, number), 0
+                    pieces = [text]
+                    if semantic or code:
+                        pieces = split_text(text, SIZE if code else size, OVERLAP, KOREAN_SEPARATORS if korean else SEPARATORS) if text else []
+                    rows += [row] * len(pieces)
+                    texts += pieces
+                    js += range(len(pieces))
+                    ats += range(n, n + len(pieces))
+                    n += len(pieces)
+                taken = batch.take(pa.array(rows, pa.int64()))
+                made = {"text": pa.array(texts, pa.string()), "_j": pa.array(js, pa.int32()), "_at": pa.array(ats, pa.int64())}
+                kept = {c: taken.column(c) for c in batch.schema.names}
+                yield pa.RecordBatch.from_pydict(kept | made)
+
+    return cut
 
 
 def number_chunks(chunks: DataFrame) -> DataFrame:

@@ -11,10 +11,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def file_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as pages: a source is a file, page numbers go by doc_id: doc_id, path, page_no, text."""
+def file_pages(spark: SparkSession, sf_dir: str, lot: str | None = None) -> DataFrame:
+    """Documents as pages: a source is a file, page numbers go by doc_id: doc_id, path, page_no, text, and the lot if it is named."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text")
-    return numbered(docs, ["path"], ["doc_id"], F.floor(F.col("doc_id") / 10_000), "page_no")
+    return numbered(docs, ["path"], ["doc_id"], F.floor(F.col("doc_id") / 10_000), "page_no", lot=lot)
 
 
 PAGES = "pg AS (SELECT doc_id, source AS path, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS page_no, text FROM documents)"

@@ -679,7 +679,7 @@ def x1_incremental_ingest(spark, sf_dir):
 SELECT {sql.NUMBERED.replace('content_type', "coalesce(content_type, 'general') AS content_type")}, path AS source, coalesce(me.title, '') AS pdf_title, coalesce(me.author, '') AS pdf_author, coalesce(me.page_count, 0) AS pdf_pages, coalesce(me.file_size_kb, 0) AS pdf_file_size,
   md5(text) AS vector, 'docs' AS domain FROM nu LEFT JOIN me USING (path)""")
 def workload_a_corpus_to_store(spark, sf_dir):
-    return workloads.corpus_to_store(i.file_pages(spark, sf_dir), i.file_metadata(spark, sf_dir), "docs").drop("place")
+    return workloads.corpus_to_store(i.file_pages(spark, sf_dir, "lot"), i.file_metadata(spark, sf_dir), "docs", lot="lot").drop("place")
 
 
 @query(f"""WITH {i.STORE}, {i.NEAR}, ke AS (SELECT near.*, domain || '_all' AS store_key FROM near WHERE domain IN ('d0', 'd1')),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusmill.functions.scratch import written
+from corpusmill.functions.scratch import let_go, written
 from corpusmill.operators.answering import build_context, cache_hits, cache_key, cache_misses, citations, render_prompt
 from corpusmill.operators.chunks import stamp_metadata
 from corpusmill.operators.profile import profile_files, recommend_loader, sample_pages
@@ -16,14 +16,15 @@ from corpusmill.operators.splitting import split_by_strategy
 from corpusmill.operators.store import embed_once
 
 
-def corpus_to_store(pages: DataFrame, meta: DataFrame, domain: str, embed: Callable[[Column], Column] = F.md5, size: int | None = None) -> DataFrame:
-    """Workload A: pages (path, page_no, text) to stamped, numbered and embedded chunks of a store.
+def corpus_to_store(pages: DataFrame, meta: DataFrame, domain: str, embed: Callable[[Column], Column] = F.md5, size: int | None = None, lot: str | None = None) -> DataFrame:
+    """Workload A: pages (path, page_no, text) to stamped, numbered and embedded chunks of a store. lot: as for split_by_strategy.
 
-    The profile, a row a file, is written once: every strategy's branch reads it.
+    The strategies and the metadata, a row a file, are written once: where they are known to be small, no text moves to meet them.
     """
     profile = recommend_loader(profile_files(sample_pages(pages), pages))
     strategies = written(routed(profile, pages))
-    chunks = stamp_metadata(split_by_strategy(pages, strategies, size), meta)
+    let_go(pages.sparkSession)
+    chunks = stamp_metadata(split_by_strategy(pages, strategies, size, lot), written(meta))
     rows = embed_once(chunks, embed)
     return rows.withColumn("domain", F.lit(domain)).withColumn("content_type", F.coalesce("content_type", F.lit("general")))
 
