@@ -31,10 +31,14 @@ def decorated_text() -> Column:
     )
 
 
-def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with decorated texts; a file is a source and a kind of decoration: doc_id, path, page_no, text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("#"), (F.col("doc_id") % 4).cast("string")).alias("path"), decorated_text().alias("text"))
-    return numbered(docs, ["path"], ["doc_id"], F.floor(F.col("doc_id") / 10_000), "page_no")
+def decorated_pages(spark: SparkSession, sf_dir: str, lot: str | None = None) -> DataFrame:
+    """Documents with decorated texts; a file is a source and a kind of decoration: doc_id, path, page_no, text, and the lot if it is named.
+
+    Texts are decorated once they have been numbered, as they are shorter before.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("#"), (F.col("doc_id") % 4).cast("string")).alias("path"), "text")
+    pages = numbered(docs, ["path"], ["doc_id"], F.floor(F.col("doc_id") / 10_000), "page_no", lot=lot)
+    return pages.withColumn("text", decorated_text()).select("doc_id", "path", "text", "page_no", *([lot] if lot else []))
 
 
 DECORATED = r"""dp AS (

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.functions.models import EMBEDDERS, BatchModel, embedder, text_model
-from corpusmill.functions.scratch import shared_folder, written
+from corpusmill.functions.scratch import let_go, shared_folder, written
 from corpusmill.operators import answering, chunks, mmr, profile, reports, routing, search, splitting, store as stores
 from corpusmill.plans import inputs as i, splitting_sql as sql, workloads
 from corpusmill.sources import files
@@ -171,9 +171,10 @@ ROUTED = f"{ROUTES}, {CONTENT.format(pages='pg')}, routed AS (SELECT path, CASE
 
 @query(f"WITH RECURSIVE {SAMPLE_DECORATED}, {ROUTED}, {sql.by_strategy('pg', 'routed')} SELECT {sql.NUMBERED} FROM nu")
 def t6_split_by_strategy(spark, sf_dir):
-    pages = i.decorated_pages(spark, sf_dir)
-    profiles = profile.profile_files(profile.sample_pages(pages))
-    return splitting.split_by_strategy(pages, written(routing.routed(profiles, pages))).drop("place")
+    pages = i.decorated_pages(spark, sf_dir, "lot")
+    strategies = written(routing.routed(profile.profile_files(profile.sample_pages(pages)), pages))
+    let_go(spark)
+    return splitting.split_by_strategy(pages, strategies, lot="lot").drop("place")
 
 
 @query(f"""WITH {TABLE_PARTS} SELECT path, page_no, part_index, row_number() OVER (PARTITION BY path ORDER BY page_no, part_index) - 1 AS chunk_index, count(*) OVER (PARTITION BY path) AS chunk_total FROM tp""")

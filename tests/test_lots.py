@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.numbering import numbered
 from corpusmill.operators import routing, splitting
+from corpusmill.plans import inputs
 
 TABLE = "| a | b |\n| - | - |\n| 1 | 2 |\n"
 KOREAN = "한국어 문장입니다. " * 90
@@ -52,3 +53,14 @@ def test_lots_change_nothing(spark, div):
     mine = [splitting.split_in_steps(splitting.as_chunks(rows.where(F.col("path").eqNullSafe(F.lit(p)))), routing.STEPS[s], 400) for p, s in STRATEGIES.items()]
     want = [r for d in mine for r in splitting.number_chunks(d).select(*columns).collect()]
     assert sorted(map(str, out.select(*columns).collect())) == sorted(map(str, want)) and len(want) > 100
+
+
+def test_numbered_pages_are_cut_where_they_are(spark, monkeypatch):
+    """From the table to the written chunks texts move once, for the numbers of pages."""
+    seen = []
+    put = splitting.written
+    monkeypatch.setattr(splitting, "written", lambda df: seen.append((df.columns, shuffles_of(df, "text"))) or put(df))
+    given = inputs.decorated_pages(spark, "/root/testdata/sf0.001", "lot")
+    strategies = put(given.select("path").distinct().withColumn("strategy", F.lit("table_aware → semantic")))
+    splitting.split_by_strategy(given, strategies, lot="lot")
+    assert [n for columns, n in seen if "_at" in columns] == [1]
