@@ -468,17 +468,23 @@ def s2_pages_of_files(spark, sf_dir):
 
 @files.extractor("lines")
 def lines_of_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every line of a UTF-8 file as a page, the empty one after a last newline left out."""
+    """Every line of a UTF-8 file as a page, the empty one after a last newline left out. One file's lines are held at a time."""
     for batch in batches:
-        rows = [(p, n, t) for p, c in zip(batch["path"], batch["content"], strict=True) for n, t in enumerate(bytes(c).decode().split("\n")[:-1])]
-        yield pd.DataFrame(rows, columns=["path", "page_no", "text"])
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            lines = bytes(content).decode().split("\n")[:-1]
+            yield pd.DataFrame({"path": path, "page_no": range(len(lines)), "text": lines})
 
 
-def _source_files(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with a file of each source's texts, each ended by a newline."""
+#: Texts in a file that an extractor gets whole: some megabytes.
+TEXTS_PER_FILE = 1000
+
+
+def _source_files(spark: SparkSession, sf_dir: str, most: int | None = None) -> str:
+    """A folder with each source's texts, each ended by a newline: a file a source, or files of at most so many texts."""
     folder = shared_folder(spark)
     docs = i.table(spark, sf_dir, "documents").select("source", F.coalesce("text", F.lit("")).alias("text"))
-    docs.repartition("source").write.partitionBy("source").text(folder)
+    dealt = docs if most else docs.repartition("source")
+    dealt.write.partitionBy("source").option("maxRecordsPerFile", most or 0).text(folder)
     return folder
 
 
@@ -490,7 +496,7 @@ def s1_file_inventory(spark, sf_dir):
 
 @query("SELECT source, CAST(sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1) AS BIGINT) AS lines, CAST(sum(length(replace(coalesce(text, ''), chr(10), ''))) AS BIGINT) AS chars FROM documents GROUP BY 1")
 def u3_extractor_registry(spark, sf_dir):
-    pages = files.pages_of_files(spark, _source_files(spark, sf_dir), "lines", ".txt")
+    pages = files.pages_of_files(spark, _source_files(spark, sf_dir, TEXTS_PER_FILE), "lines", ".txt")
     return pages.groupBy(F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source")).agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"))
 
 

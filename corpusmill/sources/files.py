@@ -27,10 +27,11 @@ def extractor(name: str):
 
 @extractor("plain")
 def plain_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Form feeds end the pages of a UTF-8 file; bytes that aren't UTF-8 become replacement characters."""
+    """Form feeds end the pages of a UTF-8 file; bytes that aren't UTF-8 become replacement characters. One file's pages are held at a time."""
     for batch in batches:
-        rows = [(p, i, t) for p, c in zip(batch["path"], batch["content"], strict=True) for i, t in enumerate(bytes(c).decode("utf-8", "replace").split("\f"))]
-        yield pd.DataFrame(rows, columns=["path", "page_no", "text"])
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            pages = bytes(content).decode("utf-8", "replace").split("\f")
+            yield pd.DataFrame({"path": path, "page_no": range(len(pages)), "text": pages})
 
 
 def file_inventory(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
@@ -40,7 +41,10 @@ def file_inventory(spark: SparkSession, folder: str, suffix: str = ".pdf") -> Da
 
 
 def pages_of_files(spark: SparkSession, folder: str, extract: str | Callable, suffix: str = ".pdf") -> DataFrame:
-    """Path, page_no, text from an extractor, registered or given, that sees each file's bytes where they are read."""
+    """Path, page_no, text from an extractor, registered or given, that sees each file's bytes where they are read.
+
+    Formats such as PDF can't be read in pieces, so a file goes to its extractor whole and must fit into a task several times over.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     chosen = files.where(F.lower("path").endswith(suffix)).select("path", "content")
     return chosen.mapInPandas(EXTRACTORS[extract] if isinstance(extract, str) else extract, "path string, page_no int, text string")
