@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.functions.models import BatchModel
 from corpusmill.functions.numbering import numbered
-from corpusmill.functions.scratch import written
+from corpusmill.functions.scratch import let_go, written
 from corpusmill.functions.text import store_key
 
 
@@ -53,29 +53,39 @@ def scope_by_domain(queries: DataFrame, keys: DataFrame, prefix: bool = False) -
 MARKS, MARK_WORDS = 1 << 22, 1 << 16
 
 
-def _marked(keyed: DataFrame) -> DataFrame:
+def _marked(keyed: DataFrame, settle: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """keyed with `_again`: false where a row's _key surely occurs once. Marks are bits at the hashes of the keys that occur again."""
     place = F.pmod(F.xxhash64("_key"), F.lit(MARKS))
     again = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count("*").alias("n")).where("n > 1")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_place") % 64).cast("int"))
-    words = again.withColumn("_place", place).groupBy(F.floor(F.col("_place") / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))  # MARK_WORDS rows at most
+    words = settle(again.withColumn("_place", place).groupBy(F.floor(F.col("_place") / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits")))  # MARK_WORDS rows at most
     placed = keyed.withColumn("_place", place).withColumn("_w", F.floor(F.col("_place") / 64))
     looked = placed.join(F.broadcast(words), placed["_w"] == words["_word"], "left")
     return looked.withColumn("_again", F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(bit) != 0).drop("_place", "_w", "_word", "_bits")
 
 
-def embed_once(texts: DataFrame, embed: Callable[[Column], Column] = F.md5) -> DataFrame:
+def embed_once(texts: DataFrame, embed: Callable[[Column], Column] = F.md5, in_steps: bool = False) -> DataFrame:
     """The rows of texts (with a column text) and a column vector; embed sees every distinct text once.
 
     Hashes of the texts are counted first, and no text moves for it. A text that occurs once is embedded where it stands.
     Those that may occur again (their marks fit into a table of fixed size; chance marks only send a text this way for nothing) meet
     by their hashes after each task has dropped its own copies, one of each is embedded and the vectors are joined back. Null
     texts have a null vector.
+
+    in_steps: marks and the vectors of texts that may occur again are written first, so that texts that moved to be embedded
+    are gone from the disk before their rows move to get the vectors.
     """
-    keyed = _marked(texts.withColumn("_key", F.md5("text")))
+    def settle(df: DataFrame) -> DataFrame:
+        if not in_steps:
+            return df
+        kept = written(df)
+        let_go(df.sparkSession)
+        return kept
+
+    keyed = _marked(texts.withColumn("_key", F.md5("text")), settle)
     single = keyed.where(~F.col("_again") & F.col("_key").isNotNull()).select(*texts.columns, embed(F.col("text")).alias("vector"))
     several = keyed.where(F.col("_again") | F.col("_key").isNull()).select(*texts.columns, "_key")
-    once = several.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first("text").alias("_t")).select("_key", embed(F.col("_t")).alias("vector"))
+    once = settle(several.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first("text").alias("_t")).select("_key", embed(F.col("_t")).alias("vector")))
     return single.unionByName(several.join(once, "_key", "left").drop("_key"))
 
 

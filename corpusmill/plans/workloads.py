@@ -25,7 +25,7 @@ def corpus_to_store(pages: DataFrame, meta: DataFrame, domain: str, embed: Calla
     strategies = written(routed(profile, pages))
     let_go(pages.sparkSession)
     chunks = stamp_metadata(split_by_strategy(pages, strategies, size, lot), written(meta))
-    rows = embed_once(chunks, embed)
+    rows = embed_once(chunks, embed, in_steps=True)
     return rows.withColumn("domain", F.lit(domain)).withColumn("content_type", F.coalesce("content_type", F.lit("general")))
 
 

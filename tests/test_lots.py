@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.numbering import numbered
 from corpusmill.operators import routing, splitting
+from corpusmill.operators.store import embed_once
 from corpusmill.plans import inputs
 
 TABLE = "| a | b |\n| - | - |\n| 1 | 2 |\n"
@@ -64,3 +65,16 @@ def test_numbered_pages_are_cut_where_they_are(spark, monkeypatch):
     strategies = put(given.select("path").distinct().withColumn("strategy", F.lit("table_aware → semantic")))
     splitting.split_by_strategy(given, strategies, lot="lot")
     assert [n for columns, n in seen if "_at" in columns] == [1]
+
+
+def test_equal_texts_are_embedded_before_rows_move(spark):
+    """In steps a text moves at most once in any plan: to be embedded, or with its row to the vector."""
+    rows = spark.createDataFrame([(k, f"text {k % 40}" if k % 7 else None) for k in range(100)], "id long, text string")
+    want = sorted(map(str, embed_once(rows).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = embed_once(rows, in_steps=True)
+        assert shuffles_of(out, "text") == 1 and shuffles_of(out, "_t") + shuffles_of(out, "first") == 0
+        assert sorted(map(str, out.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
